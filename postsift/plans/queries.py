@@ -465,7 +465,8 @@ def cluster_keywords(spark, sf):
 @query
 def cluster_keywords_by_share(spark, sf):
     docs = tables.spread(table(spark, sf, "documents").select("doc_id", "lang", "text"), "doc_id")
-    return keywords.top_keywords_by_document_share(docs, "lang", "text", 20)
+    out = keywords.top_keywords_by_document_share(docs, "lang", "text", 20)
+    return out.select("lang", "term", "n", "rank")
 
 
 @query
