@@ -519,6 +519,23 @@ def alternation(keys) -> str:
     return "|".join(one(k) for k in sorted(keys, key=lambda k: (-len(k), k)))
 
 
+def guarded_alternation(keys) -> str:
+    """`alternation` with a look ahead at the first character, which is about five times as fast in Java
+    on text without a match."""
+
+    def first(ks) -> str:
+        return "[" + "".join(sorted({re.sub(r"([^\w])", r"\\\1", k[0], flags=re.ASCII) for k in ks})) + "]"
+
+    wordy = [k for k in keys if k[0].isascii() and k[0].isalnum()]
+    other = [k for k in keys if k not in set(wordy)]
+    parts = []
+    if other:
+        parts.append(f"(?={first(other)})(?:{alternation(other)})")
+    if wordy:
+        parts.append(rf"\b(?={first(wordy)})(?:{alternation(wordy)})")
+    return "|".join(parts)
+
+
 @cache
 def emoji_tags() -> tuple[tuple[int, tuple[str, ...]], ...]:
     """Per Unicode block: first code point and the neutral tag of each code point in the block."""

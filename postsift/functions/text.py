@@ -145,7 +145,7 @@ def emoticons_to_words(c: Column, lang: Column, lexicon: lx.Lexicon) -> Column:
         return c
     return expand(
         c,
-        "(?i)(?:" + lx.alternation(keys) + ")",
+        "(?i)(?:" + lx.guarded_alternation(keys) + ")",
         lambda m: F.concat(
             F.lit(" "), F.coalesce(by_language(lang, lexicon.entries, F.lower(m), False), m), F.lit(" ")
         ),
@@ -223,13 +223,16 @@ def unigrams_and_bigrams(toks: Column) -> Column:
     return F.concat(toks, pairs)
 
 
-def char_trigrams(c: Column) -> Column:
-    """Overlapping trigrams of the letters, words padded by spaces; no letters, no trigrams."""
-    letters = F.regexp_replace(F.lower(c), r"[^\p{L}]+", " ")
-    padded = F.concat(F.lit(" "), F.trim(letters), F.lit(" "))
-    return F.when(
-        F.trim(letters) != "", F.regexp_extract_all(padded, F.lit("(?=(...))"), F.lit(1))
-    ).otherwise(F.array().cast("array<string>"))
+def letters_only(c: Column) -> Column:
+    """Lower-cased letters, a space between words and at both ends; two spaces where there are none."""
+    return F.concat(
+        F.lit(" "), F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}]+", " ")), F.lit(" ")
+    )
+
+
+def char_trigrams(letters: Column) -> Column:
+    """Overlapping trigrams of a `letters_only` text; none for a text without a letter."""
+    return F.regexp_extract_all(letters, F.lit("(?=(...))"), F.lit(1))
 
 
 def stable_bucket(key: Column, seed: int, buckets: int = 10_000) -> Column:

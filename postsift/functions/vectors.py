@@ -49,6 +49,15 @@ def as_one_value(table: DataFrame, *columns: str, max_rows: int = 10_000) -> Col
     return table.agg(packed.alias("packed")).scalar()
 
 
+def as_one_map(table: DataFrame, key: str, value: str, max_rows: int = 10_000) -> Column:
+    """`as_one_value` as a map, built once for the query. Rows with a null key are left out."""
+    rows = table.where(F.col(key).isNotNull())
+    packed = F.when(
+        F.count(F.lit(1)) <= max_rows, F.map_from_entries(F.collect_list(F.struct(key, value)))
+    ).otherwise(F.raise_error(F.lit(f"more than {max_rows} rows of {key}")))
+    return rows.agg(packed.alias("packed")).scalar()
+
+
 def nearest(vector: Column, centres: Column, key: str) -> Column:
     """``struct(distance, key)`` of the closest centre; ties go to the smallest key."""
     return F.array_min(

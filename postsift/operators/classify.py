@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, OneVsRestModel
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postsift.schema import require_columns
@@ -48,8 +48,10 @@ def unlabelled_audit(df: DataFrame, key: str = "tweet_id", label: str = "categor
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """``(label, n, weight)`` with weight = rows / (classes * rows of the class)."""
     per_class = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    totals = per_class.agg(F.struct(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes"))).scalar()
-    return per_class.select(label, "n", (totals["rows"] / (totals["classes"] * F.col("n"))).alias("weight"))
+    # Over one row per class.
+    every = Window.partitionBy(F.lit(0))
+    weight = F.sum("n").over(every) / (F.count(F.lit(1)).over(every) * F.col("n"))
+    return per_class.select(label, "n", weight.alias("weight"))
 
 
 def unseen_labels(df: DataFrame, known: DataFrame, label: str = "category") -> DataFrame:

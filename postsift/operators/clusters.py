@@ -90,10 +90,7 @@ def label_clusters(
 ) -> DataFrame:
     """Adds ``category``; null where the cluster has no name. The map is one value of checked size, so
     a cluster that holds a third of the rows does not meet in one task."""
-    packed = vx.as_one_value(
-        categories.select(F.col("cluster_id"), F.col("category")), "cluster_id", "category", max_rows=max_clusters
-    )
-    lookup = F.map_from_entries(packed)
+    lookup = vx.as_one_map(categories, "cluster_id", "category", max_clusters)
     return df.withColumn("category", F.element_at(lookup, F.col(cluster).cast("int")))
 
 

@@ -21,10 +21,10 @@ def top_keywords(
     df: DataFrame, group: str, text: str, n: int = 10, stop: Sequence[str] = ()
 ) -> DataFrame:
     """``(group, term, n, rank)``: words of two or more characters, stopwords dropped before pairing."""
-    terms = tx.unigrams_and_bigrams(tx.drop_tokens(tx.tokens(F.col(text)), stop))
     counts = (
         df.where(F.col(text).isNotNull())
-        .select(group, F.explode(terms).alias("term"))
+        .select(group, tx.drop_tokens(tx.tokens(F.col(text)), stop).alias("words"))
+        .select(group, F.explode(tx.unigrams_and_bigrams(F.col("words"))).alias("term"))
         .groupBy(group, "term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -48,8 +48,9 @@ def top_keywords_by_document_share(
     Terms are sorted within each text, so that one pass counts both occurrences and texts.
     """
     texts = df.where(F.col(text).isNotNull())
-    ordered = F.array_sort(tx.unigrams_and_bigrams(tx.tokens(F.col(text))))
-    with_terms = texts.select(group, ordered.alias("terms"))
+    with_terms = texts.select(group, tx.tokens(F.col(text)).alias("words")).select(
+        group, F.sort_array(tx.unigrams_and_bigrams(F.col("words"))).alias("terms")
+    )
     marked = F.transform(
         "terms",
         lambda t, i: F.struct(

@@ -17,13 +17,13 @@ from postsift.settings import UNKNOWN_LANGUAGE
 
 
 def with_trigrams(df: DataFrame, text: str) -> DataFrame:
-    return df.withColumn("_grams", tx.char_trigrams(tx.text_or_empty(F.col(text))))
+    return df.withColumn("_grams", tx.char_trigrams(tx.letters_only(tx.text_or_empty(F.col(text)))))
 
 
 def gram_counts(labelled: DataFrame, text: str, lang: str) -> DataFrame:
     """``(lang, gram, n)``; counts are partial before the shuffle, so common trigrams cost one row per
     input partition."""
-    grams = tx.char_trigrams(tx.text_or_empty(F.col(text)))
+    grams = tx.char_trigrams(tx.letters_only(tx.text_or_empty(F.col(text))))
     return (
         labelled.where(F.col(lang).isNotNull())
         .select(F.col(lang).alias("lang"), F.explode(grams).alias("gram"))

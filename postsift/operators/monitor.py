@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postsift.functions import vectors as vx
@@ -65,7 +65,8 @@ def train_validation_gap(df: DataFrame, truth: str, guess: str, train: str, othe
 def confidence_summary(df: DataFrame, category: str = "predicted_category", confidence: str = "confidence") -> DataFrame:
     """``(category, n_rows, share, mean_confidence)``."""
     per = df.groupBy(category).agg(F.count(F.lit(1)).alias("n_rows"), F.avg(confidence).alias("mean_confidence"))
-    total = per.agg(F.sum("n_rows")).scalar()
+    # Over one row per category; the rows are scored once.
+    total = F.sum("n_rows").over(Window.partitionBy(F.lit(0)))
     return per.select(category, "n_rows", (F.col("n_rows") / total).alias("share"), "mean_confidence")
 
 
@@ -78,8 +79,13 @@ def stability_index(
         new.select(F.col(bin_), F.lit(0).alias("o"), F.lit(1).alias("n"))
     )
     per = both.groupBy(bin_).agg(F.sum("o").alias("o"), F.sum("n").alias("n"))
-    totals = per.agg(F.struct(F.sum("o").alias("o"), F.sum("n").alias("n"))).scalar()
-    share = lambda c: F.greatest(F.coalesce(F.try_divide(F.col(c).cast("double"), totals[c]), F.lit(0.0)), F.lit(floor))
+    # Over one row per bin.
+    every = Window.partitionBy(F.lit(0))
+
+    def share(c: str) -> Column:
+        of_all = F.try_divide(F.col(c).cast("double"), F.sum(c).over(every))
+        return F.greatest(F.coalesce(of_all, F.lit(0.0)), F.lit(floor))
+
     return per.select(bin_, share("o").alias("share_old"), share("n").alias("share_new")).withColumn(
         "psi", (F.col("share_new") - F.col("share_old")) * F.log(F.col("share_new") / F.col("share_old"))
     )

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from postsift.operators import tokenmap
 
+# Forms of up to this length are spread over this many tasks.
+SHORT_FORM = 2
+SALTS = 16
+
 
 def _drop_one(w: Column) -> Column:
     """The word itself and every word with one character less."""
@@ -54,13 +58,18 @@ def _best(unknown: DataFrame, known: DataFrame, keys, close: Column, distance: i
 
     Pairs meet on a shared shortened form. A form of length m is shared by at most
     (alphabet * (m + distance)) ** distance words, however large the corpus; the frequent words of a
-    corpus are one row here.
+    corpus are one row here. Very short forms are shared by the most words and are salted.
     """
-    left = unknown.withColumn("form", F.explode(keys(F.col("word"))))
-    right = known.select("lang", F.col("word").alias("correction"), "n").withColumn(
-        "form", F.explode(keys(F.col("correction")))
+    short = F.length("form") <= SHORT_FORM
+    left = unknown.withColumn("form", F.explode(keys(F.col("word")))).withColumn(
+        "salt", F.when(short, F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    )
+    right = (
+        known.select("lang", F.col("word").alias("correction"), "n")
+        .withColumn("form", F.explode(keys(F.col("correction"))))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.when(short, F.lit(SALTS - 1)).otherwise(F.lit(0)))))
     )
-    pairs = left.join(right, ["lang", "form"]).where(close)
+    pairs = left.join(right, ["lang", "form", "salt"]).where(close)
     best = F.min(F.struct((-F.col("n")).alias("rank"), F.col("correction"))).alias("b")
     return (
         pairs.groupBy("lang", "word")

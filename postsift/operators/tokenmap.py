@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postsift.functions import text as tx
+from postsift.sources.tables import cut_lineage
 
 
 def vocabulary(df: DataFrame, text: str, lang: str) -> DataFrame:
@@ -22,23 +23,37 @@ def vocabulary(df: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 def apply_token_map(
-    df: DataFrame, mapping: DataFrame, key: str, text: str, lang: str, out: str, salts: int = 16
+    df: DataFrame,
+    mapping: DataFrame,
+    key: str,
+    text: str,
+    lang: str,
+    out: str,
+    salts: int = 16,
+    broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """Replace words of ``text`` that have an entry for the row's language.
 
-    Each text sends its distinct words once. The join is salted, because a few words occur in most
-    texts; rows come back together as one small map per text, not as words.
+    Each text contributes its distinct words once, and comes back with one small map of its changes, not
+    word by word. The changed words are counted: up to ``broadcast_rows`` they are broadcast and no word
+    is shuffled; beyond that the join is salted, because a few words occur in most texts.
     """
-    changes = mapping.where(F.col("token") != F.col("value")).select("lang", "token", "value")
-    salted = changes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    changes = cut_lineage(
+        mapping.where(F.col("token") != F.col("value")).select("lang", "token", "value")
+    )
     mentions = df.select(
         F.col(key).alias("_key"),
         F.col(lang).alias("lang"),
         F.explode(F.array_distinct(tx.words(F.col(text)))).alias("token"),
-    ).withColumn("salt", F.pmod(F.xxhash64("_key"), F.lit(salts)).cast("int"))
+    )
+    if changes.count() <= broadcast_rows:
+        hits = mentions.join(F.broadcast(changes), ["lang", "token"])
+    else:
+        salt = F.pmod(F.xxhash64("_key"), F.lit(salts)).cast("int")
+        salted = changes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        hits = mentions.withColumn("salt", salt).join(salted, ["lang", "token", "salt"])
     per_text = (
-        mentions.join(salted, ["lang", "token", "salt"])
-        .groupBy("_key", F.col("lang").alias("_maplang"))
+        hits.groupBy("_key", F.col("lang").alias("_maplang"))
         .agg(F.map_from_entries(F.collect_set(F.struct("token", "value"))).alias("_changes"))
     )
     joined = df.join(per_text, (df[key] == per_text["_key"]) & (df[lang] == per_text["_maplang"]), "left")

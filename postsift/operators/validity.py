@@ -89,13 +89,21 @@ def davies_bouldin(df: DataFrame, cluster: str, vector: str, max_clusters: int =
         .groupBy(cluster)
         .agg(F.avg("d").alias("scatter"))
     )
-    with_centres = scatter.join(centres.select(cluster, "centre"), cluster)
-    all_of_them = vx.as_one_value(with_centres, cluster, "scatter", "centre", max_rows=max_clusters)
+    one = df.sparkSession.range(1).select(
+        packed.alias("cs"),
+        vx.as_one_value(scatter, cluster, "scatter", max_rows=max_clusters).alias("ss"),
+    )
+    # Both lists are sorted by cluster, so they line up.
+    both = one.select(
+        F.zip_with(
+            "cs", "ss", lambda c, s: F.struct(c[cluster].alias("id"), c["centre"].alias("centre"), s["scatter"].alias("scatter"))
+        ).alias("cs")
+    )
     worst = F.transform(
         "cs",
         lambda a: F.array_max(
             F.transform(
-                F.filter("cs", lambda b: b[cluster] != a[cluster]),
+                F.filter("cs", lambda b: b["id"] != a["id"]),
                 lambda b: F.try_divide(
                     a["scatter"] + b["scatter"], F.sqrt(vx.squared_distance(a["centre"], b["centre"]))
                 ),
@@ -103,11 +111,8 @@ def davies_bouldin(df: DataFrame, cluster: str, vector: str, max_clusters: int =
         ),
     )
     total = F.aggregate("w", F.lit(0.0), lambda s, x: s + x)
-    return (
-        df.sparkSession.range(1)
-        .select(all_of_them.alias("cs"))
-        .select(worst.alias("w"))
-        .select(F.when(F.size("w") >= 2, total / F.size("w")).alias("davies_bouldin"))
+    return both.select(worst.alias("w")).select(
+        F.when(F.size("w") >= 2, total / F.size("w")).alias("davies_bouldin")
     )
 
 

@@ -75,7 +75,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def users(spark: SparkSession, sf: str) -> DataFrame:
-    conv = table(spark, sf, "conversations").withColumn("inbound", F.col("role") == "user")
+    conv = tables.spread(table(spark, sf, "conversations"), "conv_id", "turn")
+    conv = conv.withColumn("inbound", F.col("role") == "user")
     return ingest.customer_messages(conv)
 
 
@@ -85,7 +86,8 @@ def language_by_turn(turn: Column) -> Column:
 
 def decorated(spark: SparkSession, sf: str) -> DataFrame:
     """All conversation turns, a language by turn, and the decoration of that language."""
-    conv = table(spark, sf, "conversations").withColumn("lang", language_by_turn(F.col("conv_id") + F.col("turn")))
+    conv = tables.spread(table(spark, sf, "conversations"), "conv_id", "turn")
+    conv = conv.withColumn("lang", language_by_turn(F.col("conv_id") + F.col("turn")))
     suffix = F.element_at(lx.literal_map(DECORATION), F.col("lang"))
     return conv.withColumn("text", F.concat("text", suffix))
 
