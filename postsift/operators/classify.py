@@ -6,7 +6,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression, OneVsRestModel
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -68,11 +68,12 @@ def _features(x: str) -> Column:
 def fit_classifier(
     df: DataFrame, label: str = "category", x: str = "x", s: ClassifierSettings = ClassifierSettings()
 ) -> PipelineModel:
-    """Label index, logistic regression and label decoding as one saved model.
+    """Logistic regression and label decoding as one saved model, for `predict`.
 
     ``ovr``: one two-class problem per class, each minimising |w|^2 / 2 + C * sum(weight * log loss) with
-    the intercept penalised and the class weight on the class's own rows only. ``multinomial``: one
-    softmax model with class weights on all rows.
+    the intercept penalised and the class weight on the class's own rows only; two classes are one such
+    problem with both weights. ``multinomial``: one softmax model with class weights on all rows and a
+    free intercept.
     """
     rows = drop_unlabelled(df.select(label, x), label)
     index = StringIndexer(
@@ -82,8 +83,8 @@ def fit_classifier(
         index = index.fit(rows)
     except Exception as e:  # an empty table has no labels to index
         raise NoTrainingData("fit_classifier: no labelled rows") from e
-    if not index.labels:
-        raise NoTrainingData("fit_classifier: no labelled rows")
+    if len(index.labels) < 2:
+        raise NoTrainingData(f"fit_classifier: {len(index.labels)} classes, need two")
     counts = {r[label]: r["n"] for r in class_weights(rows, label).collect()}
     total, classes = sum(counts.values()), len(index.labels)
     weights = [total / (classes * counts[c]) if s.balanced else 1.0 for c in index.labels]
@@ -91,39 +92,62 @@ def fit_classifier(
 
     data = index.transform(rows).select("_label", _features(x).alias("_features")).persist()
     try:
-        if s.family == "ovr" and classes > 1:
-            model = _one_against_rest(data, weights, list(counts[c] for c in index.labels), s)
+        if s.family == "ovr" and classes > 2:
+            models = _one_against_rest(data, weights, [counts[c] for c in index.labels], s)
         else:
-            model = _logistic(s, 1.0 / (s.c * total), "multinomial" if classes > 2 else "auto").fit(
-                data.withColumn("_weight", weight_of)
-            )
+            data_weighted = data.withColumn("_weight", weight_of)
+            weighted = sum(w * counts[c] for w, c in zip(weights, index.labels))
+            one = _logistic(s, 1.0 / (s.c * weighted), "multinomial" if classes > 2 else "binomial")
+            if s.family == "ovr":
+                models = [one.fit(_half_mirrored(data_weighted))]
+            else:
+                models = [one.setFitIntercept(True).fit(data_weighted)]
     finally:
         data.unpersist()
     decode = IndexToString(inputCol="_prediction", outputCol="predicted_category", labels=index.labels)
-    return PipelineModel([model, decode])
+    return PipelineModel([*models, decode])
 
 
-def _logistic(s: ClassifierSettings, reg: float, family: str) -> LogisticRegression:
+def _half_mirrored(two: DataFrame) -> DataFrame:
+    """The same two-class problem with about half of its rows mirrored: (x, y) -> (-x, 1 - y).
+
+    Log loss of a linear score without an intercept is the same for a row and its mirror image, so the
+    optimum does not move. The feature that stands for the intercept is no longer constant, though, and
+    MLlib leaves constant features out.
+    """
+    x = vector_to_array("_features")
+    mirror = F.pmod(F.xxhash64(x), F.lit(2)) == 1
+    return two.select(
+        F.when(mirror, array_to_vector(F.transform(x, lambda v: -v))).otherwise(F.col("_features")).alias("_features"),
+        F.when(mirror, 1.0 - F.col("_label")).otherwise(F.col("_label")).alias("_label"),
+        "_weight",
+    )
+
+
+def _logistic(s: ClassifierSettings, reg: float, family: str, **cols) -> LogisticRegression:
+    cols = {"predictionCol": "_prediction", "rawPredictionCol": "_raw", "probabilityCol": "_probability"} | cols
     return LogisticRegression(
         featuresCol="_features",
         labelCol="_label",
         weightCol="_weight",
-        predictionCol="_prediction",
-        rawPredictionCol="_raw",
-        probabilityCol="_probability",
         fitIntercept=False,
         standardization=False,
         regParam=reg,
         maxIter=s.max_iter,
         tol=1e-8,
         family=family,
+        **cols,
     )
 
 
-def _one_against_rest(data: DataFrame, weights, counts, s: ClassifierSettings) -> OneVsRestModel:
+def _one_against_rest(
+    data: DataFrame, weights: list[float], counts: list[int], s: ClassifierSettings
+) -> list[LogisticRegressionModel]:
+    """One two-class model per class. Each only adds its margin, in a column of its own, so that they are
+    applied one after the other to a row, on batches and streams alike."""
     total = sum(counts)
 
-    def fit(c: int):
+    def fit(c: int) -> LogisticRegressionModel:
         w, n = weights[c], counts[c]
         mine = F.col("_label") == c
         two = data.select(
@@ -131,27 +155,35 @@ def _one_against_rest(data: DataFrame, weights, counts, s: ClassifierSettings) -
             mine.cast("double").alias("_label"),
             F.when(mine, F.lit(w)).otherwise(F.lit(1.0)).alias("_weight"),
         )
-        return _logistic(s, 1.0 / (s.c * (w * n + total - n)), "binomial").fit(two)
+        reg = 1.0 / (s.c * (w * n + total - n))
+        model = _logistic(s, reg, "binomial", rawPredictionCol=f"_margin_{c}").fit(_half_mirrored(two))
+        return model.setPredictionCol("").setProbabilityCol("")
 
     # The problems are independent and each leaves gaps between its iterations.
     with ThreadPool(min(s.parallelism, len(weights))) as pool:
-        models = pool.map(inheritable_thread_target(data.sparkSession)(fit), range(len(weights)))
-    out = OneVsRestModel(models=models)
-    out._set(classifier=_logistic(s, 0.0, "binomial"), featuresCol="_features", labelCol="_label")
-    out._set(predictionCol="_prediction", rawPredictionCol="_raw")
-    return out
+        return pool.map(inheritable_thread_target(data.sparkSession)(fit), range(len(weights)))
 
 
 def predict(df: DataFrame, model: PipelineModel, x: str = "x") -> DataFrame:
     """Adds ``predicted_category`` and ``confidence``: the softmax probability, or for one-against-rest
-    the winning probability after the classes' own are made to add up to one."""
-    scored = model.transform(df.withColumn("_features", _features(x)))
-    if "_probability" in scored.columns:
+    the winning probability after the classes' own are made to add up to one. Row-local."""
+    *models, decode = model.stages
+    scored = df.withColumn("_features", _features(x))
+    for m in models:
+        scored = m.transform(scored)
+    margins = [m.getRawPredictionCol() for m in models]
+    if len(models) == 1:
         share = F.array_max(vector_to_array("_probability"))
+        margins = ["_raw", "_probability"]
     else:
-        each = F.transform(vector_to_array("_raw"), lambda z: 1.0 / (1.0 + F.exp(-z)))
+        scored = scored.withColumn("_all", F.array(*[F.get(vector_to_array(m), F.lit(1)) for m in margins]))
+        # The first of the largest margins.
+        best = F.array_position("_all", F.array_max("_all")) - 1
+        scored = scored.withColumn("_prediction", best.cast("double"))
+        each = F.transform("_all", lambda z: 1.0 / (1.0 + F.exp(-z)))
         share = F.array_max(each) / F.aggregate(each, F.lit(0.0), lambda a, p: a + p)
-    return scored.withColumn("confidence", share).drop("_features", "_raw", "_probability", "_prediction")
+    scored = decode.transform(scored.withColumn("confidence", share))
+    return scored.drop("_features", "_prediction", "_all", *margins)
 
 
 def known_labels(model: PipelineModel) -> list[str]:

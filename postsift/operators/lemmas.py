@@ -31,7 +31,8 @@ def learn_lemmas(vocab: DataFrame, lexicon: DataFrame, known: DataFrame) -> Data
     """``(lang, token, value)`` for the words of ``vocab (lang, token, n)``.
 
     ``lexicon (lang, form, lemma)`` decides where it has the word. Other English words that are not
-    ``known (lang, word, n)`` themselves lose the first ending that leaves a known word.
+    ``known (lang, word, n)`` themselves change the first ending that leads to a known word of three
+    letters or more.
     """
     words = vocab.select("lang", "token").withColumn("form", F.lower("token"))
     listed = words.join(lexicon.select("lang", "form", "lemma"), ["lang", "form"]).select(
@@ -46,7 +47,7 @@ def learn_lemmas(vocab: DataFrame, lexicon: DataFrame, known: DataFrame) -> Data
         F.array(
             *[
                 F.when(
-                    F.col("form").endswith(old) & (F.length("form") > len(old) + 2),
+                    F.col("form").endswith(old) & (F.length("form") >= 3 + len(old) - len(new)),
                     F.struct(
                         F.lit(rank).alias("rank"),
                         F.concat(F.expr(f"left(form, length(form) - {len(old)})"), F.lit(new)).alias("word"),

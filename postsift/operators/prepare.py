@@ -27,7 +27,7 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame
 def dedup_messages(df: DataFrame, key: str = "tweet_id") -> DataFrame:
     """First message of each id: earliest time, then text; rows without a time come last."""
     order = [F.col(c).asc_nulls_last() for c in ("created_at", "text") if c in df.columns]
-    return first_per_key(require_columns(df, [key], "dedup_messages"), key, order or [F.lit(1)])
+    return first_per_key(require_columns(df, [key], "dedup_messages"), key, order or [F.col(key)])
 
 
 def dedup_report(df: DataFrame, key: str = "tweet_id") -> DataFrame:

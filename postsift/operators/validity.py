@@ -147,11 +147,12 @@ def sweep_k(
         if k < 1 or found < k:
             out.append((k, None, None, None, None))
             continue
+        if k == 1:
+            whole = within_cluster_sum(vectors.withColumn("_all", F.lit(0)), "_all", vector)
+            out.append((k, whole.first()[0], None, None, None))
+            continue
         elbow = clusters.fit_kmeans(vectors, vector, k, s, max_iter=s.elbow_max_iter)
         wcss = float(elbow.summary.trainingCost)
-        if k < 2:
-            out.append((k, wcss, None, None, None))
-            continue
         model = elbow if elbow.summary.numIter < s.elbow_max_iter else clusters.fit_kmeans(vectors, vector, k, s)
         labelled = clusters.assign_clusters(vectors, model, vector)
         sil = silhouette_cosine(labelled, "cluster_id", vector)

@@ -333,7 +333,7 @@ def oracles() -> dict[str, str]:
     o["vocabulary"] = f"with {VOCABULARY} select lang, token, n from vocab"
     tries = " union all ".join(
         f"select lang, token, {r} as rank, left(token, length(token) - {len(a)}) || {q(b)} as word from open "
-        f"where suffix(token, {q(a)}) and length(token) > {len(a) + 2}"
+        f"where suffix(token, {q(a)}) and length(token) >= {3 + len(a) - len(b)}"
         for r, (a, b) in enumerate(ENGLISH_ENDINGS)
     )
     o["lemma_learn"] = f"""with {VOCABULARY}, lexicon as (select * from {values(lx.lemmas().rows(), "lang, form, lemma")}),
