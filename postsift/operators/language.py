@@ -20,13 +20,20 @@ def with_trigrams(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("_grams", tx.char_trigrams(tx.letters_only(tx.text_or_empty(F.col(text)))))
 
 
+# Stands for "one text" among the trigrams.
+TEXTS = ""
+
+
 def gram_counts(labelled: DataFrame, text: str, lang: str) -> DataFrame:
-    """``(lang, gram, n)``; counts are partial before the shuffle, so common trigrams cost one row per
-    input partition."""
-    grams = tx.char_trigrams(tx.letters_only(tx.text_or_empty(F.col(text))))
+    """``(lang, gram, n)``, and the number of texts with letters under the empty gram. Counts are
+    partial before the shuffle, so common trigrams cost one row per input partition."""
+    letters = tx.letters_only(tx.text_or_empty(F.col(text)))
+    grams = F.concat(F.array(F.lit(TEXTS)), tx.char_trigrams(F.col("letters")))
     return (
         labelled.where(F.col(lang).isNotNull())
-        .select(F.col(lang).alias("lang"), F.explode(grams).alias("gram"))
+        .select(F.col(lang).alias("lang"), letters.alias("letters"))
+        .where(F.trim("letters") != "")
+        .select("lang", F.explode(grams).alias("gram"))
         .groupBy("lang", "gram")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -42,28 +49,30 @@ def fit_language_model(
     enters as one row: its mean counts, weighted by its texts, which gives the sums and priors of
     training on every text.
     """
-    usable = labelled.where(F.col(lang).isNotNull() & tx.text_or_empty(F.col(text)).rlike(r"\p{L}"))
-    texts = {r[0]: r[1] for r in usable.groupBy(lang).count().limit(max_languages + 1).collect()}
-    if not 1 <= len(texts) <= max_languages:
-        raise ValueError(f"fit_language_model: {len(texts)} languages, expected 1..{max_languages}")
-    names = sorted(texts)
-    counts = gram_counts(usable, text, lang).persist()
+    counts = gram_counts(labelled, text, lang).persist()
     try:
+        per_language = counts.where(F.col("gram") == TEXTS).limit(max_languages + 1).collect()
+        if not 1 <= len(per_language) <= max_languages:
+            raise ValueError(f"fit_language_model: {len(per_language)} languages, expected 1..{max_languages}")
         kept = (
-            counts.groupBy("gram")
-            .agg(F.sum("n").alias("total"))
+            counts.where(F.col("gram") != TEXTS)
+            .groupBy("gram")
+            .agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by_lang"))
             .orderBy(F.col("total").desc(), F.col("gram").asc())
             .limit(max_grams)
+            .select("gram", "by_lang")
+            .collect()
         )
-        grams = kept.toPandas()["gram"].tolist()
-        place = {g: i for i, g in enumerate(grams)}
-        found = counts.join(kept.select("gram"), "gram", "left_semi").toPandas()
     finally:
         counts.unpersist()
+    texts = {r["lang"]: r["n"] for r in per_language}
+    names = sorted(texts)
+    grams = [r["gram"] for r in kept]
     rows = []
     for i, name in enumerate(names):
-        mine = found[found["lang"] == name]
-        entries = {place[g]: n / texts[name] for g, n in zip(mine["gram"], mine["n"])}
+        entries = {
+            at: n / texts[name] for at, r in enumerate(kept) for lang_, n in r["by_lang"] if lang_ == name
+        }
         rows.append((float(i), float(texts[name]), Vectors.sparse(len(grams), entries)))
     spark = labelled.sparkSession
     bayes = NaiveBayes(

@@ -22,7 +22,18 @@ def _drop_one(w: Column) -> Column:
 
 
 def _drop_two(w: Column) -> Column:
-    return F.array_distinct(F.flatten(F.transform(_drop_one(w), lambda v: F.when(F.length(v) > 0, _drop_one(v)).otherwise(F.array(v)))))
+    """The word itself and every word with one or two characters less."""
+    n = F.length(w)
+    both = F.transform(
+        F.sequence(F.lit(1), n - 1),
+        lambda i: F.transform(
+            F.sequence(i + 1, n),
+            lambda j: F.concat(
+                F.substring(w, 1, i - 1), F.substring(w, i + 1, j - i - 1), F.substring(w, j + 1, n)
+            ),
+        ),
+    )
+    return F.when(n >= 2, F.array_distinct(F.concat(_drop_one(w), F.flatten(both)))).otherwise(_drop_one(w))
 
 
 def _swapped_neighbours(a: Column, b: Column) -> Column:
