@@ -19,6 +19,7 @@ from postsift.settings import PUNCTUATION
 # Patterns. The classes are spelled out because \w and \s are ASCII-only in Java.
 WORD = r"[\p{L}\p{N}_]"
 SPACE = r"[\s\p{Z}\x0B\x1C-\x1F\x{85}]"
+NOT_SPACE = r"[^\s\p{Z}\x0B\x1C-\x1F\x{85}]"
 URL = r"https?://[^\s\p{Z}]+|www\.[^\s\p{Z}]+"
 MENTION = "@" + WORD + "+"
 HASHTAG = "#" + WORD + "+"
@@ -36,7 +37,8 @@ def text_or_empty(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return F.regexp_replace(text_or_empty(c), SPACE + "+", "") == ""
+    """No character other than white space; stops at the first one."""
+    return ~text_or_empty(c).rlike(NOT_SPACE)
 
 
 def collapse_spaces(c: Column) -> Column:

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from postsift.functions import text as tx
 from postsift.operators import clusters, keywords
+from postsift.sources.tables import cut_lineage
 
 # What the report shows for texts that have nothing to show.
 MISSING_TEXT = "[TEXT MISSING]"
 BLANK_TEXT = "[TEXT BLANK]"
 NAME_SLOT = "[NAME ME]"
 
+BROADCAST_KEYS = 200_000
+
 
 def shown(c: Column) -> Column:
     return F.when(c.isNull(), MISSING_TEXT).when(tx.is_blank(c), BLANK_TEXT).otherwise(c)
@@ -32,7 +35,11 @@ def cluster_report(
     seed: int = 42,
 ) -> DataFrame:
     """One row per cluster: ``n_rows, keywords, samples, category_slot``. Lists are bounded by the two
-    counts asked for; the clusters' rows themselves are only counted."""
+    counts asked for; the clusters' rows themselves are only counted. ``key`` identifies a row.
+
+    Samples are drawn on cluster and key alone; their texts are fetched afterwards, by a broadcast of
+    the drawn keys if they are few.
+    """
     texts = [c for c in texts if c in df.columns]
     sizes = clusters.distribution(df, cluster)
     terms = (
@@ -41,7 +48,11 @@ def cluster_report(
         .agg(F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("t"))
         .select(F.col(cluster).alias("_of_terms"), F.transform("t", lambda x: x["term"]).alias("keywords"))
     )
-    picked = clusters.sample_per_cluster(df.select(cluster, key, *texts), cluster, key, n_samples, seed)
+    drawn = cut_lineage(
+        clusters.sample_per_cluster(df.select(cluster, key), cluster, key, n_samples, seed).drop(cluster)
+    )
+    few = drawn.count() <= BROADCAST_KEYS
+    picked = df.select(cluster, key, *texts).join(F.broadcast(drawn) if few else drawn, key)
     samples = picked.groupBy(F.col(cluster).alias("_of_samples")).agg(
         F.array_sort(
             F.collect_list(

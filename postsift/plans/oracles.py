@@ -163,7 +163,7 @@ def terms(source: str, group: str, text: str, stop=()) -> str:
 
 
 def ranked(group: str, counts: str, n: int) -> str:
-    return f"""select {group}, term, n, rank from (select grp as {group}, term, n,
+    return f"""select {group}, term, n, rank::int as rank from (select grp as {group}, term, n,
       row_number() over (partition by grp order by n desc, term) as rank from {counts}) where rank <= {n}"""
 
 
@@ -273,12 +273,18 @@ def oracles() -> dict[str, str]:
       (conv_id * 1000 + turn + 1)::varchar as response_tweet_id from conversations"""
     o["prepared_messages"] = f"""select conv_id * 1000 + turn as tweet_id, {split_of("(conv_id * 1000 + turn)")} as split, text,
       epoch(try_strptime('Tue Oct 31 22:10:47 +0000 2017', '%a %b %d %H:%M:%S %z %Y'))::bigint as created_at,
-      case when turn > 0 then conv_id * 1000 + turn - 1 end as in_response_to_tweet_id, length(text) as tweet_length
+      case when turn > 0 then conv_id * 1000 + turn - 1 end as in_response_to_tweet_id, length(text)::int as tweet_length
       from conversations where role = 'user' and {blank} <> ''"""
     o["stage_by_split"] = f"""select * from (select conv_id * 1000 + turn as tweet_id, role as author_id,
       {split_of("(conv_id * 1000 + turn)")} as split from conversations) where split = 'validation'"""
     o["vector_round_trip"] = """select vec_id, len(embedding)::bigint as dims, round(embedding[1]::double, 6) as "first",
       round(embedding[-1]::double, 6) as "last" from embeddings"""
+    o["csv_quality"] = f"""with m as (select role, turn, text from conversations)
+      select 'readable' as rule, count(*) as n_rows, count(*) filter (role <> 'user') as n_failed from m
+      union all select 'is_reply', count(*), count(*) filter (turn = 0) from m
+      union all select 'has_text', count(*), count(*) filter ({blank} = '') from m"""
+    o["sample_export"] = """select doc_id, source, text from (select *, row_number() over (partition by source
+      order by md5('42:' || doc_id), doc_id) as r from documents) where r <= 100"""
     o["split_assign"] = f"select doc_id, {split_of('doc_id')} as split from documents"
     o["split_exact"] = """with h as (select doc_id, row_number() over (order by ('0x' || substr(md5('42:' || doc_id), 1, 15))::bigint) - 1 as r from documents),
       n as (select floor(0.7 * count(*)) as a, count(*) as n from documents)
@@ -381,6 +387,16 @@ def oracles() -> dict[str, str]:
       n as (select source, count(*) as n_rows from documents group by source)
       select source, n_rows, coalesce(keywords, '') as keywords, sample_ids, '[NAME ME]' as category_slot
       from n left join kw using (source) left join sm using (source)"""
+    o["cluster_report_text"] = f"""with {terms("documents", "source", "text")},
+      top as ({ranked("source", "(select grp, term, count(*) as n from terms group by all)", 10)}),
+      kw as (select source, string_agg(term, ', ' order by rank) as keywords from top group by source),
+      shown as (select s.source, s.sample_rank, '  doc_id: ' || doc_id || chr(10) || '  text: ' ||
+          case when text is null then '[TEXT MISSING]' when {blank} = '' then '[TEXT BLANK]' else text end as line
+        from ({sample}) s join documents using (doc_id) where s.sample_rank <= 5),
+      sm as (select source, string_agg(line, chr(10) || '--' || chr(10) order by sample_rank) as samples from shown group by source),
+      n as (select source, count(*) as n from documents group by source)
+      select source, '== cluster ' || source || ' (' || n || ' rows) ==' || chr(10) || samples || chr(10) ||
+        'keywords: ' || coalesce(keywords, '') || chr(10) || 'name: [NAME ME]' as report from n join kw using (source) join sm using (source)"""
     o["pseudo_labelled"] = f"""select e.vec_id as tweet_id, d.text, e.label as cluster_id, e.category, d.source as author_id
       from ({NAMED}) e left join documents d on d.doc_id = e.vec_id"""
 

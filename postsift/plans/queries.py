@@ -183,6 +183,33 @@ def vector_round_trip(spark, sf):
     )
 
 
+@query
+def csv_quality(spark, sf):
+    """Rules over a CSV in which the agents' rows have an unreadable id and some lack a reply id."""
+    path = scratch(spark)
+    broken = F.when(F.col("inbound"), F.col("tweet_id").cast("string")).otherwise("no id")
+    tables.write_csv(messages(spark, sf).withColumn("tweet_id", broken), path)
+    rows = tables.cut_lineage(tables.read_messages_csv(spark, path, keep_corrupt=True))
+    return monitor.quality_rules(
+        rows,
+        {
+            "readable": F.col("_corrupt_record").isNull(),
+            "is_reply": F.col("in_response_to_tweet_id").isNotNull(),
+            "has_text": ~tx.is_blank(F.col("text")),
+        },
+    )
+
+
+@query
+def sample_export(spark, sf):
+    """Seeded sample per cluster with its text, exported as CSV and read back."""
+    path = scratch(spark)
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    picked = clusters.sample_per_cluster(docs, "source", "doc_id", 100).drop("sample_rank")
+    tables.write_csv(picked, path)
+    return tables.read_messages_csv(spark, path, picked.schema)
+
+
 @query
 def customer_messages(spark, sf):
     return users(spark, sf).select("conv_id", "turn", "text")
@@ -418,6 +445,15 @@ def pca_project(spark, sf):
     return projected(spark, sf).select("vec_id", "split", "x")
 
 
+@query
+def pca_variance(spark, sf):
+    """Share of the variance kept by 8, 16 and all 64 components."""
+    points = split_vectors(spark, sf).where("split = 'discovery'")
+    fits = [(k, features.fit_pca(points, "embedding", FeatureSettings(pca_components=k))) for k in (8, 16, 64)]
+    rows = [(k, round(features.explained_variance(m), 6)) for k, m in fits]
+    return spark.createDataFrame(rows, "components int, explained double")
+
+
 @query
 def kmeans_assign(spark, sf):
     points = projected(spark, sf)
@@ -690,18 +726,48 @@ def drift_psi(spark, sf):
 # End to end
 
 
+def small_settings() -> Settings:
+    return replace(Settings(), features=FeatureSettings(hashing_dims=128, pca_components=16))
+
+
+def learned(spark, sf):
+    """Preprocessed messages of all splits, and everything learned from their discovery split."""
+    s = small_settings()
+    docs = tables.spread(table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
+    lang_model = language.fit_language_model(docs)
+    raw = tables.spread(messages(spark, sf), "tweet_id")
+    texts = tables.cut_lineage(triage.preprocessed(triage.prepared(raw, s), lang_model, s))
+    found = triage.discover(texts, s)
+    labelled = tables.cut_lineage(triage.pseudo_label(texts, found, CATEGORIES))
+    return labelled, triage.train(labelled, found, lang_model)
+
+
 @query
 def triage_messages(spark, sf):
-    """Customer messages to categories: every stage, models fitted on the discovery split."""
-    s = replace(Settings(), features=FeatureSettings(hashing_dims=128, pca_components=16))
-    docs = table(spark, sf, "documents").select("text", "lang")
-    lang_model = language.fit_language_model(docs, "text", "lang")
-    texts = triage.preprocessed(triage.prepared(messages(spark, sf), s), lang_model, s)
-    texts = tables.cut_lineage(texts)
-    found = triage.discover(texts, s)
-    labelled = triage.pseudo_label(texts, found, CATEGORIES)
-    model = triage.train(labelled, found, lang_model)
-    scored = model.score_texts(texts)
+    """Customer messages to categories: every stage learned, saved, loaded, and applied to new messages."""
+    _, model = learned(spark, sf)
+    path = scratch(spark)
+    model.save(path)
+    again = triage.Triage.load(spark, path, small_settings())
+    scored = again.score(ingest.customer_messages(messages(spark, sf)))
     return scored.select(
-        "tweet_id", "split", "detected_language", "text_preprocessed", "predicted_category", "confidence"
+        "tweet_id", "detected_language", "text_preprocessed", "predicted_category", "confidence"
     )
+
+
+@query
+def triage_evaluation(spark, sf):
+    """Report of the learned classifier on all three splits."""
+    labelled, model = learned(spark, sf)
+    return triage.evaluate_all(labelled, model).report
+
+
+@query
+def recluster_recent(spark, sf):
+    """Fresh clusters of the messages since a date, with their report."""
+    s = small_settings()
+    raw = tables.spread(messages(spark, sf), "tweet_id").withColumn("detected_language", F.lit("en"))
+    typed = ingest.customer_messages(raw).withColumn("created_at", prepare.parse_created_at(F.col("created_at")))
+    texts = tables.cut_lineage(triage.preprocessed(typed, None, s))
+    _, report = triage.recluster(texts, "2017-10-01", s, k=4)
+    return report.select("cluster_id", "n_rows", "keywords", "category_slot")

@@ -67,7 +67,7 @@ class ClassifierSettings:
     max_iter: int = 1000
     balanced: bool = True
     family: str = "ovr"
-    parallelism: int = 4
+    parallelism: int = 8
 
 
 @dataclass(frozen=True)

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from check import TABLES, canonical
 
-SLOW = {"k_sweep", "word2vec_encode", "triage_messages", "train_one_against_rest", "train_multinomial"}
+SLOW = {"k_sweep", "word2vec_encode", "triage_messages", "triage_evaluation", "recluster_recent", "train_one_against_rest", "train_multinomial"}
 
 
 @pytest.fixture(scope="module")
