@@ -168,7 +168,7 @@ def drop_words(c: Column, lang: Column, lists: dict[str, Sequence[str]]) -> Colu
     for code, words in sorted(lists.items()):
         if not words:
             continue
-        kept = F.array_join(drop_tokens(F.split(c, " "), words), " ")
+        kept = F.array_join(drop_tokens(F.split(c, " "), words, fold=True), " ")
         out = F.when(lang == code, kept) if out is None else out.when(lang == code, kept)
     return c if out is None else out.otherwise(c)
 
@@ -208,21 +208,18 @@ def words(c: Column) -> Column:
     return F.filter(F.split(collapse_spaces(c), " "), lambda w: w != "")
 
 
-def drop_tokens(toks: Column, stop: Sequence[str]) -> Column:
-    return F.filter(toks, lambda w: ~F.lower(w).isin(*stop)) if stop else toks
+def drop_tokens(toks: Column, stop: Sequence[str], fold: bool = False) -> Column:
+    if not stop:
+        return toks
+    return F.filter(toks, lambda w: ~(F.lower(w) if fold else w).isin(*stop))
 
 
-def unigrams_and_bigrams(toks: Column) -> Column:
-    n = F.size(toks)
-    pairs = F.when(
-        n >= 2,
-        F.zip_with(
-            F.slice(toks, F.lit(1), F.greatest(n - 1, F.lit(0))),
-            F.slice(toks, F.lit(2), F.greatest(n - 1, F.lit(0))),
-            lambda a, b: F.concat(a, F.lit(" "), b),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
-    return F.concat(toks, pairs)
+def bigrams(toks: Column) -> Column:
+    """Neighbouring words joined by a space; null where either is null."""
+    rest = F.greatest(F.size(toks) - 1, F.lit(0))
+    return F.zip_with(
+        F.slice(toks, F.lit(1), rest), F.slice(toks, F.lit(2), rest), lambda a, b: F.concat(a, F.lit(" "), b)
+    )
 
 
 def letters_only(c: Column) -> Column:

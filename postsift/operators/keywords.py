@@ -1,14 +1,23 @@
-"""Frequent words and word pairs per group, for all groups in one job."""
+"""Frequent words and word pairs per group, for all groups in one job.
+
+Pairs are by far the most numerous terms, and nearly all of them are rare. A pair occurs at most as often
+as each of its words, so once the words are counted, only pairs of two words that are both frequent
+enough for the top list can enter it. Only those are shuffled; the result is that of counting all.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postsift.functions import text as tx
 from postsift.functions import vectors as vx
+from postsift.sources.tables import cut_lineage
+
+# A group with more frequent words than this (ties in a small group) has all its pairs counted.
+MAX_FREQUENT_WORDS = 200
 
 
 def _top(counts: DataFrame, group: str, n: int) -> DataFrame:
@@ -17,18 +26,77 @@ def _top(counts: DataFrame, group: str, n: int) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
+def _count(terms: DataFrame, group: str, texts_too: bool) -> DataFrame:
+    """``(group, term, n)`` from ``(group, terms)``, or with ``n_docs``: then terms are sorted within each
+    text, so that one pass counts both occurrences and texts."""
+    if not texts_too:
+        exploded = terms.select(group, F.explode("terms").alias("term"))
+        return exploded.groupBy(group, "term").agg(F.count(F.lit(1)).alias("n"))
+    marked = F.transform(
+        "terms",
+        lambda t, i: F.struct(
+            t.alias("term"), ((i == 0) | (t != F.get(F.col("terms"), i - 1))).alias("first")
+        ),
+    )
+    return (
+        terms.select(group, F.sort_array("terms").alias("terms"))
+        .select(group, F.inline(marked))
+        .groupBy(group, "term")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("first").alias("n_docs"))
+    )
+
+
+def _top_terms(
+    texts: DataFrame, group: str, n: int, fitting: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """``texts (group, words)`` -> top ``n`` words and pairs among those that ``fitting`` lets through; it
+    may look at ``n_docs``."""
+    by_docs = fitting is not None
+    fitting = fitting or (lambda counts: counts)
+    singles = cut_lineage(_count(texts.select(group, F.col("words").alias("terms")), group, by_docs))
+    fit_words = fitting(singles)
+    # Count of the n-th word that fits: what a pair must reach. 1 where there are fewer words.
+    w = Window.partitionBy(group).orderBy(F.col("n").desc(), F.col("term").asc())
+    nth = (
+        fit_words.withColumn("rank", F.row_number().over(w))
+        .where(F.col("rank") <= n)
+        .groupBy(group)
+        .agg(F.min(F.when(F.col("rank") == n, F.col("n"))).alias("least"))
+        .where(F.col("least").isNotNull())
+    )
+    least = F.coalesce(F.element_at(vx.as_one_map(nth, group, "least"), F.col(group)), F.lit(1))
+    frequent = singles.withColumn("least", least).where(F.col("n") >= F.col("least"))
+    small = frequent.groupBy(group).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") <= MAX_FREQUENT_WORDS)
+    sizes = vx.as_one_map(small, group, "size")
+    sets = (
+        frequent.withColumn("size", F.element_at(sizes, F.col(group)))
+        .where(F.col("size").isNotNull())
+        .groupBy(group)
+        .agg(F.collect_list("term").alias("set"))
+    )
+    allowed = F.element_at(vx.as_one_map(sets, group, "set"), F.col(group))
+    marked = F.when(F.col("allowed").isNull(), F.col("words")).otherwise(
+        F.transform("words", lambda x: F.when(F.array_contains("allowed", x), x))
+    )
+    pairs = _count(
+        texts.withColumn("allowed", allowed)
+        .select(group, marked.alias("words"))
+        .select(group, F.filter(tx.bigrams(F.col("words")), lambda p: p.isNotNull()).alias("terms")),
+        group,
+        by_docs,
+    )
+    words = fit_words.where(F.col("n") >= least)
+    return _top(words.unionByName(fitting(pairs)), group, n).select(group, "term", "n", "rank")
+
+
 def top_keywords(
     df: DataFrame, group: str, text: str, n: int = 10, stop: Sequence[str] = ()
 ) -> DataFrame:
     """``(group, term, n, rank)``: words of two or more characters, stopwords dropped before pairing."""
-    counts = (
-        df.where(F.col(text).isNotNull())
-        .select(group, tx.drop_tokens(tx.tokens(F.col(text)), stop).alias("words"))
-        .select(group, F.explode(tx.unigrams_and_bigrams(F.col("words"))).alias("term"))
-        .groupBy(group, "term")
-        .agg(F.count(F.lit(1)).alias("n"))
+    texts = df.where(F.col(text).isNotNull()).select(
+        group, tx.drop_tokens(tx.tokens(F.col(text)), stop).alias("words")
     )
-    return _top(counts, group, n)
+    return _top_terms(texts, group, n)
 
 
 def top_keywords_by_document_share(
@@ -41,40 +109,25 @@ def top_keywords_by_document_share(
     min_docs: int = 2,
     small_group: int = 100,
 ) -> DataFrame:
-    """As `top_keywords` without stopwords, but terms in too many or too few texts of the group are left
-    out: more than ``max_share``, or fewer than ``min_share`` (at least ``min_docs``) once the group has
-    more than ``small_group`` texts.
-
-    Terms are sorted within each text, so that one pass counts both occurrences and texts.
-    """
+    """``(group, term, n, rank)`` without stopwords, but terms in too many or too few texts of the group are
+    left out: more than ``max_share``, or fewer than ``min_share`` (at least ``min_docs``) once the group
+    has more than ``small_group`` texts."""
     texts = df.where(F.col(text).isNotNull())
-    with_terms = texts.select(group, tx.tokens(F.col(text)).alias("words")).select(
-        group, F.sort_array(tx.unigrams_and_bigrams(F.col("words"))).alias("terms")
-    )
-    marked = F.transform(
-        "terms",
-        lambda t, i: F.struct(
-            t.alias("term"), ((i == 0) | (t != F.get(F.col("terms"), i - 1))).alias("first")
-        ),
-    )
-    counts = (
-        with_terms.select(group, F.inline(marked))
-        .groupBy(group, "term")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if("first").alias("n_docs"))
-    )
     # One row per group, as one value of checked size: the terms are not joined or shuffled for it.
-    sizes = texts.groupBy(group).agg(F.count(F.lit(1)).alias("group_docs"))
-    packed = vx.as_one_value(sizes, group, "group_docs")
-    mine = F.get(F.filter("sizes", lambda g: g[group].eqNullSafe(F.col(group))), F.lit(0))
+    sizes = vx.as_one_value(texts.groupBy(group).agg(F.count(F.lit(1)).alias("docs")), group, "docs")
+    docs = F.get(F.filter("sizes", lambda g: g[group].eqNullSafe(F.col(group))), F.lit(0))["docs"]
     least = F.when(
-        F.col("group_docs") > small_group,
-        F.greatest(F.lit(min_docs), F.floor(F.col("group_docs") * F.lit(min_share))),
+        F.col("docs") > small_group,
+        F.greatest(F.lit(min_docs), F.floor(F.col("docs") * F.lit(min_share))),
     ).otherwise(F.lit(1))
-    kept = (
-        counts.withColumn("sizes", packed)
-        .withColumn("group_docs", mine["group_docs"])
-        .drop("sizes")
-        .where((F.col("n_docs") <= F.col("group_docs") * F.lit(max_share)) & (F.col("n_docs") >= least))
-        .drop("group_docs")
-    )
-    return _top(kept, group, n)
+
+    def fitting(counts: DataFrame) -> DataFrame:
+        return (
+            counts.withColumn("sizes", sizes)
+            .withColumn("docs", docs)
+            .where((F.col("n_docs") <= F.col("docs") * F.lit(max_share)) & (F.col("n_docs") >= least))
+            .drop("sizes", "docs")
+        )
+
+    words = texts.select(group, tx.tokens(F.col(text)).alias("words"))
+    return _top_terms(words, group, n, fitting)

@@ -74,6 +74,26 @@ def test_keywords_tie_order_and_share_limits(spark):
     assert {r.term for r in shared} == {"alpha", "zeta beta", "beta zeta", "zeta alpha"}
 
 
+@pytest.mark.parametrize("limit", [0, 3, 200])
+def test_pruned_pairs_give_the_same_keywords(spark, sf, monkeypatch, limit):
+    """With no pruning, pruning in some groups only, and pruning everywhere; one group holds most texts."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(
+        F.when(F.col("doc_id") % 5 > 0, "hot").otherwise(F.col("source")).alias("g"), "text"
+    )
+    plain = {}
+    for g, text in docs.collect():
+        words = [w for w in __import__("re").findall(r"\w{2,}", text.lower())]
+        counts = plain.setdefault(g, {})
+        for term in words + [f"{a} {b}" for a, b in zip(words, words[1:])]:
+            counts[term] = counts.get(term, 0) + 1
+    want = {g: sorted(c.items(), key=lambda x: (-x[1], x[0]))[:12] for g, c in plain.items()}
+    monkeypatch.setattr(keywords, "MAX_FREQUENT_WORDS", limit)
+    got = {}
+    for r in keywords.top_keywords(docs, "g", "text", 12).orderBy("g", "rank").collect():
+        got.setdefault(r.g, []).append((r.term, r.n))
+    assert got == want
+
+
 def test_rare_terms_go_only_in_large_groups(spark):
     rows = [("a", f"common w{i:03d}") for i in range(101)]
     got = keywords.top_keywords_by_document_share(spark.createDataFrame(rows, "g string, t string"), "g", "t", 9, max_share=1.0)
