@@ -321,6 +321,14 @@ EMOTICON_PHRASES = {
     """,
 }
 
+# Emoji with a phrase of their own; all others become neutral tags.
+EMOJI_PHRASES = {
+    "en": """
+        😮 = face with open mouth emoji
+        😲 = astonished face emoji
+    """,
+}
+
 # Irregular forms; regular English plurals are handled by rule.
 LEMMAS = {
     "en": """
@@ -503,6 +511,7 @@ def emoticons(languages: tuple[str, ...]) -> Lexicon:
         if lang == "en":
             phrases = {m: f"{m} emoji" for m in meanings.values()}
         out[lang] = {k: phrases.get(m, neutral_tag(m, "emoticon")) for k, m in meanings.items()}
+        out[lang] |= parse(EMOJI_PHRASES[lang]) if lang in EMOJI_PHRASES else {}
     return Lexicon(out)
 
 
@@ -536,6 +545,10 @@ def guarded_alternation(keys) -> str:
     return "|".join(parts)
 
 
+def is_emoji(key: str) -> bool:
+    return any(first <= ord(key[0]) <= last for first, last in EMOJI_BLOCKS)
+
+
 @cache
 def emoji_tags() -> tuple[tuple[int, tuple[str, ...]], ...]:
     """Per Unicode block: first code point and the neutral tag of each code point in the block."""

@@ -10,7 +10,7 @@ import html.entities
 from collections.abc import Callable, Sequence
 from functools import cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postsift.functions import lexicons as lx
@@ -110,8 +110,10 @@ def decode_entities(c: Column) -> Column:
     return expand(c, HTML_ENTITY, decode_entity)
 
 
-def emoji_to_tags(c: Column) -> Column:
-    """Emoji -> neutral tag. The name is found by code point in an array per block, not by search."""
+def emoji_to_tags(c: Column, lang: Column | None = None, lexicon: lx.Lexicon | None = None) -> Column:
+    """Emoji -> the lexicon's phrase for the language, else a neutral tag. The name for the tag is found by
+    code point in an array per block, not by search."""
+    tables = {g: {k: v for k, v in t.items() if lx.is_emoji(k)} for g, t in (lexicon.entries if lexicon else {}).items()}
 
     def tag(m: Column) -> Column:
         code = F.ascii(m)
@@ -120,7 +122,10 @@ def emoji_to_tags(c: Column) -> Column:
             hit = F.get(lx.literal_list(names), code - first)
             cond = code.between(first, first + len(names) - 1)
             out = F.when(cond, hit) if out is None else out.when(cond, hit)
-        return F.concat(F.lit(" "), out.otherwise(m), F.lit(" "))
+        words = out.otherwise(m)
+        if any(tables.values()):
+            words = F.coalesce(by_language(lang, tables, m, False), words)
+        return F.concat(F.lit(" "), words, F.lit(" "))
 
     return expand(c, lx.EMOJI_PATTERN, tag)
 
@@ -142,7 +147,7 @@ def by_language(
 
 
 def emoticons_to_words(c: Column, lang: Column, lexicon: lx.Lexicon) -> Column:
-    keys = sorted({k for t in lexicon.entries.values() for k in t})
+    keys = sorted({k for t in lexicon.entries.values() for k in t if not lx.is_emoji(k)})
     if not keys:
         return c
     return expand(
@@ -222,6 +227,16 @@ def bigrams(toks: Column) -> Column:
     )
 
 
+def explode_rows(df: DataFrame, *keep: Column | str, **array: Column) -> DataFrame:
+    """``keep`` columns and one row per element of the array given by keyword.
+
+    For a plain ``explode`` the optimizer adds a filter on the array and pushes it down to the scan, which
+    computes an expensive array a second time (or several). The outer form is left alone.
+    """
+    ((name, elements),) = array.items()
+    return df.select(*keep, F.explode_outer(elements).alias(name)).where(F.col(name).isNotNull())
+
+
 def letters_only(c: Column) -> Column:
     """Lower-cased letters, a space between words and at both ends; two spaces where there are none."""
     return F.concat(

@@ -30,7 +30,7 @@ def _count(terms: DataFrame, group: str, texts_too: bool) -> DataFrame:
     """``(group, term, n)`` from ``(group, terms)``, or with ``n_docs``: then terms are sorted within each
     text, so that one pass counts both occurrences and texts."""
     if not texts_too:
-        exploded = terms.select(group, F.explode("terms").alias("term"))
+        exploded = tx.explode_rows(terms, group, term=F.col("terms"))
         return exploded.groupBy(group, "term").agg(F.count(F.lit(1)).alias("n"))
     marked = F.transform(
         "terms",
@@ -40,7 +40,8 @@ def _count(terms: DataFrame, group: str, texts_too: bool) -> DataFrame:
     )
     return (
         terms.select(group, F.sort_array("terms").alias("terms"))
-        .select(group, F.inline(marked))
+        .select(group, F.inline_outer(marked))
+        .where(F.col("term").isNotNull())
         .groupBy(group, "term")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if("first").alias("n_docs"))
     )
@@ -54,25 +55,24 @@ def _top_terms(
     by_docs = fitting is not None
     fitting = fitting or (lambda counts: counts)
     singles = cut_lineage(_count(texts.select(group, F.col("words").alias("terms")), group, by_docs))
-    fit_words = fitting(singles)
     # Count of the n-th word that fits: what a pair must reach. 1 where there are fewer words.
     w = Window.partitionBy(group).orderBy(F.col("n").desc(), F.col("term").asc())
     nth = (
-        fit_words.withColumn("rank", F.row_number().over(w))
+        fitting(singles).withColumn("rank", F.row_number().over(w))
         .where(F.col("rank") <= n)
         .groupBy(group)
         .agg(F.min(F.when(F.col("rank") == n, F.col("n"))).alias("least"))
         .where(F.col("least").isNotNull())
     )
     least = F.coalesce(F.element_at(vx.as_one_map(nth, group, "least"), F.col(group)), F.lit(1))
-    frequent = singles.withColumn("least", least).where(F.col("n") >= F.col("least"))
-    small = frequent.groupBy(group).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") <= MAX_FREQUENT_WORDS)
-    sizes = vx.as_one_map(small, group, "size")
+    frequent = cut_lineage(singles.withColumn("least", least).where("n >= least").drop("least"))
+    # One word more than allowed shows that a group is too large, without collecting it.
     sets = (
-        frequent.withColumn("size", F.element_at(sizes, F.col(group)))
-        .where(F.col("size").isNotNull())
+        frequent.withColumn("rank", F.row_number().over(w))
+        .where(F.col("rank") <= MAX_FREQUENT_WORDS + 1)
         .groupBy(group)
         .agg(F.collect_list("term").alias("set"))
+        .where(F.size("set") <= MAX_FREQUENT_WORDS)
     )
     allowed = F.element_at(vx.as_one_map(sets, group, "set"), F.col(group))
     marked = F.when(F.col("allowed").isNull(), F.col("words")).otherwise(
@@ -85,8 +85,7 @@ def _top_terms(
         group,
         by_docs,
     )
-    words = fit_words.where(F.col("n") >= least)
-    return _top(words.unionByName(fitting(pairs)), group, n).select(group, "term", "n", "rank")
+    return _top(fitting(frequent).unionByName(fitting(pairs)), group, n).select(group, "term", "n", "rank")
 
 
 def top_keywords(

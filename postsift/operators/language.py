@@ -29,11 +29,13 @@ def gram_counts(labelled: DataFrame, text: str, lang: str) -> DataFrame:
     partial before the shuffle, so common trigrams cost one row per input partition."""
     letters = tx.letters_only(tx.text_or_empty(F.col(text)))
     grams = F.concat(F.array(F.lit(TEXTS)), tx.char_trigrams(F.col("letters")))
-    return (
+    texts = (
         labelled.where(F.col(lang).isNotNull())
         .select(F.col(lang).alias("lang"), letters.alias("letters"))
         .where(F.trim("letters") != "")
-        .select("lang", F.explode(grams).alias("gram"))
+    )
+    return (
+        tx.explode_rows(texts, "lang", gram=grams)
         .groupBy("lang", "gram")
         .agg(F.count(F.lit(1)).alias("n"))
     )

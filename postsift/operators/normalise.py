@@ -67,7 +67,12 @@ def language_steps(
     use = F.col("_lang")
     if s.convert_emoticons:
         table = emoticons or lx.emoticons(s.languages)
-        df = _then(df, out, tx.emoji_to_tags, lambda c: tx.emoticons_to_words(c, use, table))
+        df = _then(
+            df,
+            out,
+            lambda c: tx.emoji_to_tags(c, use, table),
+            lambda c: tx.emoticons_to_words(c, use, table),
+        )
         df = _then(df, out, tx.collapse_spaces)
     if s.expand_chat_words:
         df = _then(df, out, lambda c: tx.map_words(c, use, (chat_words or lx.chat_words()).entries))

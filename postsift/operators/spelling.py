@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postsift.functions import text as tx
 from postsift.operators import tokenmap
 
 # Forms of up to this length are spread over this many tasks.
@@ -51,7 +52,8 @@ def _swapped_neighbours(a: Column, b: Column) -> Column:
 
 def checkable(token: Column) -> Column:
     """Words that are looked at: letters only, longer than two, not all capitals."""
-    return token.rlike(r"^\p{L}{3,}$") & (token != F.upper(token))
+    capitals = (token == F.upper(token)) & (token != F.lower(token))
+    return token.rlike(r"^\p{L}{3,}$") & ~capitals
 
 
 def known_words(vocab: DataFrame, min_count: int = 5) -> DataFrame:
@@ -72,12 +74,11 @@ def _best(unknown: DataFrame, known: DataFrame, keys, close: Column, distance: i
     corpus are one row here. Very short forms are shared by the most words and are salted.
     """
     short = F.length("form") <= SHORT_FORM
-    left = unknown.withColumn("form", F.explode(keys(F.col("word")))).withColumn(
+    left = tx.explode_rows(unknown, "lang", "word", form=keys(F.col("word"))).withColumn(
         "salt", F.when(short, F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
     )
     right = (
-        known.select("lang", F.col("word").alias("correction"), "n")
-        .withColumn("form", F.explode(keys(F.col("correction"))))
+        tx.explode_rows(known, "lang", F.col("word").alias("correction"), "n", form=keys(F.col("word")))
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.when(short, F.lit(SALTS - 1)).otherwise(F.lit(0)))))
     )
     pairs = left.join(right, ["lang", "form", "salt"]).where(close)

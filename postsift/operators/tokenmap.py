@@ -16,7 +16,9 @@ def vocabulary(df: DataFrame, text: str, lang: str) -> DataFrame:
     """``(lang, token, n)`` of all space-separated words. Counts are partial before the shuffle, so very
     frequent words cost one row per input partition."""
     return (
-        df.select(F.col(lang).alias("lang"), F.explode(tx.words(tx.text_or_empty(F.col(text)))).alias("token"))
+        tx.explode_rows(
+            df, F.col(lang).alias("lang"), token=tx.words(tx.text_or_empty(F.col(text)))
+        )
         .groupBy("lang", "token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -41,10 +43,11 @@ def apply_token_map(
     changes = cut_lineage(
         mapping.where(F.col("token") != F.col("value")).select("lang", "token", "value")
     )
-    mentions = df.select(
+    mentions = tx.explode_rows(
+        df,
         F.col(key).alias("_key"),
         F.col(lang).alias("lang"),
-        F.explode(F.array_distinct(tx.words(F.col(text)))).alias("token"),
+        token=F.array_distinct(tx.words(F.col(text))),
     )
     if changes.count() <= broadcast_rows:
         hits = mentions.join(F.broadcast(changes), ["lang", "token"])

@@ -115,11 +115,11 @@ def emoji(e: str) -> str:
         f"when unicode(p[2]) between {first} and {first + len(names) - 1} then block{i}[unicode(p[2]) - {first} + 1]"
         for i, (first, names) in enumerate(lx.emoji_tags())
     )
-    return pieces(e, lx.EMOJI_PATTERN, f"' ' || case {cases} else p[2] end || ' '")
+    return pieces(e, lx.EMOJI_PATTERN, f"' ' || coalesce(em[p[2]], case {cases} else p[2] end) || ' '")
 
 
 def emoticons(e: str) -> str:
-    keys = sorted({k for t in lx.emoticons(LANGUAGES).entries.values() for k in t})
+    keys = sorted({k for t in lx.emoticons(LANGUAGES).entries.values() for k in t if not lx.is_emoji(k)})
     pattern = "(?i)(?:" + lx.alternation(keys) + ")"
     return pieces(e, pattern, "' ' || coalesce(em[lower(p[2])], p[2]) || ' '")
 

@@ -54,7 +54,7 @@ CATEGORIES = {
 
 # Appended to messages so that the emoticon and chat-word steps have something to do; one per language.
 DECORATION = {
-    "en": " lol :) thx u 😀",
+    "en": " lol :) thx u 😀 😲",
     "es": " xfa salu2 :-( <3",
     "fr": " mdr bcp XD 🚀",
     "de": " vlt thx ;-) :P",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -143,10 +144,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> bool:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the session's checkpoint folder (``spark.checkpoint.dir``) and go on from there.
+    """Write the rows to the session's checkpoint folder and go on from the written table.
 
-    On a cluster without such a folder the rows are persisted instead and can be recomputed if lost.
+    A Parquet table rather than ``checkpoint()``: columns are pruned on reading, and its size is known, so
+    that small results are broadcast. On a cluster without a checkpoint folder the rows are persisted
+    instead and can be recomputed if lost.
     """
-    if ensure_checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    if not ensure_checkpoint_dir(spark):
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

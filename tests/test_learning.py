@@ -1,6 +1,7 @@
 """Features, clusters, validity, classifier, evaluation, monitoring, and the job as a whole."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -82,7 +83,7 @@ def test_pruned_pairs_give_the_same_keywords(spark, sf, monkeypatch, limit):
     )
     plain = {}
     for g, text in docs.collect():
-        words = [w for w in __import__("re").findall(r"\w{2,}", text.lower())]
+        words = [w for w in re.findall(r"\w{2,}", text.lower())]
         counts = plain.setdefault(g, {})
         for term in words + [f"{a} {b}" for a, b in zip(words, words[1:])]:
             counts[term] = counts.get(term, 0) + 1

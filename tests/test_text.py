@@ -102,6 +102,13 @@ def test_emoji_become_neutral_tags(spark):
     ]
 
 
+def test_emoji_with_a_phrase(spark):
+    assert chain(spark, [("oh 😲", "en"), ("oh 😲", "es")], lemmatise=False) == [
+        "oh astonished face emoji",
+        "oh emoji_astonished_face",
+    ]
+
+
 def test_tags_survive_punctuation(spark):
     assert run(spark, tx.strip_punctuation, "a!b_c'd¿e", "order 123", string.punctuation) == [
         "ab_cd¿e",
