@@ -429,7 +429,7 @@ def user_encoder(spark, sf):
     docs = tables.spread(table(spark, sf, "documents"), "doc_id")
     docs = docs.select("doc_id", F.lower("text").alias("text"))
     done = features.encode_with(docs, letter_shares, 26, "text")
-    return done.select("doc_id", F.posexplode("embedding").alias("position", "v")).select(
+    return done.select("doc_id", F.posexplode_outer("embedding").alias("position", "v")).select(
         "doc_id", F.col("position").cast("bigint").alias("position"), F.round(F.col("v").cast("double"), 5).alias("share")
     )
 
