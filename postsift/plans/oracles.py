@@ -5,6 +5,7 @@ Word lists are handed over as ``VALUES``; everything else is computed in SQL ove
 
 from __future__ import annotations
 
+import os
 import zipfile
 from functools import cache
 from pathlib import Path
@@ -29,11 +30,19 @@ def values(rows, columns: str) -> str:
 
 @cache
 def stopword_list(name: str) -> tuple[str, ...]:
-    """The list Spark ships, read from its jar, so that no session is needed here."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as z:
-        words = z.read(f"org/apache/spark/ml/feature/stopwords/{name}.txt").decode("utf-8")
-    return tuple(w for w in words.splitlines() if w)
+    """The list Spark ships: from the running session, or from the jars of the Spark installation."""
+    from pyspark import SparkContext
+
+    if SparkContext._active_spark_context is not None:
+        from pyspark.ml.feature import StopWordsRemover
+
+        return tuple(StopWordsRemover.loadDefaultStopWords(name))
+    homes = [os.environ["SPARK_HOME"]] if "SPARK_HOME" in os.environ else []
+    for jar in (j for h in [*homes, Path(pyspark.__file__).parent] for j in (Path(h) / "jars").glob("spark-mllib_*.jar")):
+        with zipfile.ZipFile(jar) as z:
+            words = z.read(f"org/apache/spark/ml/feature/stopwords/{name}.txt").decode("utf-8")
+        return tuple(w for w in words.splitlines() if w)
+    raise LookupError(f"no running session and no Spark jars to read the stopwords {name!r} from")
 
 
 SPACES = q(tx.SPACE + "+")

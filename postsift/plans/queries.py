@@ -35,7 +35,7 @@ from postsift.operators import (
 )
 from postsift.plans import triage
 from postsift.settings import LANGUAGES, ClassifierSettings, FeatureSettings, Settings, TextSettings
-from postsift.sources import tables
+from postsift.sources import shipping, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -426,6 +426,7 @@ def letter_shares():
 
 @query
 def user_encoder(spark, sf):
+    shipping.ship(spark)
     docs = tables.spread(table(spark, sf, "documents"), "doc_id")
     docs = docs.select("doc_id", F.lower("text").alias("text"))
     done = features.encode_with(docs, letter_shares, 26, "text")
