@@ -3,3 +3,15 @@
 from __future__ import annotations
 
 LLM_SQL: dict[str, str] = {}
+
+LLM_SQL["op1_line_dedup"] = """
+with split as (
+  select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as i
+  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents)),
+keyed as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from split),
+often as (select key, max(doc_id) as keeper from keyed where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
+marked as (select k.doc_id, k.i, k.line, o.key is not null and k.doc_id <> o.keeper as gone from keyed k left join often o using (key))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from marked group by doc_id"""

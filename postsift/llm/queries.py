@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import bpe
+from postsift.llm import bpe, linededup
 from postsift.llm.common import by_key, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,14 @@ def query(f):
     return f
 
 
+@query
+def op1_line_dedup(spark, sf):
+    """Drop long lines that five documents or more hold, but in the last of them."""
+    docs = by_key(table(spark, sf, "documents"), {"doc_id": "doc_id", "text": "text"})
+    done = linededup.line_dedup(docs)
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query
 def op2_bpe(spark, sf):
     """Encode every text with the lower-casing vocabulary and decode the ids again."""
