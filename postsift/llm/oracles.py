@@ -15,3 +15,19 @@ marked as (select k.doc_id, k.i, k.line, o.key is not null and k.doc_id <> o.kee
 select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
 from marked group by doc_id"""
+
+
+def base32(sha1: str) -> str:
+    """SHA-1 in hexadecimal as base 32: the number's 5-bit groups."""
+    groups = ", ".join(f"('0x' || substr({sha1}, {1 + 5 * i}, 5))::bigint" for i in range(8))
+    digits = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((x >> {s}) & 31)::int, 1)" for s in (15, 10, 5, 0))
+    return f"array_to_string(list_transform([{groups}], lambda x: {digits}), '')"
+
+
+LLM_SQL["op5_warc"] = f"""
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages),
+f as (select *, min(page_id) over (partition by html) as first from p)
+select page_id, strlen(html)::bigint as payload_bytes, {base32("hex")} as payload_digest,
+  case when page_id is distinct from first and first is not null then 'revisit' else 'response' end as record_type,
+  case when page_id is distinct from first then first end as refers_to
+from f"""

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import bpe, linededup
-from postsift.llm.common import by_key, table
+from postsift.llm import bpe, linededup, warc
+from postsift.llm.common import Scratch, by_key, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -40,3 +40,40 @@ def op2_bpe(spark, sf):
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op5_warc(spark, sf):
+    """Archive every page, payloads once, and read the archives back."""
+    scratch = Scratch(spark, "warc")
+    html = F.coalesce(F.col("html"), F.lit(""))
+    pages = table(spark, sf, "pages").select("page_id", "url", F.encode(html, "UTF-8").alias("payload"))
+    marked = warc.mark_revisits(pages, "page_id", "payload", scratch.written)
+
+    def urn(c):
+        return F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
+
+    archived = marked.select(
+        urn("page_id").alias("record_id"),
+        "record_type",
+        F.col("url").alias("target_uri"),
+        F.lit("2026-01-01T00:00:00Z").alias("date"),
+        F.when(F.col("refers_to").isNotNull(), urn("refers_to")).alias("refers_to"),
+        F.concat(F.lit("sha1:"), F.col("payload_digest")).alias("payload_digest"),
+        F.length("payload").cast("long").alias("payload_length"),
+        "payload",
+    )
+    warc.write_warc(archived, scratch.path("archive"))
+    back = warc.read_warc(spark, scratch.path("archive")).where(F.col("record_type").isin("response", "revisit"))
+
+    def page(c):
+        return F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long")
+
+    whole = F.col("record_type") == "response"
+    return back.select(
+        page("record_id").alias("page_id"),
+        F.when(whole, F.length("payload")).otherwise(F.col("payload_length")).cast("long").alias("payload_bytes"),
+        F.when(whole, warc.base32_sha1(F.col("payload"))).otherwise(F.substring("payload_digest", 6, 32)).alias("payload_digest"),
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
