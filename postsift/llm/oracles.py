@@ -31,3 +31,12 @@ select page_id, strlen(html)::bigint as payload_bytes, {base32("hex")} as payloa
   case when page_id is distinct from first and first is not null then 'revisit' else 'response' end as record_type,
   case when page_id is distinct from first then first end as refers_to
 from f"""
+
+
+LLM_SQL["op6_top_k"] = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e from embeddings
+  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint as score
+  from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 10"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import bpe, linededup, warc
+from postsift.llm import bpe, linededup, topk, warc
 from postsift.llm.common import Scratch, by_key, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,10 @@ def op5_warc(spark, sf):
         "record_type",
         page("refers_to").alias("refers_to"),
     )
+
+
+@query
+def op6_top_k(spark, sf):
+    """The ten best partners, by integer inner product, of every hundredth vector."""
+    vectors = by_key(table(spark, sf, "embeddings"), {"vec_id": "vec_id", "embedding": "embedding"})
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
