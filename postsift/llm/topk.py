@@ -4,7 +4,8 @@ Rows are dealt into blocks. In a block each component is a list of the rows sort
 from the end that adds most, a stretch of all of them at a time. What a row has added so far, plus the least or the most that
 the unread rest of its lists can add, bounds its score from below and above. Rows whose upper bound is under the k-th
 largest lower bound are out. Reading stops when no outsider can qualify; the scores of the rows still in are then resolved.
-Blocks of queries meet blocks of rows, and the best k of each block go on to a ranking per query.
+Blocks of queries meet blocks of rows, and the best k of each block go on to a ranking per query. Within a block all queries
+read on together, so that the sums and bounds of a stretch are four matrix products.
 
 Each row travels once per block of queries, each query once per block of rows, and k rows per query and block come back, so
 no task holds more than one block of each.
@@ -27,41 +28,52 @@ from pyspark.sql import functions as F
 from postsift.llm.common import Scratch
 
 #: Rows and queries in a block; the largest number that double precision counts exactly up to.
-ROWS, QUERIES, EXACT = 8192, 512, 1 << 53
-
-
-def best(rows: np.ndarray, ids: np.ndarray, order: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the best k rows of a block. ``order``: rows sorted by each component, one component per row."""
-    n, dims = rows.shape
-    up = query > 0
-    adds = np.zeros((n, dims))  # what each list adds at each depth of reading
-    adds[:, up] = np.take_along_axis(rows[:, up], order[up].T[::-1], 0) * query[up]
-    adds[:, ~up] = np.take_along_axis(rows[:, ~up], order[~up].T, 0) * query[~up]
-    read_order = np.where(up[:, None], order[:, ::-1], order)
-    least = adds[-1]
-    known, seen = np.zeros(n), np.zeros((n, dims))
-    inside = ids != own
-    wanted = min(k, int(inside.sum()))
-    if not wanted:
-        return ids[:0], np.zeros(0, np.int64)
-    depth, left = 0, inside
-    while depth < n:
-        until = n if n - depth < 4 * k else depth + (n - depth + 1) // 2
-        at = read_order[:, depth:until]
-        known += np.bincount(at.ravel(), adds[depth:until].T.ravel(), n)
-        seen[at, np.arange(dims)[:, None]] = 1
-        depth = until
-        low = known + (least.sum() - seen @ least)
-        most = adds[depth - 1]
-        high = known + (most.sum() - seen @ most)
-        bar = np.partition(low[inside], -wanted)[-wanted]
-        left = inside & (high >= bar - 0.5)  # scores are whole numbers
-        if left.sum() <= max(wanted, 4 * k):
-            break
-    rest = np.flatnonzero(left)
-    scores = rows[rest].astype(np.int64) @ query.astype(np.int64)  # at most a few, or all that tie
-    top = np.lexsort((ids[rest], -scores))[:k]
-    return ids[rest][top], scores[top]
+ROWS, QUERIES, EXACT = 8192, 256, 1 << 53
+
+
+def best(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query the places and scores of the best k rows of a block whose id is not the query's."""
+    n = len(rows)
+    order = np.argsort(rows, axis=0, kind="stable")
+    rank, columns = np.empty_like(order), np.arange(rows.shape[1])
+    rank[order, columns] = np.arange(n)[:, None]
+    lists = rows[order, columns]  # each component's list, from its least value
+    up, down = np.maximum(queries, 0), np.minimum(queries, 0)  # read from the end, and from the beginning
+    out: list = [None] * len(queries)
+    going, depth = np.arange(len(queries)), 0
+    while len(going):
+        depth = n if n - depth < 64 else depth + (n - depth + 1) // 2
+        read_up, read_down = rank >= n - depth, rank < depth
+        q_up, q_down = up[going], down[going]
+        known = (rows * read_up) @ q_up.T + (rows * read_down) @ q_down.T
+        # Unread entries of a list add at most what the last one read did, and at least what the list's other end does.
+        most = known + ~read_up @ (q_up * lists[n - depth]).T + ~read_down @ (q_down * lists[depth - 1]).T
+        low = known + ~read_up @ (q_up * lists[0]).T + ~read_down @ (q_down * lists[-1]).T
+        still = []
+        for j, i in enumerate(going.tolist()):
+            inside = np.flatnonzero(ids != own[i])
+            wanted = min(k, len(inside))
+            if not wanted:
+                out[i] = (inside, np.zeros(0, np.int64))
+                continue
+            bar = np.partition(low[inside, j], -wanted)[-wanted]
+            left = inside[most[inside, j] >= bar - 0.5]  # scores are whole numbers
+            if depth < n and len(left) > 4 * k:
+                still.append(i)
+                continue
+            scores = rows[left].astype(np.int64) @ queries[i].astype(np.int64)
+            top = np.lexsort((ids[left], -scores))[:k]
+            out[i] = (left[top], scores[top])
+        going = np.array(still, np.int64)
+    return out
+
+
+def plain_best(rows: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same from all scores, for components too large to bound in double precision."""
+    inside = np.flatnonzero(ids != own)
+    scores = rows[inside] @ query
+    top = np.lexsort((ids[inside], -scores))[:k]
+    return inside[top], scores[top]
 
 
 def block_best(rows: pa.Table, queries: pa.Table, k: int) -> pa.Table:
@@ -69,23 +81,17 @@ def block_best(rows: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     out: dict[str, list] = {"query_id": [], "query_row": [], "vec_id": [], "score": []}
     if rows.num_rows and queries.num_rows:
         whole = [np.array(t["ints"].combine_chunks().flatten(), np.int64).reshape(t.num_rows, -1) for t in (rows, queries)]
-        ids, dims = rows["id"].to_numpy(), whole[0].shape[1]
-        if np.abs(whole[0]).max().astype(float) * np.abs(whole[1]).max().astype(float) * dims >= EXACT:
-            lists = None  # bounds in double precision would not be exact
-        else:
-            lists = np.argsort(whole[0], axis=0, kind="stable").T
-            floats = whole[0].astype(float)
-        for query, own, row in zip(whole[1], queries["id"].to_pylist(), queries["row"].to_pylist()):
-            if lists is None:
-                scores, others = whole[0] @ query, ids != own
-                top = np.lexsort((ids[others], -scores[others]))[:k]
-                found, score = ids[others][top], scores[others][top]
-            else:
-                found, score = best(floats, ids, lists, query.astype(float), own, k)
-            out["query_id"] += [own] * len(found)
-            out["query_row"] += [row] * len(found)
-            out["vec_id"] += found.tolist()
-            out["score"] += score.tolist()
+        ids, own = rows["id"].to_numpy(), queries["id"].to_numpy()
+        largest = [float(np.abs(x).max()) for x in whole]
+        if largest[0] * largest[1] * whole[0].shape[1] < EXACT:
+            found = best(whole[0].astype(float), ids, whole[1].astype(float), own, k)
+        else:  # bounds in double precision would not be exact
+            found = [plain_best(whole[0], ids, q, i, k) for q, i in zip(whole[1], own)]
+        for (places, scores), i, row in zip(found, own.tolist(), queries["row"].to_pylist()):
+            out["query_id"] += [i] * len(places)
+            out["query_row"] += [row] * len(places)
+            out["vec_id"] += ids[places].tolist()
+            out["score"] += scores.tolist()
     return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
 
 
