@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import bpe, linededup, topk, warc
+from postsift.llm import bpe, htmltext, linededup, topk, warc
 from postsift.llm.common import Scratch, by_key, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,14 @@ def op2_bpe(spark, sf):
     )
 
 
+@query
+def op3_html(spark, sf):
+    """Main text of every page."""
+    pages = by_key(table(spark, sf, "pages"), {"page_id": "page_id", "url": "url", "html": "html"})
+    done = htmltext.extract(pages).select("page_id", "url", "text")
+    return done.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op5_warc(spark, sf):
     """Archive every page, payloads once, and read the archives back."""
