@@ -31,7 +31,7 @@ from postsift.llm import pretokens as pt
 from postsift.sources.shipping import ship
 
 #: Code points handled at a time, and distinct fragments remembered, by one Python worker.
-SLICE, REMEMBERED = 3_000_000, 500_000
+SLICE, REMEMBERED = 1_000_000, 200_000
 #: Rank of a pair that is never joined; bytes from which a fragment is handled alone; a byte that no UTF-8 text has.
 NEVER, LONG, END = 1 << 30, 64, b"\xff"
 
@@ -324,6 +324,12 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
+def lengths(column: pa.Array) -> np.ndarray:
+    """Bytes of each text, or entries of each list; nulls are empty."""
+    sizes = pc.list_value_length(column) if pa.types.is_list(column.type) else pc.binary_length(column)
+    return sizes.fill_null(0).to_numpy(zero_copy_only=False)
+
+
 def add_column(df: DataFrame, name: str, kind, work: Callable[[pa.Array], pa.Array], source: str) -> DataFrame:
     """``df`` with a column computed per Arrow batch from the column ``source``."""
     ship(df.sparkSession)
@@ -331,11 +337,13 @@ def add_column(df: DataFrame, name: str, kind, work: Callable[[pa.Array], pa.Arr
     schema = df.select(*[F.col(f"`{c}`") for c in keep]).schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = b.schema.get_field_index(source)
-            columns = [b.column(i) for i, c in enumerate(b.schema.names) if c != name]
-            names = [c for c in b.schema.names if c != name]
-            yield pa.RecordBatch.from_arrays([*columns, work(b.column(at))], names=[*names, name])
+        for whole in batches:
+            sizes = lengths(whole.column(whole.schema.get_field_index(source)))
+            for begin, end in pt.slices(sizes.tolist(), SLICE):
+                b = whole.slice(begin, end - begin)
+                columns = {c: b.column(i) for i, c in enumerate(b.schema.names)}
+                new = work(columns[source])
+                yield pa.RecordBatch.from_arrays([*[columns[c] for c in keep], new], names=[*keep, name])
 
     return df.mapInArrow(run, schema)
 
@@ -358,7 +366,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
     def work(lists: pa.Array) -> pa.Array:
         if lists.null_count:
             lists = pa.array([x or [] for x in lists.to_pylist()], pa.list_(pa.int32()))
-        sizes = lists.value_lengths().to_numpy()
-        return vocabulary(path).decode(lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(sizes))))
+        until = np.concatenate(([0], np.cumsum(lengths(lists))))
+        return vocabulary(path).decode(lists.flatten().to_numpy(), until)
 
     return add_column(df, decoded, StringType(), work, ids)
