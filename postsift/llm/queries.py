@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import bpe, htmltext, linededup, topk, warc
+from postsift.llm import bpe, htmltext, linededup, packing, topk, warc
 from postsift.llm.common import Scratch, by_key, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,12 @@ def op6_top_k(spark, sf):
     """The ten best partners, by integer inner product, of every hundredth vector."""
     vectors = by_key(table(spark, sf, "embeddings"), {"vec_id": "vec_id", "embedding": "embedding"})
     return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op9_packing(spark, sf):
+    """Pack all documents into sequences of at most 2048 tokens."""
+    scratch = Scratch(spark, "packing")
+    pieces = packing.cut(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(scratch.written(pieces, "pieces"))
