@@ -24,11 +24,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType
 
 from postsift.llm import pretokens as pt
-from postsift.sources.shipping import ship
+from postsift.llm.common import batches_of
 
 #: Code points handled at a time, and distinct fragments remembered, by one Python worker.
 SLICE, REMEMBERED = 1_000_000, 200_000
@@ -330,22 +329,16 @@ def lengths(column: pa.Array) -> np.ndarray:
     return sizes.fill_null(0).to_numpy(zero_copy_only=False)
 
 
-def add_column(df: DataFrame, name: str, kind, work: Callable[[pa.Array], pa.Array], source: str) -> DataFrame:
-    """``df`` with a column computed per Arrow batch from the column ``source``."""
-    ship(df.sparkSession)
-    keep = [c for c in df.columns if c != name]
-    schema = df.select(*[F.col(f"`{c}`") for c in keep]).schema.add(name, kind)
+def add_column(df: DataFrame, name: str, kind: DataType, work: Callable[[pa.Array], pa.Array], source: str) -> DataFrame:
+    """``df`` with a column computed from the column ``source``, in slices of bounded size."""
+    at = df.columns.index(source)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            sizes = lengths(whole.column(whole.schema.get_field_index(source)))
-            for begin, end in pt.slices(sizes.tolist(), SLICE):
-                b = whole.slice(begin, end - begin)
-                columns = {c: b.column(i) for i, c in enumerate(b.schema.names)}
-                new = work(columns[source])
-                yield pa.RecordBatch.from_arrays([*[columns[c] for c in keep], new], names=[*keep, name])
+    def slices(whole: pa.RecordBatch) -> Iterator[tuple[int, int, dict]]:
+        column = whole.column(at)
+        for begin, end in pt.slices(lengths(column).tolist(), SLICE):
+            yield begin, end, {name: work(column.slice(begin, end - begin))}
 
-    return df.mapInArrow(run, schema)
+    return batches_of(df, slices, {name: kind})
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:

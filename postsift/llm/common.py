@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from postsift.sources.shipping import ship
 
@@ -52,6 +55,27 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def batches_of(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[tuple[int, int, dict]]], new: dict[str, DataType]) -> DataFrame:
+    """``df`` with columns computed per Arrow batch; columns of the same names are replaced, others kept whatever they are called.
+
+    ``work`` yields, for consecutive slices of a batch, where they begin and end and their new columns.
+    """
+    ship(df.sparkSession)
+    kept = [i for i, c in enumerate(df.columns) if c not in new]
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # names that are repeated or hold dots would not resolve
+    fields = plain.schema.fields
+    names = [f"c{i}" for i in kept] + [f"new{i}" for i in range(len(new))]
+    schema = StructType([fields[i] for i in kept] + [StructField(f"new{i}", t) for i, t in enumerate(new.values())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for begin, end, columns in work(whole):
+                b = whole.slice(begin, end - begin)
+                yield pa.RecordBatch.from_arrays([*[b.column(i) for i in kept], *[columns[c] for c in new]], names=names)
+
+    return plain.mapInArrow(run, schema).toDF(*[df.columns[i] for i in kept], *new)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -20,6 +20,7 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StringType
 
 from postsift.llm.bpe import add_column
 
@@ -265,4 +266,4 @@ def extract(df: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
     def work(pages: pa.Array) -> pa.Array:
         return pa.array([main_text(p) if p else "" for p in pages.to_pylist()], pa.string())
 
-    return add_column(df, text, "string", work, html)
+    return add_column(df, text, StringType(), work, html)

@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import bpe, htmltext, linededup, packing, topk, warc
+from postsift.llm import bpe, htmltext, linededup, packing, quality, tokencounts, topk, warc
 from postsift.llm.common import Scratch, by_key, table
 
+#: Documents below this quality score are rejected.
+KEEP_SCORE = 0.3
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -94,6 +96,26 @@ def op6_top_k(spark, sf):
     return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
 
 
+@query
+def op7_quality(spark, sf):
+    """Score every document by rules learned from the labelled ones."""
+    scratch = Scratch(spark, "quality")
+    docs = by_key(table(spark, sf, "documents"), {"doc_id": "doc_id", "text": "text"})
+    stats = scratch.written(quality.with_statistics(docs).drop("text"), "statistics")
+    model = quality.fit(stats, table(spark, sf, "labels"))
+    scored = stats.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), model.score().alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= KEEP_SCORE).cast("int"))
+
+
+@query
+def op8_token_counts(spark, sf):
+    """Documents and tokens over, and tokens left within, every context limit."""
+    scratch = Scratch(spark, "counts")
+    docs = by_key(table(spark, sf, "documents"), {"text": "text"})
+    lengths = tokencounts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).select("n_tokens")
+    return tokencounts.limits(scratch.written(tokencounts.histogram(lengths), "histogram"))
+
+
 @query
 def op9_packing(spark, sf):
     """Pack all documents into sequences of at most 2048 tokens."""
