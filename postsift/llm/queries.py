@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import bpe, htmltext, linededup, packing, quality, tokencounts, topk, warc
+from postsift.llm import bpe, htmltext, linededup, ngramjoin, packing, quality, tokencounts, topk, warc
 from postsift.llm.common import Scratch, by_key, table
 
 #: Documents below this quality score are rejected.
@@ -123,3 +123,9 @@ def op9_packing(spark, sf):
     pieces = packing.cut(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(scratch.written(pieces, "pieces"))
+
+
+@query
+def op10_ngram_join(spark, sf):
+    """Components of documents whose sets of five-word shingles are similar."""
+    return ngramjoin.jaccard_join(table(spark, sf, "documents")).withColumnRenamed("doc", "doc_id")
