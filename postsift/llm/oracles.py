@@ -40,3 +40,31 @@ s as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint
   from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 10"""
+
+
+LLM_SQL["op4_near_vectors"] = """
+with recursive v as (select row_number() over () as i, vec_id, label, list_transform(embedding, lambda x: x::double) as e from embeddings),
+ok as (select * from v where vec_id is not null and label is not null and len(e) > 0 and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+  and len(list_filter(e, lambda x: x <> 0)) > 0),
+link as (select a.i as a, b.i as b from ok a join ok b on a.label = b.label and a.i <> b.i and len(a.e) = len(b.e)
+  and list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(i, j) as (select i, i from ok union select l.b, r.j from reach r join link l on l.a = r.i),
+root as (select r.i, min(v.vec_id) as component_id from reach r join v on v.i = r.j group by r.i),
+n as (select a, count(*) as n_links from link group by a)
+select v.vec_id, coalesce(n.n_links, 0)::bigint as n_links, coalesce(root.component_id, v.vec_id) as component_id,
+  v.vec_id = coalesce(root.component_id, v.vec_id) as kept
+from v left join n on n.a = v.i left join root on root.i = v.i"""
+
+LLM_SQL["op10_ngram_join"] = r"""
+with recursive w as (select row_number() over () as i, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select i, doc_id, list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k+4], ' '))
+  when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from w),
+e as (select i, len(s) as n, unnest(s) as g from s),
+often as (select g from e group by g having count(*) > 1),
+few as (select e.* from e join often using (g)),
+link as (select a.i as a, b.i as b from few a join few b on a.g = b.g and a.i <> b.i
+  group by a.i, b.i having 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach(i, j) as (select i, i from s union select l.b, r.j from reach r join link l on l.a = r.i)
+select s.doc_id, len(s.s)::bigint as n_shingles, m.component_id
+from s join (select r.i, min(s.doc_id) as component_id from reach r join s on s.i = r.j group by r.i) m on m.i = s.i"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import bpe, htmltext, linededup, ngramjoin, packing, quality, tokencounts, topk, warc
+from postsift.llm import bpe, htmltext, linededup, nearvec, ngramjoin, packing, quality, tokencounts, topk, warc
 from postsift.llm.common import Scratch, by_key, table
 
 #: Documents below this quality score are rejected.
@@ -52,6 +52,12 @@ def op3_html(spark, sf):
     return done.withColumn("n_chars", F.length("text").cast("long"))
 
 
+@query
+def op4_near_vectors(spark, sf):
+    """Links and components of vectors of the same label with a cosine of 0.98 or more."""
+    return nearvec.near_duplicates(table(spark, sf, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 @query
 def op5_warc(spark, sf):
     """Archive every page, payloads once, and read the archives back."""
