@@ -139,7 +139,7 @@ class WarcReader(DataSourceReader):
                 size = 0
             groups[-1].append(path)
             size += n
-        return [InputPartition(g) for g in groups]
+        return [InputPartition(g) for g in groups or [[]]]
 
     def wanted(self, headers: dict) -> bool:
         return all(headers.get(c) is not None and TESTS[kind](headers[c], value) for c, kind, value in self.tests)
@@ -210,7 +210,7 @@ class WarcWriter(DataSourceArrowWriter):
                         if out is not None:
                             out.close()
                         done.names.append(f"part-{uuid.uuid4().hex}.warc" + ".gz" * self.packed)
-                        out, size = io.BufferedWriter(fs.open_output_stream(f"{root}/_temporary/{done.names[-1]}"), BLOCK), 0
+                        out, size = io.BufferedWriter(fs.open_output_stream(f"{root}/_temporary/{done.names[-1]}", compression=None), BLOCK), 0
                     out.write(data)
                     size += len(data)
         finally:
@@ -292,13 +292,14 @@ def mark_revisits(df: DataFrame, key: str, payload: str, written: Callable[[Data
     and digests are grouped, counted per partition first; ``written`` stores the list of revisits, so that the join with
     the payloads sees its size.
     """
-    bytes_ = F.coalesce(F.col(f"`{payload}`"), F.lit(b""))
-    rows = df.drop("payload_digest", "record_type", "refers_to").withColumn("payload_digest", base32_sha1(bytes_))
-    k = F.col(f"`{key}`")
-    known = rows.where(F.length(bytes_) >= min_bytes).select(k.alias("key"), "payload_digest")
+    new = ("payload_digest", "record_type", "refers_to")
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in new]).alias("row")
+    rows = df.select(whole, F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{payload}`"), F.lit(b"")).alias("bytes"))
+    rows = rows.withColumn("payload_digest", base32_sha1(F.col("bytes")))
+    known = rows.where(F.length("bytes") >= min_bytes).select("key", "payload_digest")
     first = known.groupBy("payload_digest").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
     again = known.join(first, "payload_digest").where(~F.col("key").eqNullSafe(F.col("first")))
-    again = written(again.select("key", F.col("payload_digest").alias("same"), "first").distinct(), "revisits")
-    joined = rows.join(again, k.eqNullSafe(F.col("key")) & (F.col("payload_digest") == F.col("same")), "left")
+    again = written(again.select(F.col("key").alias("again"), F.col("payload_digest").alias("same"), "first").distinct(), "revisits")
+    joined = rows.join(again, F.col("key").eqNullSafe(F.col("again")) & (F.col("payload_digest") == F.col("same")), "left")
     kind = F.when(F.col("same").isNull(), "response").otherwise("revisit")
-    return joined.withColumn("record_type", kind).withColumn("refers_to", F.col("first")).drop("key", "same", "first")
+    return joined.select("row.*", "payload_digest", kind.alias("record_type"), F.col("first").alias("refers_to"))
