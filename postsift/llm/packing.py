@@ -110,8 +110,11 @@ class Search:
             victim = next((int(v) for v in order if self.fill[v] > 0 and int(v) not in failed), None)
             if victim is None:
                 return
+            exchanged = False
             while self.fill[victim] and self.exchange(victim):
-                pass
+                exchanged = True
+            if exchanged:
+                failed.clear()  # what others lacked may fit now
             if self.fill[victim]:
                 failed.add(victim)
                 row += 1
