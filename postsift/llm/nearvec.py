@@ -48,13 +48,25 @@ def cap_bound(share: float, dims: int) -> float:
     return float(x[np.searchsorted(-above / above[0], -share)])
 
 
+def cap_share(bound: float, dims: int) -> float:
+    """Probability that a random direction has at least this cosine with a given one."""
+    x = np.linspace(-1, 1, 400_001)
+    density = np.maximum(0, 1 - x * x) ** ((max(dims, 3) - 3) / 2)
+    return float(density[x >= bound].sum() / density.sum())
+
+
 @cache
-def code(dims: int, largest: int, seed: int = 42) -> tuple[np.ndarray, list[np.ndarray], float]:
-    """Rotation, code book of each part, and the bound, for ``largest`` vectors of one label."""
+def code(dims: int, largest: int, cosine: float, seed: int = 42) -> tuple[np.ndarray, list[np.ndarray], float]:
+    """Rotation, code book of each part, and the bound, for ``largest`` vectors of one label and links of that cosine.
+
+    In few dimensions, caps that hold few vectors are too narrow for two vectors at that cosine; caps are at least twice as
+    wide as their angle, and the code is not cut into parts of less than eight components.
+    """
     rng = np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.standard_normal((dims, dims)))[0]
-    share = min(0.02, HELD / max(largest, 1))
-    parts = np.array_split(np.arange(dims), min(PARTS, dims))
+    share = max(HELD / max(largest, 1), cap_share(2 * cosine * cosine - 1, dims))
+    share = min(0.02, share) if dims >= 16 else share
+    parts = np.array_split(np.arange(dims), max(1, min(PARTS, dims // 8)))
     size = max(2, math.ceil((LISTED / share) ** (1 / len(parts))))
     books = []
     for p in parts:
@@ -64,10 +76,10 @@ def code(dims: int, largest: int, seed: int = 42) -> tuple[np.ndarray, list[np.n
     return rotation, books, cap_bound(min(0.5, LISTED / float(size) ** len(parts)), dims)
 
 
-def decode(vectors: np.ndarray, largest: int) -> list[np.ndarray]:
+def decode(vectors: np.ndarray, largest: int, cosine: float = 0.98) -> list[np.ndarray]:
     """The sorted filters of each vector (of length one)."""
     n, dims = vectors.shape
-    rotation, books, bound = code(dims, largest)
+    rotation, books, bound = code(dims, largest, cosine)
     turned = vectors @ rotation
     cuts = np.cumsum([b.shape[1] for b in books])[:-1]
     products = [x @ b.T for x, b in zip(np.split(turned, cuts, axis=1), books)]
@@ -102,7 +114,7 @@ def unit(vectors: pa.Array) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def with_filters(classes: DataFrame, largest: int) -> DataFrame:
+def with_filters(classes: DataFrame, largest: int, cosine: float) -> DataFrame:
     """cid, filters: of the classes with columns cid, vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +124,7 @@ def with_filters(classes: DataFrame, largest: int) -> DataFrame:
                 dims = b.column(1).value_lengths().to_numpy()
                 for d in np.unique(dims):
                     chosen = np.flatnonzero(dims == d)
-                    found = decode(unit(b.column(1).take(pa.array(chosen))), largest)
+                    found = decode(unit(b.column(1).take(pa.array(chosen))), largest, cosine)
                     offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in found]))), pa.int32())
                     lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found)))
                     yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(chosen)), lists], names=["cid", "filters"])
@@ -120,14 +132,14 @@ def with_filters(classes: DataFrame, largest: int) -> DataFrame:
     return classes.select("cid", "vector").mapInArrow(run, "cid long, filters array<long>")
 
 
-def linked_in_filter(x: np.ndarray, lists: list[np.ndarray], own: int, tile: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+def linked_in_filter(x: np.ndarray, lists: list[np.ndarray], own: int, tile: np.ndarray | None, bound: float) -> tuple[np.ndarray, np.ndarray]:
     """Links among classes that share the filter ``own``: all of them, and those not counted in an earlier shared filter.
 
-    ``tile`` says which of two tiles a class is of; only pairs across count, unless all are of one.
+    Only pairs of different tiles count if tiles are given.
     """
     linked = x @ x.T >= bound
     np.fill_diagonal(linked, False)
-    if tile.any() and not tile.all():
+    if tile is not None:
         linked &= tile[:, None] != tile[None, :]
     if not linked.any():
         return linked, linked
@@ -148,7 +160,8 @@ def cell_links(table: pa.Table, bound: float) -> pa.Table:
     keys = keys[:, order]
     first = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0)))
     ids, weight = table["cid"].to_numpy()[order], table["copies"].to_numpy()[order]
-    tile = (table["tile"].to_numpy() != table["i"].to_numpy())[order]
+    within = table["i"][0].as_py() == table["j"][0].as_py()
+    tile = table["tile"].to_numpy()[order]
     lists = table["filters"].combine_chunks().take(pa.array(order))
     vectors = table["vector"].combine_chunks().take(pa.array(order))
     for begin, end in zip(first, np.append(first[1:], len(order))):
@@ -156,7 +169,7 @@ def cell_links(table: pa.Table, bound: float) -> pa.Table:
             continue
         n = int(end - begin)
         own = [np.asarray(f) for f in np.split(lists.slice(begin, n).flatten().to_numpy(), np.cumsum(lists.slice(begin, n).value_lengths().to_numpy())[:-1])]
-        linked, new = linked_in_filter(unit(vectors.slice(begin, n)), own, int(keys[2, begin]), tile[begin:end], bound)
+        linked, new = linked_in_filter(unit(vectors.slice(begin, n)), own, int(keys[2, begin]), None if within else tile[begin:end], bound)
         if not linked.any():
             continue
         id_, links = ids[begin:end], new @ weight[begin:end]
@@ -187,7 +200,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     classes = scratch.written(classes, "classes")
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
 
-    listed = scratch.written(with_filters(classes, largest), "filters")
+    listed = scratch.written(with_filters(classes, largest, bound), "filters")
     member = listed.select("cid", F.explode("filters").alias("filter")).join(classes.select("cid", "label_key", "dims"), "cid")
     held = member.groupBy("label_key", "dims", "filter").agg(F.count("*").alias("n")).where("n > 1")
     cells = max(1, math.ceil(listed.agg(F.sum(F.size("filters"))).first()[0] / CELL)) if largest else 1
