@@ -18,316 +18,80 @@ from pyspark.sql import functions as F
 # Above this many entries a lexicon no longer goes into the plan as a literal; see operators.tokenmap.
 MAX_LITERAL_ENTRIES = 20_000
 
-# Chat abbreviations and what they stand for, by language.
-CHAT_WORDS = {
-    "en": """
-        2moro = tomorrow
-        2nite = tonight
-        afaik = as far as i know
-        afk = away from keyboard
-        aka = also known as
-        asap = as soon as possible
-        bff = best friends forever
-        brb = be right back
-        btw = by the way
-        c = see
-        cu = see you
-        cul8r = see you later
-        cya = see you
-        dm = direct message
-        fomo = fear of missing out
-        ftw = for the win
-        fyi = for your information
-        gg = good game
-        gj = good job
-        gl = good luck
-        gr8 = great
-        hbd = happy birthday
-        hbu = how about you
-        hf = have fun
-        icymi = in case you missed it
-        idc = i don't care
-        idk = i don't know
-        ikr = i know, right?
-        ily = i love you
-        imho = in my humble opinion
-        imo = in my opinion
-        irl = in real life
-        jk = just kidding
-        k = okay
-        l8r = later
-        lol = laughing out loud
-        np = no problem
-        nvm = never mind
-        omg = oh my god
-        omw = on my way
-        plz = please
-        pm = private message
-        r = are
-        rn = right now
-        smh = shaking my head
-        sup = what's up
-        tbh = to be honest
-        thx = thanks
-        tldr = too long; didn't read
-        ttyl = talk to you later
-        ty = thank you
-        tyvm = thank you very much
-        u = you
-        wbu = what about you
-        wth = what the hell
-        wyd = what are you doing
-        y = why
-        yolo = you only live once
-        yw = you're welcome
-    """,
-    "es": """
-        bn = bien
-        bss = besos
-        d = de
-        dnd = de nada
-        finde = fin de semana
-        grax = gracias
-        hla = hola
-        k = que
-        maso = más o menos
-        mdi = me da igual
-        npn = no pasa nada
-        ntp = no te preocupes
-        pls = por favor
-        porfa = por favor
-        pq = porque
-        q = que
-        salu2 = saludos
-        tkm = te quiero mucho
-        tqm = te quiero mucho
-        vrdd = verdad
-        wapa = guapa
-        wapo = guapo
-        x = por
-        xfa = por favor
-        xfi = por fin
-        xq = por qué
-    """,
-    "fr": """
-        auj = aujourd'hui
-        bcp = beaucoup
-        bjr = bonjour
-        bsr = bonsoir
-        cad = c'est-à-dire
-        dem = demain
-        dsl = désolé
-        jtm = je t'aime
-        lol = laughing out loud
-        mdr = mort de rire
-        pck = parce que
-        pk = pourquoi
-        qqch = quelque chose
-        qqn = quelqu'un
-        rdv = rendez-vous
-        slt = salut
-        stp = s'il te plaît
-        svp = s'il vous plaît
-    """,
-    "de": """
-        bzw = beziehungsweise
-        cu = see you
-        evtl = eventuell
-        gn8 = gute Nacht
-        hdl = hab dich lieb
-        ida = ich dich auch
-        ka = keine Ahnung
-        kd = kein Ding
-        lg = Liebe Grüße
-        lol = laughing out loud
-        mfg = Mit freundlichen Grüßen
-        omg = oh mein Gott
-        pls = bitte
-        thx = danke
-        usw = und so weiter
-        vlt = vielleicht
-        we = Wochenende
-        wmd = was machst du
-        zb = zum Beispiel
-    """,
-    "pt": """
-        abs = abraços
-        agr = agora
-        bj = beijo
-        bjs = beijos
-        blz = beleza
-        cmg = comigo
-        ctg = contigo
-        fds = fim de semana
-        flw = falou
-        hj = hoje
-        obg = obrigado
-        obgda = obrigada
-        pfv = por favor
-        pra = para
-        q = que
-        sdds = saudades
-        sqn = só que não
-        tb = também
-        tbm = também
-        vc = você
-        vdd = verdade
-        vlw = valeu
-    """,
-    "it": """
-        bn = bene
-        cmq = comunque
-        dp = dopo
-        grz = grazie
-        ke = che
-        msg = messaggio
-        nn = non
-        pfv = per favore
-        prg = prego
-        qlcn = qualcuno
-        qlcs = qualcosa
-        risp = rispondi
-        tt = tutto
-        tvb = ti voglio bene
-        tvtb = ti voglio tanto bene
-        xke = perché
-        xò = però
-    """,
-}
-
-# Emoticon shapes: meaning -> every eyes + nose + mouth combination.
-EMOTICON_SHAPES = (
-    ("smiling face", (":",), ("", "-"), (")", "]", ">")),
-    ("smiling face", ("=",), ("",), (")",)),
-    ("smiling face", ("(",), ("", "-"), (":",)),
-    ("grinning face", (":",), ("", "-"), ("d",)),
-    ("grinning face", ("=",), ("",), ("d",)),
-    ("grinning face with sunglasses", ("8",), ("", "-"), ("d",)),
-    ("laughing face with squinting eyes", ("x",), ("", "-"), ("d",)),
-    ("frowning face", (":",), ("", "-"), ("(", "[", "<")),
-    ("frowning face", (")",), ("", "-"), (":",)),
-    ("crying face", (":'", ":,"), ("", "-"), ("(",)),
-    ("crying face", (";",), ("", "-"), ("(",)),
-    ("face with tears of joy", (":'",), ("", "-"), (")", "d")),
-    ("winking face", (";",), ("", "-"), (")", "]")),
-    ("winking face", ("(",), ("", "-"), (";",)),
-    ("winking grinning face", (";",), ("", "-"), ("d",)),
-    ("surprised face", (":",), ("", "-"), ("o",)),
-    ("face with tongue out", (":",), ("", "-"), ("p",)),
-    ("face with tongue out", ("=",), ("",), ("p",)),
-    ("squinting face with tongue out", ("x",), ("",), ("p",)),
-    ("kissing face", (":",), ("", "-", "^"), ("*",)),
-    ("angry face", (":",), ("", "-"), ("@",)),
-    ("angry frowning face", (">:", "x"), ("", "-"), ("(",)),
-    ("very angry frowning face", ("d:",), ("",), ("<",)),
-    ("skeptical face", (":",), ("", "-"), ("/", "\\")),
-    ("neutral face", (":",), ("", "-"), ("|",)),
-    ("confused or worried face", (":",), ("", "-"), ("s",)),
-    ("embarrassed face with money", (":",), ("", "-"), ("$",)),
-    ("smiling face with sunglasses", ("b",), ("", "-"), (")",)),
-    ("smiling face with glasses", ("8",), ("", "-"), (")",)),
-    ("face with mouth sealed", (":",), ("", "-"), ("x", "#")),
-    ("angel face", ("o:",), ("", "-"), (")",)),
-    ("devilish face", (">:", "3:"), ("", "-"), (")",)),
-    ("cat face", (":",), ("", "="), ("3",)),
-    ("heart", ("<",), ("",), ("3",)),
-    ("broken heart", ("</", "<\\"), ("",), ("3",)),
-    ("smiling eyes face", ("^",), ("_",), ("^",)),
-    ("smiling eyes", ("^",), ("",), ("^",)),
-    ("crying face", ("t", ";"), ("_",), ("t", ";")),
-    ("unamused face", ("-",), ("_",), ("-",)),
-    ("face with one raised eyebrow", ("o",), ("_", "."), ("o",)),
-    ("star-struck face", ("*",), ("_",), ("*",)),
-    ("dizzy or dead face", ("+",), ("_",), ("+",)),
-    ("dizzy face", ("@",), ("_",), ("@",)),
-    ("person shrugging", ("¯\\",), ("_(ツ)_",), ("/¯",)),
-    ("look of disapproval", ("(ಠ",), ("_",), ("ಠ)",)),
-    ("cheering or praising hands", ("\\",), ("o",), ("/",)),
+# Seed rows ``(lang, key, value)``: abbreviations of chat messages. Teams bring their own with `Lexicon.from_table`.
+CHAT_WORDS = (
+    ("en", "asap", "as soon as possible"),
+    ("en", "b4", "before"),
+    ("en", "brb", "be right back"),
+    ("en", "btw", "by the way"),
+    ("en", "fyi", "for your information"),
+    ("en", "idk", "i do not know"),
+    ("en", "lol", "laughing out loud"),
+    ("en", "msg", "message"),
+    ("en", "np", "no problem"),
+    ("en", "pls", "please"),
+    ("en", "thx", "thanks"),
+    ("en", "u", "you"),
+    ("en", "ur", "your"),
+    ("es", "msj", "mensaje"),
+    ("es", "salu2", "saludos"),
+    ("es", "tqm", "te quiero mucho"),
+    ("es", "xfa", "por favor"),
+    ("es", "xq", "porque"),
+    ("fr", "bcp", "beaucoup"),
+    ("fr", "dsl", "désolé"),
+    ("fr", "mdr", "mort de rire"),
+    ("fr", "rdv", "rendez-vous"),
+    ("fr", "stp", "s'il te plaît"),
+    ("de", "kp", "kein problem"),
+    ("de", "lg", "liebe grüße"),
+    ("de", "thx", "danke"),
+    ("de", "vlt", "vielleicht"),
+    ("pt", "hj", "hoje"),
+    ("pt", "obg", "obrigado"),
+    ("pt", "tb", "também"),
+    ("pt", "vc", "você"),
+    ("it", "cmq", "comunque"),
+    ("it", "grz", "grazie"),
+    ("it", "nn", "non"),
+    ("it", "tvb", "ti voglio bene"),
 )
 
-# Phrases put in place of an emoticon. A meaning without a phrase in a language that has
-# phrases, and every meaning in a language without any, becomes a neutral tag.
-EMOTICON_PHRASES = {
-    "es": """
-        smiling face = cara sonriente emoji
-        grinning face = cara muy sonriente emoji
-        grinning face with sunglasses = cara sonriente con gafas de sol emoji
-        laughing face with squinting eyes = cara riendo con ojos entrecerrados emoji
-        frowning face = cara triste emoji
-        crying face = cara llorando emoji
-        face with tears of joy = cara con lágrimas de alegría emoji
-        winking face = cara guiñando un ojo emoji
-        winking grinning face = cara sonriente guiñando un ojo emoji
-        surprised face = cara sorprendida emoji
-        face with tongue out = cara sacando la lengua emoji
-        kissing face = cara mandando un beso emoji
-        angry face = cara enojada emoji
-        angry frowning face = cara fruncida enojada emoji
-        very angry frowning face = cara muy enojada emoji
-        skeptical face = cara escéptica emoji
-        neutral face = cara neutral emoji
-        heart = corazón emoji
-        broken heart = corazón roto emoji
-        angel face = cara de ángel emoji
-        devilish face = cara diabólica emoji
-        cat face = cara de gato emoji
-        smiling eyes face = cara con ojos sonrientes emoji
-        smiling eyes = ojos sonrientes emoji
-        unamused face = cara sin gracia emoji
-    """,
-    "fr": """
-        smiling face = visage souriant emoji
-        grinning face = visage très souriant emoji
-        frowning face = visage triste emoji
-        winking face = visage faisant un clin d'œil emoji
-        face with tongue out = visage tirant la langue emoji
-        surprised face = visage surpris emoji
-        heart = cœur emoji
-        laughing face with squinting eyes = visage riant aux larmes emoji
-        smiling eyes face = visage aux yeux souriants emoji
-    """,
-    "de": """
-        smiling face = lächelndes Gesicht Emoji
-        grinning face = grinsendes Gesicht Emoji
-        frowning face = trauriges Gesicht Emoji
-        winking face = zwinkerndes Gesicht Emoji
-        face with tongue out = Gesicht mit herausgestreckter Zunge Emoji
-        surprised face = überraschtes Gesicht Emoji
-        heart = Herz Emoji
-        laughing face with squinting eyes = Gesicht lachend mit zusammengekniffenen Augen Emoji
-        smiling eyes face = Gesicht mit lächelnden Augen Emoji
-    """,
-    "pt": """
-        smiling face = rosto sorridente emoji
-        grinning face = rosto muito sorridente emoji
-        frowning face = rosto triste emoji
-        winking face = rosto piscando emoji
-        face with tongue out = rosto mostrando a língua emoji
-        surprised face = rosto surpreso emoji
-        heart = coração emoji
-        laughing face with squinting eyes = rosto rindo com olhos apertados emoji
-        smiling eyes face = rosto com olhos sorridentes emoji
-    """,
-    "it": """
-        smiling face = faccina sorridente emoji
-        grinning face = faccina molto sorridente emoji
-        frowning face = faccina triste emoji
-        winking face = faccina che fa l’occhiolino emoji
-        face with tongue out = faccina che fa la linguaccia emoji
-        surprised face = faccina sorpresa emoji
-        heart = cuore emoji
-        laughing face with squinting eyes = faccina che ride con gli occhi strizzati emoji
-        smiling eyes face = faccina con occhi sorridenti emoji
-    """,
-}
+# Seed rows: emoticons. Where a language has no row for one, it becomes a neutral tag of the English meaning.
+EMOTICONS = (
+    ("en", ":)", "smile"),
+    ("en", ":-)", "smile"),
+    ("en", ":D", "big grin"),
+    ("en", ":-D", "big grin"),
+    ("en", "XD", "loud laugh"),
+    ("en", ";)", "wink"),
+    ("en", ";-)", "wink"),
+    ("en", ":(", "sadness"),
+    ("en", ":-(", "sadness"),
+    ("en", ":'(", "crying"),
+    ("en", ":P", "tongue out"),
+    ("en", ":-P", "tongue out"),
+    ("en", ":O", "surprise"),
+    ("en", ":-O", "surprise"),
+    ("en", ":-/", "doubt"),
+    ("en", ":-|", "blank look"),
+    ("en", "<3", "love"),
+    ("en", "^_^", "joy"),
+    ("en", "-_-", "annoyance"),
+    ("es", ":)", "sonrisa"),
+    ("es", ":-)", "sonrisa"),
+    ("es", ":D", "gran sonrisa"),
+    ("es", ":(", "tristeza"),
+    ("es", ":-(", "tristeza"),
+    ("es", "<3", "amor"),
+)
 
-# Emoji with a phrase of their own; all others become neutral tags.
-EMOJI_PHRASES = {
-    "en": """
-        😮 = face with open mouth emoji
-        😲 = astonished face emoji
-    """,
-}
+# English words that end in s and are no plurals, and words whose plural keeps the e or is irregular.
+NOT_PLURAL = tuple(
+    "afterwards alias always atlas besides bias canvas christmas cookies does goes hoodies kansas lens mathematics movies news"
+    " nowadays overseas perhaps physics politics selfies series sideways sometimes species texas themselves thermos towards whereas"
+    " yourselves ourselves zombies".split()
+)
 
 # Irregular forms; regular English plurals are handled by rule.
 LEMMAS = {
@@ -429,13 +193,25 @@ STOPWORD_LISTS = {
 }
 
 # Unicode blocks that hold pictographs; names come from the Unicode character database.
-EMOJI_BLOCKS = ((0x2600, 0x27BF), (0x1F300, 0x1FAFF))
+EMOJI_BLOCKS = (
+    *((c, c) for c in (0x25B6, 0x25C0, 0x2B50, 0x2B55, 0x1F004, 0x1F0CF, 0x1F18E, 0x1F21A, 0x1F22F)),
+    *((0x2194, 0x2199), (0x21A9, 0x21AA), (0x231A, 0x231B), (0x23E9, 0x23F3), (0x23F8, 0x23FA), (0x25AA, 0x25AB), (0x25FB, 0x25FE)),
+    *((0x2600, 0x27BF), (0x2934, 0x2935), (0x2B05, 0x2B07), (0x2B1B, 0x2B1C)),
+    *((0x1F170, 0x1F171), (0x1F17E, 0x1F17F), (0x1F191, 0x1F19A), (0x1F201, 0x1F202), (0x1F232, 0x1F23A), (0x1F250, 0x1F251)),
+    (0x1F300, 0x1FAFF),
+)
+PICTOGRAPH = "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in EMOJI_BLOCKS) + "]"
+SKIN, SELECTOR, JOINER, FLAG = r"[\x{1F3FB}-\x{1F3FF}]", r"\x{FE0F}", r"\x{200D}", r"[\x{1F1E6}-\x{1F1FF}]"
+# One match per emoji as it is seen: a flag of two letters, a keycap, or pictographs joined to one, with tones and selectors.
 EMOJI_PATTERN = (
-    "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in EMOJI_BLOCKS) + r"]"
-    r"[\x{FE0F}\x{200D}\x{1F3FB}-\x{1F3FF}]*"
+    rf"{FLAG}{{2}}|[0-9#*]{SELECTOR}?\x{{20E3}}"
+    rf"|{PICTOGRAPH}(?:{SELECTOR}|{SKIN})*[\x{{E0020}}-\x{{E007F}}]*(?:{JOINER}{PICTOGRAPH}(?:{SELECTOR}|{SKIN})*)*"
 )
 
 
+KEYCAPS = {**{d: d for d in "0123456789"}, "#": "hash", "*": "star"}
+
+
 def neutral_tag(name: str, prefix: str) -> str:
     """``Grinning Face`` -> ``emoji_grinning_face``: lower case, ASCII letters, digits and ``_`` only."""
     joined = re.sub(r"[ -]", "_", name.strip(":")).lower()
@@ -471,18 +247,22 @@ class Lexicon:
         rows = table.select("lang", "key", "value").limit(max_entries + 1).collect()
         if len(rows) > max_entries:
             raise ValueError(f"lexicon table has more than {max_entries} rows; join it as a token map")
-        entries: dict[str, dict[str, str]] = {}
-        for lang, key, value in rows:
-            entries.setdefault(lang, {})[key] = value
-        return cls(entries)
+        return from_rows(rows)
 
     def rows(self) -> list[tuple[str, str, str]]:
         return [(g, k, v) for g, t in sorted(self.entries.items()) for k, v in sorted(t.items())]
 
 
+def from_rows(rows) -> Lexicon:
+    entries: dict[str, dict[str, str]] = {}
+    for lang, key, value in rows:
+        entries.setdefault(lang, {})[key] = value
+    return Lexicon(entries)
+
+
 @cache
 def chat_words() -> Lexicon:
-    return Lexicon({lang: parse(block) for lang, block in CHAT_WORDS.items()})
+    return from_rows(CHAT_WORDS)
 
 
 @cache
@@ -490,29 +270,12 @@ def lemmas() -> Lexicon:
     return Lexicon({lang: parse(block) for lang, block in LEMMAS.items()})
 
 
-@cache
-def emoticon_meanings() -> dict[str, str]:
-    out: dict[str, str] = {}
-    for meaning, eyes, noses, mouths in EMOTICON_SHAPES:
-        for e in eyes:
-            for n in noses:
-                for m in mouths:
-                    out.setdefault(e + n + m, meaning)
-    return out
-
-
 @cache
 def emoticons(languages: tuple[str, ...]) -> Lexicon:
     """Every emoticon in every language: a phrase where there is one, else a neutral tag."""
-    meanings = emoticon_meanings()
-    out = {}
-    for lang in languages:
-        phrases = parse(EMOTICON_PHRASES[lang]) if lang in EMOTICON_PHRASES else {}
-        if lang == "en":
-            phrases = {m: f"{m} emoji" for m in meanings.values()}
-        out[lang] = {k: phrases.get(m, neutral_tag(m, "emoticon")) for k, m in meanings.items()}
-        out[lang] |= parse(EMOJI_PHRASES[lang]) if lang in EMOJI_PHRASES else {}
-    return Lexicon(out)
+    tags = {key: neutral_tag(value, "emoticon") for lang, key, value in EMOTICONS if lang == "en"}
+    own = from_rows(EMOTICONS).entries
+    return Lexicon({lang: {k: own.get(lang, {}).get(k.lower(), tag) for k, tag in tags.items()} for lang in languages})
 
 
 def alternation(keys) -> str:
@@ -546,7 +309,7 @@ def guarded_alternation(keys) -> str:
 
 
 def is_emoji(key: str) -> bool:
-    return any(first <= ord(key[0]) <= last for first, last in EMOJI_BLOCKS)
+    return key.endswith("\u20e3") or any(first <= ord(key[0]) <= last for first, last in EMOJI_BLOCKS)
 
 
 @cache
@@ -572,7 +335,10 @@ def stopwords(lang: str) -> tuple[str, ...]:
 
 
 def literal_map(table: dict[str, str]):
-    """A map in the plan as one constant, whatever its size."""
+    """A map in the plan as one constant, whatever its size. Keys and values must not hold the separators."""
+    bad = [k for k, v in table.items() if "\x01" in k + v or "\x02" in k + v]
+    if bad:
+        raise ValueError(f"control characters in the lexicon entries {bad[:3]}")
     joined = "\x01".join(f"{k}\x02{v}" for k, v in sorted(table.items()))
     return F.str_to_map(F.lit(joined), F.lit("\x01"), F.lit("\x02"))
 
