@@ -11,10 +11,15 @@ from postsift.functions import text as tx
 from postsift.schema import PREPARED_COLUMNS, project, require_columns
 
 
+# Whole date and time, with or without fraction and zone; a text without a zone is in the session's time zone.
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?( ?(Z|UTC|[+-]\d{2}:?\d{2}))?)?$"
+
+
 def parse_created_at(c: Column) -> Column:
-    """``Tue Oct 31 22:10:47 +0000 2017`` or ISO text -> timestamp, anything else -> null."""
-    posted = F.try_to_timestamp(F.substring(c, 5, 100), F.lit("MMM dd HH:mm:ss Z yyyy"))
-    return F.coalesce(posted, F.try_to_timestamp(c))
+    """``Tue Oct 31 22:10:47 +0000 2017`` or an ISO date or date with time -> timestamp, anything else -> null."""
+    c = c.cast("string")
+    posted = F.try_to_timestamp(F.regexp_extract(c, r"^[A-Z][a-z]{2} (.+)$", 1), F.lit("MMM dd HH:mm:ss Z yyyy"))
+    return F.coalesce(posted, F.when(F.trim(c).rlike(ISO_TIME), F.try_to_timestamp(F.trim(c))))
 
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:

@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postsift.schema import RAW_COLUMNS, RAW_MESSAGES, require_columns
+from postsift.schema import RAW_COLUMNS, RAW_MESSAGES, MissingColumns, require_columns
+
+# Used only where a session names no shared folder, as in tests on a local master.
+LOCAL_CHECKPOINTS = "/tmp/checkpoints"
+# What the reader takes a field with nothing in it for, so that a quoted empty text stays a text: private characters.
+NO_VALUE = "\ue000none\ue001"
+
+
+# An empty text and a missing one look different: ``""`` and nothing between the commas.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "quote": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "encoding": "UTF-8",
+}
 
 
 def read_messages_csv(
@@ -21,25 +36,26 @@ def read_messages_csv(
     drop_na_tokens: bool = False,
     keep_corrupt: bool = False,
 ) -> DataFrame:
-    """Raw message CSV with a header row and quoted line breaks; only the declared columns are parsed.
+    """Raw message CSV with a header row and quoted line breaks; columns are taken by the names in the header.
 
-    A multi-line file cannot be split, so one task reads one file: deliver large data as many files, or
-    pass ``multiline=False`` when no text holds a line break. ``drop_na_tokens`` treats texts such as
-    ``NA`` as missing. ``keep_corrupt`` adds a ``_corrupt_record`` column.
+    The file may have other columns, and any order; a declared column that is absent raises. All files of
+    ``path`` must have the same header. A multi-line file cannot be split, so one task reads one file: deliver
+    large data as many files, or pass ``multiline=False`` when no text holds a line break. ``drop_na_tokens``
+    treats texts such as ``NA`` as missing. ``keep_corrupt`` adds ``_corrupt_record``: the row as JSON if a
+    value does not fit its type, or if the row has more or fewer fields than the header.
     """
-    if keep_corrupt:
-        schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    reader = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multiline)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-    )
-    if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record").option("enforceSchema", True)
-    df = reader.csv(path)
+    options = CSV_OPTIONS | {"multiLine": multiline, "nullValue": "", "emptyValue": ""}
+    header = spark.read.options(**options).option("inferSchema", False).csv(path).columns
+    if missing := [f.name for f in schema.fields if f.name not in header]:
+        raise MissingColumns(f"read_messages_csv: missing {missing}, header has {header}")
+    rough = T.StructType([*[T.StructField(c, T.StringType()) for c in header], T.StructField("_bad", T.StringType())])
+    reader = spark.read.schema(rough).options(**CSV_OPTIONS).options(multiLine=multiline, nullValue=NO_VALUE, emptyValue="", enforceSchema=True)
+    df = reader.option("columnNameOfCorruptRecord", "_bad").option("mode", "PERMISSIVE").csv(path)
+    # Nothing between the commas is null; only a quoted empty text is empty.
+    typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    wrong = [F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull() for f in schema.fields]
+    corrupt = F.coalesce("_bad", F.when(reduce(lambda a, b: a | b, wrong), F.to_json(F.struct(*[F.col(f"`{c}`") for c in header]))))
+    df = df.select(*typed, *([corrupt.alias("_corrupt_record")] if keep_corrupt else []))
     if drop_na_tokens and "text" in df.columns:
         # Texts read as missing when asked to.
         na = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "n/a", "#N/A", "<NA>"]
@@ -62,8 +78,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", by_split: boo
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """UTF-8 CSV with a header, quotes doubled; readable by `read_messages_csv`."""
-    df.write.mode(mode).option("header", True).option("escape", '"').option("encoding", "UTF-8").csv(path)
+    """UTF-8 CSV with a header, quotes doubled, white space kept; readable by `read_messages_csv`."""
+    df.write.mode(mode).options(**CSV_OPTIONS).options(nullValue="", emptyValue='""').csv(path)
 
 
 def write_text(df: DataFrame, column: str, path: str, mode: str = "overwrite") -> None:
@@ -131,28 +147,37 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys) if keys else df.repartition(cores)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> bool:
-    """Whether the session has a checkpoint folder; a local session without one gets a temporary one."""
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not context.getCheckpointDir():
-        if configured:
-            context.setCheckpointDir(configured)
-        elif context.master.startswith("local"):
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="postsift-checkpoint-"))
-    return bool(context.getCheckpointDir())
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``, or the one set on the context.
+
+    Raises on a cluster that names none; on a local master, which is one machine, it is ``LOCAL_CHECKPOINTS``.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"file://{LOCAL_CHECKPOINTS}"
+
+
+def run_folder(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables; `remove_intermediates` deletes it."""
+    return f"{shared_folder(spark)}/postsift-{spark.sparkContext.applicationId}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the session's checkpoint folder and go on from the written table.
+    """Write the rows below the shared folder and go on from the written table.
 
     A Parquet table rather than ``checkpoint()``: columns are pruned on reading, and its size is known, so
-    that small results are broadcast. On a cluster without a checkpoint folder the rows are persisted
-    instead and can be recomputed if lost.
+    that small results are broadcast. A lost executor costs its running tasks only.
     """
     spark = df.sparkSession
-    if not ensure_checkpoint_dir(spark):
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_intermediates(spark: SparkSession) -> None:
+    """Delete what `cut_lineage` wrote in this application; tables read from it are gone."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

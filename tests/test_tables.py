@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postsift import schema
+from postsift.schema import MissingColumns
 from postsift.operators import ingest, monitor, prepare
 from postsift.plans import triage
 from postsift.settings import IngestSettings
@@ -149,8 +150,58 @@ def test_spread_leaves_wide_tables_alone(spark):
     assert tables.spread(spark.range(0, 10, 1, 1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
 
 
-def test_checkpoint_folder_of_the_session_is_used(spark):
-    df = tables.cut_lineage(spark.range(5))
-    folder = spark.sparkContext.getCheckpointDir()
-    assert folder and df.count() == 5 and all(folder.split("/")[-1] in f for f in df.inputFiles())
-    assert tables.cut_lineage(spark.range(5).where("id < 0")).count() == 0
+def test_intermediate_tables_go_to_the_shared_folder(spark):
+    written = tables.cut_lineage(spark.range(3))
+    (folder,) = {f.rsplit("/", 2)[0].removeprefix("file:").lstrip("/") for f in written.inputFiles()}
+    assert folder == tables.run_folder(spark).removeprefix("file:").lstrip("/")
+    assert written.count() == 3
+
+
+class _Session:
+    """As much of a session as `shared_folder` looks at."""
+
+    def __init__(self, master, folder=None):
+        from types import SimpleNamespace as Of
+
+        self.conf = Of(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default)
+        self.sparkContext = Of(master=master, getCheckpointDir=lambda: None, applicationId="app")
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    assert tables.run_folder(_Session("yarn", "hdfs://shared")) == "hdfs://shared/postsift-app"
+    assert tables.run_folder(_Session("local[2]")).startswith("file:///tmp/checkpoints/")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.run_folder(_Session("spark://host:7077"))
+
+
+def test_csv_keeps_white_space_and_empty_texts(spark, tmp_path):
+    texts = ["  hi there  ", "tab\t", "", None, "a\r\nb", 'say "x", y', " ", "NA", "\\"]
+    df = spark.createDataFrame([(i, t, "end") for i, t in enumerate(texts)], "tweet_id long, text string, last string")
+    tables.write_csv(df, str(tmp_path / "c"))
+    back = tables.read_messages_csv(spark, str(tmp_path / "c"), df.schema)
+    assert [r.text for r in back.orderBy("tweet_id").collect()] == texts
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    (tmp_path / "x.csv").write_text(
+        'more,created_at,text,tweet_id,inbound,author_id,response_tweet_id,in_response_to_tweet_id\n'
+        'x,when,"hello, ""you""",7,True,me,"8,9",6\n'
+        "x,when,bad,seven,False,me,,\n"
+        "x,when\n"
+    )
+    rows = tables.read_messages_csv(spark, str(tmp_path / "x.csv"), keep_corrupt=True).collect()
+    assert [(r.tweet_id, r.text, r.created_at, r.inbound, r.response_tweet_id) for r in rows[:2]] == [
+        (7, 'hello, "you"', "when", True, "8,9"),
+        (None, "bad", "when", False, None),
+    ]
+    assert [r._corrupt_record is None for r in rows] == [True, False, False]
+    (tmp_path / "y.csv").write_text("tweet_id,text\n1,a\n")
+    with pytest.raises(MissingColumns):
+        tables.read_messages_csv(spark, str(tmp_path / "y.csv"))
+
+
+def test_times_are_whole_dates_only(spark):
+    good = ["Tue Oct 31 22:10:47 +0000 2017", "2017-10-31", "2017-10-31T22:10:47Z", "2017-10-31 22:10:47.5 +02:00"]
+    bad = ["12:30", "T12:30", "2017", "garbage", "", "Tue", None, "Oct 31 2017"]
+    df = spark.createDataFrame([(t,) for t in good + bad], "t string").select(prepare.parse_created_at(F.col("t")).alias("t"))
+    assert [r.t is not None for r in df.collect()] == [True] * len(good) + [False] * len(bad)
