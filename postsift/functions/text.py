@@ -116,12 +116,13 @@ def emoji_to_tags(c: Column, lang: Column | None = None, lexicon: lx.Lexicon | N
     tables = {g: {k: v for k, v in t.items() if lx.is_emoji(k)} for g, t in (lexicon.entries if lexicon else {}).items()}
 
     def tag(m: Column) -> Column:
-        code = F.ascii(m)
-        out = None
+        # A sequence is named after its first character: a family after its first member, a flag by its letters.
+        code, second = F.ascii(m), F.ascii(F.substring(m, 2, 1))
+        letter = lambda c: F.char(c - F.lit(0x1F1E6 - ord("a")))
+        out = F.when(code.between(0x1F1E6, 0x1F1FF) & second.between(0x1F1E6, 0x1F1FF), F.concat(F.lit("emoji_flag_"), letter(code), letter(second)))
+        out = out.when(F.endswith(m, F.lit("\u20e3")), F.concat(F.lit("emoji_keycap_"), F.element_at(lx.literal_map(lx.KEYCAPS), F.substring(m, 1, 1))))
         for first, names in lx.emoji_tags():
-            hit = F.get(lx.literal_list(names), code - first)
-            cond = code.between(first, first + len(names) - 1)
-            out = F.when(cond, hit) if out is None else out.when(cond, hit)
+            out = out.when(code.between(first, first + len(names) - 1), F.get(lx.literal_list(names), code - first))
         words = out.otherwise(m)
         if any(tables.values()):
             words = F.coalesce(by_language(lang, tables, m, False), words)
@@ -181,8 +182,9 @@ def drop_words(c: Column, lang: Column, lists: dict[str, Sequence[str]]) -> Colu
 def english_singular(w: Column) -> Column:
     """Regular English plurals -> singular; words whose final s is no plural are left alone."""
     return (
-        F.when(w.rlike("^[a-z]{2,}[^aeiou]ies$"), F.regexp_replace(w, "ies$", "y"))
-        .when(w.rlike("^[a-z]{2,}(?:s|x|z|ch|sh)es$"), F.regexp_replace(w, "es$", ""))
+        F.when(w.isin(*lx.NOT_PLURAL), w)
+        .when(w.rlike("^[a-z]{2,}[^aeiou]ies$"), F.regexp_replace(w, "ies$", "y"))
+        .when(w.rlike("^[a-z]{2,}(?:ss|x|zz|ch|sh)es$"), F.regexp_replace(w, "es$", ""))
         .when(w.rlike("^[a-z]{2,}[^sui]s$"), F.regexp_replace(w, "s$", ""))
         .otherwise(w)
     )
@@ -227,6 +229,16 @@ def bigrams(toks: Column) -> Column:
     )
 
 
+def pairs(toks: Column) -> Column:
+    """Neighbouring words as ``struct(a, b)``; null where either is null."""
+    rest = F.greatest(F.size(toks) - 1, F.lit(0))
+    return F.zip_with(
+        F.slice(toks, F.lit(1), rest),
+        F.slice(toks, F.lit(2), rest),
+        lambda a, b: F.when(a.isNotNull() & b.isNotNull(), F.struct(a.alias("a"), b.alias("b"))),
+    )
+
+
 def explode_rows(df: DataFrame, *keep: Column | str, **array: Column) -> DataFrame:
     """``keep`` columns and one row per element of the array given by keyword.
 

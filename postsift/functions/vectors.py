@@ -41,17 +41,18 @@ def group_means(df: DataFrame, group: str, vector: str) -> DataFrame:
 def as_one_value(table: DataFrame, *columns: str, max_rows: int = 10_000) -> Column:
     """A small table as one array of structs, sorted by its first column, for use inside expressions.
 
-    For one row per cluster or class. A table of more than ``max_rows`` rows raises at run time.
+    For one row per cluster or class. A table of more than ``max_rows`` rows raises at run time; no more than
+    that are ever collected.
     """
     packed = F.when(
         F.count(F.lit(1)) <= max_rows, F.array_sort(F.collect_list(F.struct(*columns)))
     ).otherwise(F.raise_error(F.lit(f"more than {max_rows} rows of {columns}")))
-    return table.agg(packed.alias("packed")).scalar()
+    return table.limit(max_rows + 1).agg(packed.alias("packed")).scalar()
 
 
 def as_one_map(table: DataFrame, key: str, value: str, max_rows: int = 10_000) -> Column:
     """`as_one_value` as a map, built once for the query. Rows with a null key are left out."""
-    rows = table.where(F.col(key).isNotNull())
+    rows = table.where(F.col(key).isNotNull()).limit(max_rows + 1)
     packed = F.when(
         F.count(F.lit(1)) <= max_rows, F.map_from_entries(F.collect_list(F.struct(key, value)))
     ).otherwise(F.raise_error(F.lit(f"more than {max_rows} rows of {key}")))

@@ -2,7 +2,8 @@
 
 Pairs are by far the most numerous terms, and nearly all of them are rare. A pair occurs at most as often
 as each of its words, so once the words are counted, only pairs of two words that are both frequent
-enough for the top list can enter it. Only those are shuffled; the result is that of counting all.
+enough for the top list can enter it. Only those are shuffled; the result is that of counting all. What
+words must reach, and the words that do, are tables that are joined, so that there may be any number of groups.
 """
 
 from __future__ import annotations
@@ -13,13 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postsift.functions import text as tx
-from postsift.functions import vectors as vx
 from postsift.sources.tables import cut_lineage
 
-# A group with more frequent words than this (ties in a small group) has all its pairs counted.
-MAX_FREQUENT_WORDS = 200
-
-
 def _top(counts: DataFrame, group: str, n: int) -> DataFrame:
     """Most frequent terms per group, ties in term order. Ranked per partition before the shuffle."""
     w = Window.partitionBy(group).orderBy(F.col("n").desc(), F.col("term").asc())
@@ -64,30 +60,27 @@ def _top_terms(
         .agg(F.min(F.when(F.col("rank") == n, F.col("n"))).alias("least"))
         .where(F.col("least").isNotNull())
     )
-    least = F.coalesce(F.element_at(vx.as_one_map(nth, group, "least"), F.col(group)), F.lit(1))
-    frequent = cut_lineage(singles.withColumn("least", least).where("n >= least").drop("least"))
-    # One word more than allowed shows that a group is too large, without collecting it.
-    sets = (
-        frequent.withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= MAX_FREQUENT_WORDS + 1)
-        .groupBy(group)
-        .agg(F.collect_list("term").alias("set"))
-        .where(F.size("set") <= MAX_FREQUENT_WORDS)
-    )
-    allowed = F.element_at(vx.as_one_map(sets, group, "set"), F.col(group))
-    marked = F.when(F.col("allowed").isNull(), F.col("words")).otherwise(
-        F.transform("words", lambda x: F.when(F.array_contains("allowed", x), x))
-    )
-    pairs = _count(
-        texts.withColumn("allowed", allowed)
-        .select(group, marked.alias("words"))
-        .select(group, F.filter(tx.bigrams(F.col("words")), lambda p: p.isNotNull()).alias("terms")),
-        group,
-        by_docs,
+    frequent = cut_lineage(
+        _with(singles, nth, group).where(F.col("n") >= F.coalesce("least", F.lit(1))).drop("least")
     )
+    # Pairs of each text in order, the first of equal ones marked; those of two frequent words are counted.
+    pairs = F.sort_array(F.filter(tx.pairs(F.col("words")), lambda p: p.isNotNull()))
+    marked = F.transform("pairs", lambda p, i: F.struct(p["a"], p["b"], ((i == 0) | (p != F.get(F.col("pairs"), i - 1))).alias("first")))
+    rows = texts.select(group, pairs.alias("pairs")).select(group, F.inline_outer(marked)).where(F.col("a").isNotNull())
+    for side in ("a", "b"):
+        words = frequent.select(F.col(group).alias("_group"), F.col("term").alias(f"_{side}"))
+        rows = rows.join(words, F.col(group).eqNullSafe(F.col("_group")) & (F.col(side) == F.col(f"_{side}")), "left_semi")
+    counted = [F.count(F.lit(1)).alias("n")] + ([F.count_if("first").alias("n_docs")] if by_docs else [])
+    pairs = rows.groupBy(group, F.concat("a", F.lit(" "), "b").alias("term")).agg(*counted)
     return _top(fitting(frequent).unionByName(fitting(pairs)), group, n).select(group, "term", "n", "rank")
 
 
+def _with(rows: DataFrame, table: DataFrame, group: str) -> DataFrame:
+    """``rows`` with the columns of a table of one row per group."""
+    table = table.withColumnRenamed(group, "_group")
+    return rows.join(table, F.col(group).eqNullSafe(F.col("_group")), "left").drop("_group")
+
+
 def top_keywords(
     df: DataFrame, group: str, text: str, n: int = 10, stop: Sequence[str] = ()
 ) -> DataFrame:
@@ -112,21 +105,15 @@ def top_keywords_by_document_share(
     left out: more than ``max_share``, or fewer than ``min_share`` (at least ``min_docs``) once the group
     has more than ``small_group`` texts."""
     texts = df.where(F.col(text).isNotNull())
-    # One row per group, as one value of checked size: the terms are not joined or shuffled for it.
-    sizes = vx.as_one_value(texts.groupBy(group).agg(F.count(F.lit(1)).alias("docs")), group, "docs")
-    docs = F.get(F.filter("sizes", lambda g: g[group].eqNullSafe(F.col(group))), F.lit(0))["docs"]
+    sizes = cut_lineage(texts.groupBy(group).agg(F.count(F.lit(1)).alias("docs")))
     least = F.when(
         F.col("docs") > small_group,
         F.greatest(F.lit(min_docs), F.floor(F.col("docs") * F.lit(min_share))),
     ).otherwise(F.lit(1))
 
     def fitting(counts: DataFrame) -> DataFrame:
-        return (
-            counts.withColumn("sizes", sizes)
-            .withColumn("docs", docs)
-            .where((F.col("n_docs") <= F.col("docs") * F.lit(max_share)) & (F.col("n_docs") >= least))
-            .drop("sizes", "docs")
-        )
+        kept = (F.col("n_docs") <= F.col("docs") * F.lit(max_share)) & (F.col("n_docs") >= least)
+        return _with(counts, sizes, group).where(kept).drop("docs")
 
     words = texts.select(group, tx.tokens(F.col(text)).alias("words"))
     return _top_terms(words, group, n, fitting)

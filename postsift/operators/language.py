@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from postsift.functions import text as tx
 from postsift.settings import UNKNOWN_LANGUAGE
+from postsift.sources.tables import cut_lineage
 
 
 def with_trigrams(df: DataFrame, text: str) -> DataFrame:
@@ -42,40 +43,30 @@ def gram_counts(labelled: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 def fit_language_model(
-    labelled: DataFrame, text: str = "text", lang: str = "lang", max_grams: int = 1 << 16, max_languages: int = 200
+    labelled: DataFrame, text: str = "text", lang: str = "lang", max_counts: int = 1 << 23, max_languages: int = 1000
 ) -> PipelineModel:
     """Learn from texts whose language is known.
 
-    The texts are read once, to count trigrams per language. The model keeps the ``max_grams`` most
-    frequent ones, so what reaches the driver is at most that many counts per language. A language
+    The texts are read once, to count trigrams per language; every trigram enters the model. A language
     enters as one row: its mean counts, weighted by its texts, which gives the sums and priors of
-    training on every text.
+    training on every text. The counts make up the model and reach the driver; more than ``max_counts``
+    of them, or ``max_languages`` languages, raise, and nothing is left out.
     """
-    counts = gram_counts(labelled, text, lang).persist()
-    try:
-        per_language = counts.where(F.col("gram") == TEXTS).limit(max_languages + 1).collect()
-        if not 1 <= len(per_language) <= max_languages:
-            raise ValueError(f"fit_language_model: {len(per_language)} languages, expected 1..{max_languages}")
-        kept = (
-            counts.where(F.col("gram") != TEXTS)
-            .groupBy("gram")
-            .agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by_lang"))
-            .orderBy(F.col("total").desc(), F.col("gram").asc())
-            .limit(max_grams)
-            .select("gram", "by_lang")
-            .collect()
-        )
-    finally:
-        counts.unpersist()
+    counts = cut_lineage(gram_counts(labelled, text, lang))
+    per_language = counts.where(F.col("gram") == TEXTS).limit(max_languages + 1).collect()
+    if not 1 <= len(per_language) <= max_languages:
+        raise ValueError(f"fit_language_model: {len(per_language)} languages, expected 1..{max_languages}")
+    found = counts.where(F.col("gram") != TEXTS).limit(max_counts + 1).collect()
+    if len(found) > max_counts:
+        raise ValueError(f"fit_language_model: more than {max_counts} trigrams by language")
     texts = {r["lang"]: r["n"] for r in per_language}
     names = sorted(texts)
-    grams = [r["gram"] for r in kept]
-    rows = []
-    for i, name in enumerate(names):
-        entries = {
-            at: n / texts[name] for at, r in enumerate(kept) for lang_, n in r["by_lang"] if lang_ == name
-        }
-        rows.append((float(i), float(texts[name]), Vectors.sparse(len(grams), entries)))
+    grams = sorted({r["gram"] for r in found})
+    place = {g: i for i, g in enumerate(grams)}
+    means: dict[str, dict[int, float]] = {name: {} for name in names}
+    for r in found:
+        means[r["lang"]][place[r["gram"]]] = r["n"] / texts[r["lang"]]
+    rows = [(float(i), float(texts[name]), Vectors.sparse(len(grams), means[name])) for i, name in enumerate(names)]
     spark = labelled.sparkSession
     bayes = NaiveBayes(
         featuresCol="_counts",

@@ -16,8 +16,6 @@ MISSING_TEXT = "[TEXT MISSING]"
 BLANK_TEXT = "[TEXT BLANK]"
 NAME_SLOT = "[NAME ME]"
 
-BROADCAST_KEYS = 200_000
-
 
 def shown(c: Column) -> Column:
     return F.when(c.isNull(), MISSING_TEXT).when(tx.is_blank(c), BLANK_TEXT).otherwise(c)
@@ -37,8 +35,8 @@ def cluster_report(
     """One row per cluster: ``n_rows, keywords, samples, category_slot``. Lists are bounded by the two
     counts asked for; the clusters' rows themselves are only counted. ``key`` identifies a row.
 
-    Samples are drawn on cluster and key alone; their texts are fetched afterwards, by a broadcast of
-    the drawn keys if they are few.
+    Samples are drawn on cluster and key alone and written; their texts are fetched afterwards, so that
+    Spark knows the size of the drawn keys.
     """
     texts = [c for c in texts if c in df.columns]
     sizes = clusters.distribution(df, cluster)
@@ -51,8 +49,7 @@ def cluster_report(
     drawn = cut_lineage(
         clusters.sample_per_cluster(df.select(cluster, key), cluster, key, n_samples, seed).drop(cluster)
     )
-    few = drawn.count() <= BROADCAST_KEYS
-    picked = df.select(cluster, key, *texts).join(F.broadcast(drawn) if few else drawn, key)
+    picked = df.select(cluster, key, *texts).join(drawn, key)
     samples = picked.groupBy(F.col(cluster).alias("_of_samples")).agg(
         F.array_sort(
             F.collect_list(

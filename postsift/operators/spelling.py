@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from postsift.functions import text as tx
 from postsift.operators import tokenmap
+from postsift.sources.tables import cut_lineage
 
-# Forms of up to this length are spread over this many tasks.
-SHORT_FORM = 2
-SALTS = 16
+# Unknown words of one form that one task compares with the known words of that form.
+WORDS_PER_SALT = 1024
 
 
 def _drop_one(w: Column) -> Column:
@@ -69,18 +69,21 @@ def known_words(vocab: DataFrame, min_count: int = 5) -> DataFrame:
 def _best(unknown: DataFrame, known: DataFrame, keys, close: Column, distance: int) -> DataFrame:
     """Closest known word per unknown one: most frequent first, then alphabetical.
 
-    Pairs meet on a shared shortened form. A form of length m is shared by at most
-    (alphabet * (m + distance)) ** distance words, however large the corpus; the frequent words of a
-    corpus are one row here. Very short forms are shared by the most words and are salted.
+    Pairs meet on a shared shortened form. A form that many words share is cut into parts of about
+    ``WORDS_PER_SALT`` unknown words, and its known words go to each part; forms without a known word, or
+    without an unknown one, are dropped before.
     """
-    short = F.length("form") <= SHORT_FORM
-    left = tx.explode_rows(unknown, "lang", "word", form=keys(F.col("word"))).withColumn(
-        "salt", F.when(short, F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    left = cut_lineage(tx.explode_rows(unknown, "lang", "word", form=keys(F.col("word"))))
+    right = cut_lineage(tx.explode_rows(known, "lang", F.col("word").alias("correction"), "n", form=keys(F.col("word"))))
+    salts = left.groupBy("lang", "form").agg(F.ceil(F.count("*") / WORDS_PER_SALT).cast("int").alias("salts"))
+    many = cut_lineage(salts.where("salts > 1"))
+    left = left.join(many, ["lang", "form"], "left").withColumn(
+        "salt", F.pmod(F.xxhash64("word"), F.coalesce("salts", F.lit(1))).cast("int")
     )
-    right = (
-        tx.explode_rows(known, "lang", F.col("word").alias("correction"), "n", form=keys(F.col("word")))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.when(short, F.lit(SALTS - 1)).otherwise(F.lit(0)))))
+    right = right.join(many, ["lang", "form"], "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
     )
+    left, right = left.drop("salts"), right.drop("salts")
     pairs = left.join(right, ["lang", "form", "salt"]).where(close)
     best = F.min(F.struct((-F.col("n")).alias("rank"), F.col("correction"))).alias("b")
     return (
@@ -90,6 +93,13 @@ def _best(unknown: DataFrame, known: DataFrame, keys, close: Column, distance: i
     )
 
 
+def _within_reach(unknown: DataFrame, known: DataFrame, distance: int) -> DataFrame:
+    """Without words that are longer than every known word of the language by more than the distance: they
+    have no correction, and a very long one has very many forms."""
+    longest = known.groupBy("lang").agg(F.max(F.length("word")).alias("longest"))
+    return unknown.join(longest, "lang").where(F.length("word") <= F.col("longest") + distance).drop("longest")
+
+
 def corrections(vocab: DataFrame, known: DataFrame, max_distance: int = 2) -> DataFrame:
     """``(lang, word, correction, distance)`` for unknown words that have a known word close by.
 
@@ -102,9 +112,11 @@ def corrections(vocab: DataFrame, known: DataFrame, max_distance: int = 2) -> Da
         .distinct()
         .join(known.select("lang", "word"), ["lang", "word"], "left_anti")
     )
+    known = cut_lineage(known)
+    unknown = cut_lineage(_within_reach(unknown, known, max_distance))
     a, b = F.col("word"), F.col("correction")
     near = (F.levenshtein(a, b, 1) >= 0) | _swapped_neighbours(a, b)
-    first = _best(unknown, known, _drop_one, near, 1)
+    first = cut_lineage(_best(unknown, known, _drop_one, near, 1))
     if max_distance < 2:
         return first
     rest = unknown.join(first.select("lang", "word"), ["lang", "word"], "left_anti")
@@ -117,7 +129,7 @@ def as_token_map(vocab: DataFrame, fixes: DataFrame) -> DataFrame:
     c = F.col("correction")
     first = F.substring("token", 1, 1)
     capital = (first == F.upper(first)) & (first != F.lower(first))
-    kept = F.when(capital, F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1_000_000))).otherwise(c)
+    kept = F.when(capital, F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, F.lit(2), F.length(c)))).otherwise(c)
     return (
         vocab.where(checkable(F.col("token")))
         .withColumn("word", F.lower("token"))

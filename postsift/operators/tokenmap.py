@@ -32,13 +32,12 @@ def apply_token_map(
     lang: str,
     out: str,
     salts: int = 16,
-    broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """Replace words of ``text`` that have an entry for the row's language.
 
     Each text contributes its distinct words once, and comes back with one small map of its changes, not
-    word by word. The changed words are counted: up to ``broadcast_rows`` they are broadcast and no word
-    is shuffled; beyond that the join is salted, because a few words occur in most texts.
+    word by word. The changed words are written and salted, because a few words occur in most texts; as
+    their size is known, Spark broadcasts them if they are few.
     """
     changes = cut_lineage(
         mapping.where(F.col("token") != F.col("value")).select("lang", "token", "value")
@@ -49,12 +48,9 @@ def apply_token_map(
         F.col(lang).alias("lang"),
         token=F.array_distinct(tx.words(F.col(text))),
     )
-    if changes.count() <= broadcast_rows:
-        hits = mentions.join(F.broadcast(changes), ["lang", "token"])
-    else:
-        salt = F.pmod(F.xxhash64("_key"), F.lit(salts)).cast("int")
-        salted = changes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        hits = mentions.withColumn("salt", salt).join(salted, ["lang", "token", "salt"])
+    salt = F.pmod(F.xxhash64("_key"), F.lit(salts)).cast("int")
+    salted = changes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hits = mentions.withColumn("salt", salt).join(salted, ["lang", "token", "salt"])
     per_text = (
         hits.groupBy("_key", F.col("lang").alias("_maplang"))
         .agg(F.map_from_entries(F.collect_set(F.struct("token", "value"))).alias("_changes"))

@@ -66,15 +66,15 @@ def test_correct_spelling_keeps_case_and_everything_else(spark):
     assert {r.id: r.fixed for r in out.collect()} == {1: "Hello the order NASA x1z", 2: "teh", 3: "", 4: "the"}
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
-def test_token_map_is_the_same_broadcast_or_salted(spark, limit):
+@pytest.mark.parametrize("salts", [1, 16])
+def test_token_map_is_the_same_with_any_salt(spark, salts):
     words = ["a", "b", "c", "d"]
     docs = spark.createDataFrame(
         [(i, " ".join(c), "en" if i % 3 else "es") for i, c in enumerate(itertools.product(words, repeat=3))],
         "id long, text string, lang string",
     )
     mapping = spark.createDataFrame([("en", "a", "A"), ("en", "b", "b"), ("es", "c", "C")], "lang string, token string, value string")
-    out = tokenmap.apply_token_map(docs, mapping, "id", "text", "lang", "out", broadcast_rows=limit)
+    out = tokenmap.apply_token_map(docs, mapping, "id", "text", "lang", "out", salts=salts)
     change = {"en": {"a": "A"}, "es": {"c": "C"}}
     for r in out.collect():
         assert r.out == " ".join(change[r.lang].get(w, w) for w in r.text.split())
@@ -84,7 +84,7 @@ def test_token_map_is_the_same_broadcast_or_salted(spark, limit):
 def test_hot_words_do_not_multiply_rows(spark):
     docs = spark.range(3000).select(F.col("id"), F.lit("hot cold").alias("text"), F.lit("en").alias("lang"))
     mapping = spark.createDataFrame([("en", "hot", "warm")], "lang string, token string, value string")
-    out = tokenmap.apply_token_map(docs, mapping, "id", "text", "lang", "out", broadcast_rows=0)
+    out = tokenmap.apply_token_map(docs, mapping, "id", "text", "lang", "out")
     assert out.count() == 3000 and out.select("out").distinct().collect()[0][0] == "warm cold"
 
 
@@ -142,3 +142,13 @@ def test_spelling_inside_the_chain(spark):
     out = triage.preprocessed(df, None, s, dictionary=known).first()
     assert out.text_preprocessed == "hello the order"
     assert tables  # imported for its checkpoint folder
+
+
+def test_spelling_survives_junk_and_common_forms(spark, monkeypatch):
+    monkeypatch.setattr(spelling, "WORDS_PER_SALT", 3)
+    words = [("en", "house", 9), ("en", "horse", 8), ("en", "x" * 20_000, 1), ("en", "housee", 1), ("en", "huose", 1), ("en", "hxrsx", 1)]
+    words += [("en", f"ho{a}", 1) for a in "bcdfghjklm"] + [("en", "hot", 50)]
+    vocab = spark.createDataFrame(words, "lang string, token string, n long")
+    known = spelling.known_words(vocab)
+    got = {r.word: (r.correction, r.distance) for r in spelling.corrections(vocab, known).collect()}
+    assert got == {"housee": ("house", 1), "huose": ("house", 1), "hxrsx": ("horse", 2)} | {f"ho{a}": ("hot", 1) for a in "bcdfghjklm"}
