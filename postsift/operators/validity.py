@@ -159,5 +159,4 @@ def sweep_k(
         ch = calinski_harabasz(labelled, "cluster_id", vector).first()[0]
         db = davies_bouldin(labelled, "cluster_id", vector).first()[0]
         out.append((k, wcss, sil, ch if sil is not None else None, db))
-    vectors.unpersist()
     return spark.createDataFrame(out, K_METRICS)

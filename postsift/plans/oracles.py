@@ -124,7 +124,10 @@ def emoji(e: str) -> str:
         f"when unicode(p[2]) between {first} and {first + len(names) - 1} then block{i}[unicode(p[2]) - {first} + 1]"
         for i, (first, names) in enumerate(lx.emoji_tags())
     )
-    return pieces(e, lx.EMOJI_PATTERN, f"' ' || coalesce(em[p[2]], case {cases} else p[2] end) || ' '")
+    flag = "when unicode(p[2]) between 127462 and 127487 and unicode(p[2][2:2]) between 127462 and 127487 then 'emoji_flag_'"
+    flag += " || chr((unicode(p[2]) - 127365)::int) || chr((unicode(p[2][2:2]) - 127365)::int)"
+    keycap = f"when ends_with(p[2], chr(8419)) then 'emoji_keycap_' || case p[2][1:1] when '#' then 'hash' when '*' then 'star' else p[2][1:1] end"
+    return pieces(e, lx.EMOJI_PATTERN, f"' ' || coalesce(em[p[2]], case {flag} {keycap} {cases} else p[2] end) || ' '")
 
 
 def emoticons(e: str) -> str:
@@ -139,9 +142,9 @@ def each_word(e: str, replacement: str) -> str:
 
 def lemma(w: str, lang: str = "lang", m: str = "lm") -> str:
     return (
-        f"coalesce({m}[lower({w})], case when {lang} <> 'en' then {w} "
+        f"coalesce({m}[lower({w})], case when {lang} <> 'en' or {w} in ({', '.join(map(q, lx.NOT_PLURAL))}) then {w} "
         f"when regexp_matches({w}, '^[a-z]{{2,}}[^aeiou]ies$') then regexp_replace({w}, 'ies$', 'y') "
-        f"when regexp_matches({w}, '^[a-z]{{2,}}(?:s|x|z|ch|sh)es$') then regexp_replace({w}, 'es$', '') "
+        f"when regexp_matches({w}, '^[a-z]{{2,}}(?:ss|x|zz|ch|sh)es$') then regexp_replace({w}, 'es$', '') "
         f"when regexp_matches({w}, '^[a-z]{{2,}}[^sui]s$') then regexp_replace({w}, 's$', '') else {w} end)"
     )
 
@@ -266,9 +269,16 @@ DETECTED = f"""
   detected as (select d.doc_id, d.lang, coalesce(b.guess, 'unknown') as detected_language from documents d left join best b using (doc_id))"""
 
 
+NEED_STOPWORDS = ("customer_keywords", "stopword_filter", "cluster_keywords", "cluster_report")
+
+
 @cache
 def oracles() -> dict[str, str]:
-    english = stopword_list("english")
+    try:
+        stop = {c: stopword_list(lx.STOPWORD_LISTS[c]) for c in LANGUAGES}
+    except LookupError:  # the SQL that needs the words is left out below
+        stop = dict.fromkeys(LANGUAGES, ("",))
+    english = stop["en"]
     o: dict[str, str] = {}
 
     # Sources, filters, splits
@@ -325,7 +335,7 @@ def oracles() -> dict[str, str]:
     o["chatword_expand"] = f"""with {chat}, d as (select conv_id, turn, lang, {collapse("text")} as text from ({DECORATED}))
       select conv_id, turn, {collapse(each_word("text", "coalesce(m[lower(w)], w)"))} as text from d left join lex using (lang)"""
     o["punctuation_strip"] = f"select doc_id, {strip_punctuation('text')} as text from documents"
-    stops = values([(c, w) for c in LANGUAGES for w in stopword_list(lx.STOPWORD_LISTS[c])], "lang, w")
+    stops = values([(c, w) for c in LANGUAGES for w in stop[c]], "lang, w")
     o["stopword_filter"] = f"""with stop as (select lang, list(w) as words from {stops} group by lang),
       d as (select doc_id, lang, {collapse("lower(text)")} as text from documents)
       select doc_id, array_to_string(list_filter(string_split(text, ' '), lambda w: not list_contains(words, w)), ' ') as text
@@ -465,4 +475,6 @@ def oracles() -> dict[str, str]:
       c as (select bin, count(*) filter (early) as o, count(*) filter (not early) as n from e group by bin),
       s as (select bin, greatest(o / (select sum(o) from c), 1e-6) as so, greatest(n / (select sum(n) from c), 1e-6) as sn from c)
       select bin, round(so, 6) as share_old, round(sn, 6) as share_new, round((sn - so) * ln(sn / so), 6) as psi from s"""
+    if english == ("",):
+        return {k: v for k, v in o.items() if k not in NEED_STOPWORDS}
     return o

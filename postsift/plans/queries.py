@@ -111,8 +111,7 @@ def nearest_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 def scratch(spark: SparkSession) -> str:
     """A fresh folder in the session's shared checkpoint folder."""
-    tables.ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/postsift-{uuid.uuid4().hex}"
+    return f"{tables.run_folder(spark)}/{uuid.uuid4().hex}"
 
 
 # Sources, filters, splits
@@ -749,7 +748,7 @@ def triage_messages(spark, sf):
     _, model = learned(spark, sf)
     path = scratch(spark)
     model.save(path)
-    again = triage.Triage.load(spark, path, small_settings())
+    again = triage.Triage.load(spark, path)
     scored = again.score(ingest.customer_messages(messages(spark, sf)))
     return scored.select(
         "tweet_id", "detected_language", "text_preprocessed", "predicted_category", "confidence"

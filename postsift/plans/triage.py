@@ -23,7 +23,8 @@ from postsift.operators import (
     reports,
     spelling,
 )
-from postsift.settings import SPLITS, Settings
+from postsift.schema import CATEGORY_MAP
+from postsift.settings import SPLITS, Settings, settings_from_json, settings_json
 from postsift.sources import tables
 
 DISCOVERY = SPLITS[0]
@@ -113,9 +114,10 @@ def discover(
         encoder = fit_encoder(found, "text_preprocessed", s.features)
         found = features.encode(found, encoder)
     found = tables.cut_lineage(found.select("embedding"))
+    if (rows := found.count()) < s.ingest.min_rows:
+        raise ingest.TooFewRows(f"{rows} {DISCOVERY} rows, need {s.ingest.min_rows}")
     pca = features.fit_pca(found, "embedding", s.features)
     kmeans = clusters.fit_kmeans(features.reduce_vectors(found, pca).select("x"), "x", k, s.clusters)
-    found.unpersist()
     return Discovery(encoder, pca, kmeans, s)
 
 
@@ -133,6 +135,7 @@ class Triage:
     discovery: Discovery
     classifier: PipelineModel
     language_model: PipelineModel | None = None
+    categories: dict[int, str] | None = None
 
     def score(self, messages: DataFrame, **lexica: lx.Lexicon) -> DataFrame:
         """New messages -> ``predicted_category`` and ``confidence``. Row-local unless spelling correction
@@ -144,6 +147,7 @@ class Triage:
         return classify.predict(self.discovery.vectors(texts), self.classifier)
 
     def save(self, path: str) -> None:
+        """All models, the settings they were fitted with, and the names of the clusters."""
         d = self.discovery
         parts = {"pca": d.pca, "kmeans": d.kmeans, "classifier": self.classifier}
         parts |= {"encoder": d.encoder} if d.encoder is not None else {}
@@ -151,23 +155,35 @@ class Triage:
         for name, model in parts.items():
             model.write().overwrite().save(f"{path}/{name}")
         spark = SparkSession.active()
-        spark.createDataFrame([(name,) for name in sorted(parts)], "part string").coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(f"{path}/parts")
+        rows = {"parts": ([(n,) for n in sorted(parts)], "part string"), "settings": ([(settings_json(d.settings),)], "settings string")}
+        rows["categories"] = (sorted((self.categories or {}).items()), CATEGORY_MAP)
+        for name, (table, schema) in rows.items():
+            spark.createDataFrame(table, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, s: Settings = Settings()) -> Triage:
+    def load(cls, spark: SparkSession, path: str) -> Triage:
+        """What `save` wrote; raises if the names do not fit the clusters."""
+        s = settings_from_json(spark.read.parquet(f"{path}/settings").first().settings)
         have = {r.part for r in spark.read.parquet(f"{path}/parts").collect()}
         pipe = lambda name: PipelineModel.load(f"{path}/{name}") if name in have else None
         found = Discovery(pipe("encoder"), pipe("pca"), KMeansModel.load(f"{path}/kmeans"), s)
-        return cls(found, pipe("classifier"), pipe("language"))
+        categories = {r.cluster_id: r.category for r in spark.read.parquet(f"{path}/categories").collect()}
+        k = len(found.kmeans.clusterCenters())
+        if wrong := [c for c in categories if not 0 <= c < k]:
+            raise ValueError(f"names for clusters {wrong}, but the model has {k}")
+        return cls(found, pipe("classifier"), pipe("language"), categories or None)
 
 
 def train(labelled: DataFrame, found: Discovery, language_model: PipelineModel | None = None) -> Triage:
     """Fit the classifier on the discovery rows of a pseudo-labelled table."""
     rows = labelled.where(F.col("split") == DISCOVERY)
     model = classify.fit_classifier(rows, "category", "x", found.settings.classifier)
-    return Triage(found, model, language_model)
+    names = None
+    if "cluster_id" in rows.columns:
+        limit = found.settings.clusters.max_clusters
+        pairs = rows.select("cluster_id", "category").distinct().where("category is not null").limit(limit).collect()
+        names = {r.cluster_id: r.category for r in pairs}
+    return Triage(found, model, language_model, names)
 
 
 @dataclass

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import string
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, fields
 
 SPLITS = ("discovery", "validation", "evaluation")
 
@@ -77,3 +78,17 @@ class Settings:
     features: FeatureSettings = field(default_factory=FeatureSettings)
     clusters: ClusterSettings = field(default_factory=ClusterSettings)
     classifier: ClassifierSettings = field(default_factory=ClassifierSettings)
+
+
+def settings_json(s: Settings) -> str:
+    return json.dumps(asdict(s))
+
+
+def settings_from_json(text: str) -> Settings:
+    found = json.loads(text)
+    parts = {}
+    for f in fields(Settings):
+        kind = f.default_factory
+        values = {k: tuple(v) if isinstance(v, list) else v for k, v in found[f.name].items()}
+        parts[f.name] = kind(**values)
+    return Settings(**parts)
