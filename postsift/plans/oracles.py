@@ -372,9 +372,9 @@ def oracles() -> dict[str, str]:
     o["spell_near"] = f"with {NEAR} select lang, word, correction, 1 as distance from best1"
     o["spell_correct"] = f"""with {FAR} select lang, word, correction, 1 as distance from best1
       union all select lang, word, correction, 2 from best2"""
-    o["spell_apply"] = f"""with {NEAR},
+    o["spell_apply"] = f"""with {FAR}, best as (from best1 union all from best2),
       w as (select doc_id, lang, unnest(string_split(text, ' ')) as word, generate_subscripts(string_split(text, ' '), 1) as i from docs)
-      select doc_id, string_agg(coalesce(b.correction, w.word), ' ' order by i) as text from w left join best1 b using (lang, word) group by doc_id"""
+      select doc_id, string_agg(coalesce(b.correction, w.word), ' ' order by i) as text from w left join best b using (lang, word) group by doc_id"""
     o["language_detect"] = f"with {DETECTED} select doc_id, detected_language from detected"
     o["language_confusion"] = f"with {DETECTED} select lang, detected_language, count(*) as n from detected group by all"
 

@@ -366,7 +366,7 @@ def spell_correct(spark, sf):
 def spell_apply(spark, sf):
     docs = clean_documents(spark, sf)
     vocab = tables.cut_lineage(tokenmap.vocabulary(docs, "text", "lang"))
-    fixes = tables.cut_lineage(spelling.corrections(vocab, spelling.known_words(vocab, 5), 1))
+    fixes = tables.cut_lineage(spelling.corrections(vocab, spelling.known_words(vocab, 5)))
     mapping = spelling.as_token_map(vocab, fixes)
     done = tokenmap.apply_token_map(docs, mapping, "doc_id", "text", "lang", "fixed")
     return done.select("doc_id", F.col("fixed").alias("text"))
@@ -580,7 +580,7 @@ def metric_sample(spark, sf):
 
 @query
 def k_sweep(spark, sf):
-    return validity.sweep_k(projected(spark, sf), "x", (5, 8, 11, 14))
+    return validity.sweep_k(projected(spark, sf))
 
 
 # Classifier
@@ -624,7 +624,7 @@ def class_weights(spark, sf):
 
 def clustered_categories(spark, sf) -> DataFrame:
     """Vectors with the name of their fitted cluster as the label to learn."""
-    points = tables.cut_lineage(projected(spark, sf, 8).select("vec_id", "split", "x"))
+    points = tables.cut_lineage(projected(spark, sf).select("vec_id", "split", "x"))
     model = clusters.fit_kmeans(points.where("split = 'discovery'"))
     assigned = clusters.assign_clusters(points, model)
     return clusters.label_clusters(assigned, clusters.category_table(spark, CATEGORIES, 8))
@@ -726,13 +726,9 @@ def drift_psi(spark, sf):
 # End to end
 
 
-def small_settings() -> Settings:
-    return replace(Settings(), features=FeatureSettings(hashing_dims=128, pca_components=16))
-
-
 def learned(spark, sf):
     """Preprocessed messages of all splits, and everything learned from their discovery split."""
-    s = small_settings()
+    s = Settings()
     docs = tables.spread(table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
     lang_model = language.fit_language_model(docs)
     raw = tables.spread(messages(spark, sf), "tweet_id")
@@ -764,10 +760,13 @@ def triage_evaluation(spark, sf):
 
 @query
 def recluster_recent(spark, sf):
-    """Fresh clusters of the messages since a date, with their report."""
-    s = small_settings()
-    raw = tables.spread(messages(spark, sf), "tweet_id").withColumn("detected_language", F.lit("en"))
+    """Fresh clusters of the messages since a date, with their report. Messages are dated by their conversation,
+    from September to November; languages are detected."""
+    s = Settings()
+    day = F.date_add(F.lit("2017-09-01").cast("date"), (F.floor(F.col("tweet_id") / 1000) % 90).cast("int"))
+    raw = tables.spread(messages(spark, sf), "tweet_id").withColumn("created_at", day.cast("string"))
     typed = ingest.customer_messages(raw).withColumn("created_at", prepare.parse_created_at(F.col("created_at")))
-    texts = tables.cut_lineage(triage.preprocessed(typed, None, s))
+    docs = tables.spread(table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
+    texts = tables.cut_lineage(triage.preprocessed(typed, language.fit_language_model(docs), s))
     _, report = triage.recluster(texts, "2017-10-01", s, k=4)
     return report.select("cluster_id", "n_rows", "keywords", "category_slot")
