@@ -39,3 +39,21 @@ def test_entry(spark):
 
 def test_every_sql_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_workers_find_the_package_from_any_folder(tmp_path, sf):
+    """A driver script elsewhere, started in an empty folder, with only ``sys.path`` changed."""
+    import subprocess
+    import sys
+
+    script = tmp_path / "run.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {str(Path(entry.__file__).parent)!r})\n"
+        "import __spark_entry__ as e\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "assert e.oracle_sql()\n"
+        f"print('ROWS', e.queries()['user_encoder'](s, {sf!r}).count())\n"
+    )
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "ROWS 5200" in done.stdout, done.stderr[-2000:]
