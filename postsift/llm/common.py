@@ -40,9 +40,12 @@ class Scratch:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
-    def written(self, df: DataFrame, name: str) -> DataFrame:
+    def written(self, df: DataFrame, name: str, waves: int = 0) -> DataFrame:
+        """Write and read back. ``waves``: for rows without texts, in no more files than so many waves of tasks over all
+        cores write, as a small file costs more than its rows."""
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+        files = waves * self.spark.sparkContext.defaultParallelism
+        (df.coalesce(files) if files else df).write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def path(self, name: str) -> str:

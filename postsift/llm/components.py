@@ -16,8 +16,8 @@ def connected(links: DataFrame, scratch: Scratch, name: str = "components") -> D
     is a written table. Messages to one node are reduced before they are shuffled. Self-links keep a lone node in the result.
     """
     both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a")).distinct()
-    both = scratch.written(both, f"{name}-links")
-    roots = scratch.written(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("root")), f"{name}-0")
+    both = scratch.written(both, f"{name}-links", waves=2)
+    roots = scratch.written(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("root")), f"{name}-0", waves=2)
     for step in range(1, 200):
         heard = both.join(roots.select(F.col("node").alias("other"), F.col("root")), "other").groupBy("node").agg(F.min("root").alias("heard"))
         # A node also tells its root what it heard, so that whole trees are hooked at once.
@@ -26,7 +26,7 @@ def connected(links: DataFrame, scratch: Scratch, name: str = "components") -> D
         better = hooked.select("node", F.col("root").alias("before"), F.least("root", "heard", "told").alias("next"))
         jump = better.select(F.col("node").alias("next"), F.col("next").alias("after"))
         new = better.join(jump, "next").select("node", "before", F.least("next", "after").alias("root"))
-        new = scratch.written(new, f"{name}-{step}")
+        new = scratch.written(new, f"{name}-{step}", waves=2)
         changed = new.where("root <> before").limit(1).count()
         scratch.remove(f"{name}-{step - 1}")
         roots = new.select("node", "root")

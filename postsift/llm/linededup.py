@@ -187,9 +187,9 @@ def line_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", min_chars
     id_, body = F.col(f"`{key}`").cast("long"), F.col(f"`{text}`").cast("string")
     docs = df.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.coalesce(id_, F.lit(NO_ID)).alias("doc"), body.alias("text"))
 
-    lines = scratch.written(line_digests(docs, min_chars), "digests")
+    lines = scratch.written(line_digests(docs, min_chars), "digests", waves=8)
     counted = lines.distinct().groupBy("digest").agg(F.count("*").alias("n_docs"), F.max("doc").alias("keeper"))
-    counted = scratch.written(counted, "counted")
+    counted = scratch.written(counted, "counted", waves=2)
     shards = max(1, math.ceil(counted.count() / SHARD))
     shard = F.pmod(F.xxhash64("digest"), F.lit(shards)).alias("shard")
     counted = counted.select("digest", "n_docs", "keeper", shard)

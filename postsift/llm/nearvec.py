@@ -197,10 +197,10 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
         F.min("id").alias("least"), F.count("*").alias("copies"), F.first("vector").alias("vector"), F.first("label").alias("label")
     )
     classes = classes.withColumns({"cid": F.monotonically_increasing_id(), "label_key": F.xxhash64("label"), "dims": F.size("vector").cast("long")})
-    classes = scratch.written(classes, "classes")
+    classes = scratch.written(classes, "classes", waves=2)
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
 
-    listed = scratch.written(with_filters(classes, largest, bound), "filters")
+    listed = scratch.written(with_filters(classes, largest, bound), "filters", waves=8)
     member = listed.select("cid", F.explode("filters").alias("filter")).join(classes.select("cid", "label_key", "dims"), "cid")
     held = member.groupBy("label_key", "dims", "filter").agg(F.count("*").alias("n")).where("n > 1")
     cells = max(1, math.ceil(listed.agg(F.sum(F.size("filters"))).first()[0] / CELL)) if largest else 1
@@ -221,7 +221,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     )
     full = member.join(classes.select("cid", "label_key", "dims", "copies", "vector").join(listed, "cid"), "cid")
     found = full.groupBy("cell", "alone", "i", "j").applyInArrow(lambda t: cell_links(t, bound), "a long, b long, n long")
-    found = scratch.written(found, "links")
+    found = scratch.written(found, "links", waves=2)
     links = found.where("b is null").groupBy("a").agg(F.sum("n").alias("links")).withColumnRenamed("a", "cid")
     roots = connected(found.where("b is not null").select("a", "b"), scratch).withColumnRenamed("node", "cid")
 
@@ -229,7 +229,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     named = named.withColumn("root", F.coalesce("root", "cid"))
     named = named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root")
     named = named.select("k1", "k2", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    done = rows.drop("vector", "label").join(scratch.written(named, "named"), ["k1", "k2"], "left")
+    done = rows.drop("vector", "label").join(scratch.written(named, "named", waves=2), ["k1", "k2"], "left")
     component = F.coalesce("component_id", "id")
     return done.select(
         "id",

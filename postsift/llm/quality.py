@@ -191,7 +191,7 @@ def fit(
     n = own.count()
     if n > train_rows:
         rows = rows.where(F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(1 << 30)) < int(train_rows / n * (1 << 30)))
-    rows = scratch.written(rows, "train")
+    rows = scratch.written(rows, "train", waves=2)
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(counts) < 2:
         share = next(iter(counts), None)

@@ -107,7 +107,7 @@ def op7_quality(spark, sf):
     """Score every document by rules learned from the labelled ones."""
     scratch = Scratch(spark, "quality")
     docs = by_key(table(spark, sf, "documents"), {"doc_id": "doc_id", "text": "text"})
-    stats = scratch.written(quality.with_statistics(docs).drop("text"), "statistics")
+    stats = scratch.written(quality.with_statistics(docs).drop("text"), "statistics", waves=8)
     model = quality.fit(stats, table(spark, sf, "labels"))
     scored = stats.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), model.score().alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= KEEP_SCORE).cast("int"))
@@ -119,7 +119,7 @@ def op8_token_counts(spark, sf):
     scratch = Scratch(spark, "counts")
     docs = by_key(table(spark, sf, "documents"), {"text": "text"})
     lengths = tokencounts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).select("n_tokens")
-    return tokencounts.limits(scratch.written(tokencounts.histogram(lengths), "histogram"))
+    return tokencounts.limits(scratch.written(tokencounts.histogram(lengths), "histogram", waves=2))
 
 
 @query
@@ -128,7 +128,7 @@ def op9_packing(spark, sf):
     scratch = Scratch(spark, "packing")
     pieces = packing.cut(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packing.pack(scratch.written(pieces, "pieces"))
+    return packing.pack(scratch.written(pieces, "pieces", waves=8))
 
 
 @query

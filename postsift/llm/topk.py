@@ -110,7 +110,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, key:
     rows = df.where(sound & F.col(f"`{key}`").isNotNull())
     rows = rows.select(F.col(f"`{key}`").cast("long").alias("id"), whole_numbers(v, scale).alias("ints"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = rows.withColumn("row", F.xxhash64("ints")).withColumn("dims", F.size("ints")).groupBy("id", "row", "dims", "ints").agg(F.max("asks").alias("asks"))
-    rows = scratch.written(rows, "rows")
+    rows = scratch.written(rows, "rows", waves=2)
     n, asked = rows.agg(F.count("*"), F.count_if("asks")).first()
     blocks, asking = max(1, math.ceil(n / ROWS)), max(1, math.ceil(asked / QUERIES))
 
