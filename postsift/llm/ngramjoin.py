@@ -9,7 +9,7 @@ Texts with the same set of shingles are one class; their links need no compariso
 3. By the rarest-first order of columns, two rows can only be similar enough if they share a column among the first
    ``size - least overlap + 1`` of both. Rows that share such a column are put into a group named after the smallest row there
    (and then after that row's own smallest), so that near copies meet in one or two groups.
-4. A group is cut into tiles of at most ``TILE`` rows. Each pair of tiles is one task: it accumulates the overlaps by blocks of columns,
+4. A group is cut into tiles of about ``TILE`` rows or ``ENTRIES`` columns in all, whichever is less. Each pair of tiles is one task: it accumulates the overlaps by blocks of columns,
    as matrix products for columns with many rows, pair by pair for the others, and discards pairs under the bound that
    their sizes set. What comes back is a spanning forest of the links that were found, never all pairs.
 5. Components of these links give the component of each class, and so of each document.
@@ -41,9 +41,11 @@ from postsift.llm.common import Scratch
 from postsift.llm.components import connected
 
 #: Bytes of text and matrix entries handled at a time; rows of a tile; columns of a dense product; rows up to which a column is handled by pairs.
-SLICE, BLOCK, TILE, DENSE, FEW = 1_500_000, 2_000_000, 512, 4096, 12
+SLICE, BLOCK, TILE, DENSE, FEW = 500_000, 4_000_000, 512, 4096, 12
+#: Columns of the rows of a tile, all counted.
+ENTRIES = 400_000
 #: Classes whose copies a task remembers, so as to send each only once.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 
 
 def class_of(own: np.ndarray) -> int:
@@ -78,7 +80,7 @@ def block_of(h: np.ndarray, blocks: int) -> np.ndarray:
 
 
 def incidence(docs: DataFrame, width: int, blocks: int) -> DataFrame:
-    """block, rows, sizes, counts, columns: for each block some rows with their columns, packed as arrays."""
+    """block, rows, counts, columns: for each block some rows with their columns, packed as arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
@@ -98,21 +100,33 @@ def incidence(docs: DataFrame, width: int, blocks: int) -> DataFrame:
             block, row, low = block[order], row[order], entries[order].astype(np.uint32)
             borders = np.searchsorted(block, np.arange(blocks + 1))
             out: list[tuple] = []
+            low = np.ascontiguousarray(low)
             for k in np.flatnonzero(np.diff(borders)).tolist():
                 part = slice(borders[k], borders[k + 1])
                 first = np.flatnonzero(np.diff(row[part], prepend=-1))
                 which, counts = row[part][first], np.diff(first, append=borders[k + 1] - borders[k])
-                out.append((k, rows[which].tobytes(), sizes[which].astype(np.uint32).tobytes(), counts.astype(np.uint32).tobytes(), low[part].tobytes()))
+                out.append((k, rows[which].tobytes(), small(counts), low[part].tobytes()))
             columns = [pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*out))]
-            yield pa.RecordBatch.from_arrays(columns, names=["block", "rows", "sizes", "counts", "columns"])
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "rows", "counts", "columns"])
 
-    return docs.mapInArrow(run, "block int, rows binary, sizes binary, counts binary, columns binary")
+    return docs.mapInArrow(run, "block int, rows binary, counts binary, columns binary")
+
+
+def small(counts: np.ndarray) -> bytes:
+    """Counts of entries, in two bytes each if they fit."""
+    return counts.astype(np.uint16 if counts.max() < 1 << 16 else np.uint32).tobytes()
 
 
 def joined(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(table[name].to_pylist()), kind)
 
 
+def joined_counts(table: pa.Table) -> np.ndarray:
+    """One count for each row, whose name takes eight bytes."""
+    both = zip(table["counts"].to_pylist(), table["rows"].to_pylist())
+    return np.concatenate([np.frombuffer(c, np.uint16 if len(c) * 4 == len(r) else np.uint32) for c, r in both]).astype(np.int32)
+
+
 def spread_out(counts: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Positions of the entries of the chosen rows, given the number of entries of each row."""
     begin = np.cumsum(counts) - counts
@@ -127,23 +141,25 @@ def shared_columns(table: pa.Table, buckets: int) -> pa.Table:
     ``ranks``: a byte that grows with the number of rows of the column, to order columns by.
     """
     block = table["block"][0].as_py()
-    rows, sizes = joined(table, "rows", np.int64), joined(table, "sizes", np.uint32)
-    counts, columns = joined(table, "counts", np.uint32).astype(np.int64), joined(table, "columns", np.uint32)
+    rows, counts, columns = joined(table, "rows", np.int64), joined_counts(table), joined(table, "columns", np.uint32)
     rows, once = np.unique(rows, return_index=True)
-    columns = columns[spread_out(counts, once)]
-    sizes, counts = sizes[once], counts[once]
-    owner = np.repeat(np.arange(len(rows)), counts)
+    columns, counts = columns[spread_out(counts, once)], counts[once]  # each copy once
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), counts)
     order = np.argsort(columns, kind="stable")
-    first = np.flatnonzero(np.diff(columns[order].astype(np.int64), prepend=-1))
+    sorted_ = columns[order]
+    begins = np.append(True, sorted_[1:] != sorted_[:-1])[: len(sorted_)]
+    first = np.flatnonzero(begins)
     has = np.diff(first, append=len(order))
-    times = np.empty(len(order), np.int64)
-    times[order] = np.repeat(has, has)
-    kept = times > 1
+    times = np.repeat(has.astype(np.int32), has)
+    kept = order[times > 1]
+    times = times[times > 1]
+    back = np.argsort(kept, kind="stable")  # by row again
+    kept, times = kept[back], times[back]
     columns, owner = columns[kept], owner[kept]
-    ranks = np.minimum(255, 8 * np.log2(np.maximum(times[kept], 1))).astype(np.uint8)
+    ranks = np.minimum(255, 8 * np.log2(np.maximum(times, 1))).astype(np.uint8)
     counts = np.bincount(owner, minlength=len(rows))
-    bucket = np.where(counts > 0, (shingles.mixed(rows.view(np.uint64)) % np.uint64(buckets)).astype(np.int64), -1)
-    out: dict[str, list] = {c: [] for c in ("bucket", "block", "rows", "sizes", "counts", "columns", "ranks")}
+    bucket = np.where(counts > 0, bucket_of(rows, buckets), -1)
+    out: dict[str, list] = {c: [] for c in ("bucket", "block", "rows", "counts", "columns", "ranks")}
     by_bucket = np.argsort(bucket, kind="stable")
     borders = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
     for k in np.flatnonzero(np.diff(borders)).tolist():
@@ -152,26 +168,42 @@ def shared_columns(table: pa.Table, buckets: int) -> pa.Table:
         out["bucket"].append(k)
         out["block"].append(block)
         out["rows"].append(rows[chosen].tobytes())
-        out["sizes"].append(sizes[chosen].tobytes())
-        out["counts"].append(counts[chosen].astype(np.uint32).tobytes())
+        out["counts"].append(small(counts[chosen]))
         out["columns"].append(columns[entries].tobytes())
         out["ranks"].append(ranks[entries].tobytes())
     return pa.table({c: pa.array(v, pa.int32() if c in ("bucket", "block") else pa.binary()) for c, v in out.items()})
 
 
-SHARED = "bucket int, block int, rows binary, sizes binary, counts binary, columns binary, ranks binary"
+def bucket_of(rows: np.ndarray, buckets: int) -> np.ndarray:
+    return (shingles.mixed(rows.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+
+
+def with_bucket(sizes: DataFrame, buckets: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.append_column("bucket", pa.array(bucket_of(b.column(0).to_numpy(), buckets)))
+
+    return sizes.mapInArrow(run, "class long, n long, bucket int")
+
 
+SHARED = "bucket int, block int, rows binary, counts binary, columns binary, ranks binary"
 
-def eligible_rows(table: pa.Table, percent: int) -> pa.Table:
-    """Rows that could have a partner: their shared columns, and how many of the rarest ones every partner shares at least one of."""
+
+def eligible_rows(table: pa.Table, known: pa.Table, percent: int) -> pa.Table:
+    """Rows that could have a partner: their shared columns, and how many of the rarest ones every partner shares at least one of.
+
+    ``known``: class, n: the sizes of the rows of the bucket.
+    """
+    if not table.num_rows:
+        return pa.table({"row": pa.array([], pa.int64()), "size": pa.array([], pa.int64()), "head": pa.array([], pa.int64()), "columns": pa.array([], pa.list_(pa.int64()))})
+    rows, counts = joined(table, "rows", np.int64), joined_counts(table)
     blocks = np.repeat(table["block"].to_numpy(), [len(x) // 8 for x in table["rows"].to_pylist()]).astype(np.int64)
-    rows, sizes = joined(table, "rows", np.int64), joined(table, "sizes", np.uint32).astype(np.int64)
-    counts = joined(table, "counts", np.uint32).astype(np.int64)
-    names, first, number = np.unique(rows, return_index=True, return_inverse=True)
+    names, number = np.unique(rows, return_inverse=True)
     total = np.bincount(number, counts, len(names)).astype(np.int64)
-    size = sizes[first]
+    order = np.argsort(known["class"].to_numpy())
+    size = known["n"].to_numpy()[order][np.searchsorted(known["class"].to_numpy()[order], names)]
     good = 100 * total >= percent * size
-    owner = np.repeat(number, counts)
+    owner = np.repeat(number.astype(np.int32), counts)
     kept = good[owner]
     owner = owner[kept]
     columns = np.repeat(blocks, counts)[kept] << 32 | joined(table, "columns", np.uint32)[kept].astype(np.int64)
@@ -190,8 +222,8 @@ def eligible_rows(table: pa.Table, percent: int) -> pa.Table:
     )
 
 
-def overlaps(sets: list[np.ndarray], tile: np.ndarray) -> np.ndarray:
-    """How many columns each two rows share; only rows of different tiles count if there are two tiles.
+def overlaps(sets: list[np.ndarray], tile: np.ndarray | None) -> np.ndarray:
+    """How many columns each two rows share; only rows of different tiles count if tiles are given.
 
     Columns that a pair of tiles does not share are dropped; the others are accumulated block by block.
     """
@@ -220,7 +252,7 @@ def overlaps(sets: list[np.ndarray], tile: np.ndarray) -> np.ndarray:
         matrix = np.zeros((n, len(chosen)), np.float32)
         matrix[owner[spread_out(has, chosen)], np.repeat(np.arange(len(chosen)), has[chosen])] = 1
         total += matrix @ matrix.T
-    if tile.any() and not tile.all():
+    if tile is not None:
         total[tile[:, None] == tile[None, :]] = 0
     np.fill_diagonal(total, 0)
     return total
@@ -244,8 +276,8 @@ def tile_links(table: pa.Table, percent: int) -> pa.Table:
     rows = table["row"].to_numpy()
     size = table["size"].to_numpy()
     sets = [np.asarray(x) for x in np.split(table["columns"].combine_chunks().flatten().to_numpy(), np.cumsum(lengths(table["columns"].combine_chunks()))[:-1])]
-    tile = (table["tile"] == table["i"]).to_numpy() if table["i"][0] != table["j"][0] else np.ones(len(rows), bool)
-    total = overlaps(sets, ~tile)
+    within = table["i"][0].as_py() == table["j"][0].as_py()
+    total = overlaps(sets, None if within else table["tile"].to_numpy())
     union = size[:, None] + size[None, :] - total
     root = forest((total > 0) & (100 * total >= percent * union))
     joined_ = np.flatnonzero(root != np.arange(len(rows)))
@@ -259,36 +291,42 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text", width:
     """
     scratch = Scratch(df.sparkSession, "ngrams")
     docs = df.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
-    info = scratch.written(measured(docs, width), "documents")
+    info = scratch.written(measured(docs, width), "documents", waves=8)
     entries = info.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, math.ceil(entries / BLOCK))
 
     parts = incidence(docs.select("text"), width, blocks).groupBy("block")
     shared = parts.applyInArrow(lambda t: shared_columns(t, blocks), SHARED)
-    rows = shared.groupBy("bucket").applyInArrow(lambda t: eligible_rows(t, percent), "row long, size long, head long, columns array<long>")
-    rows = scratch.written(rows, "rows")
+    # Sizes follow the rows to their buckets, once each; a bucket is a hash of the row's name, as in `shared_columns`.
+    sizes = info.where("class is not null").groupBy("class").agg(F.first("n").alias("n"))
+    sizes = with_bucket(sizes, blocks).groupBy("bucket")
+    found = shared.groupBy("bucket").cogroup(sizes)
+    rows = found.applyInArrow(lambda t, known: eligible_rows(t, known, percent), "row long, size long, head long, columns array<long>")
+    rows = scratch.written(rows, "rows", waves=2)
 
     # Columns among the rarest of several rows; rows meet in groups named after the smallest row of such a column.
-    heads = scratch.written(rows.select("row", F.explode(F.slice("columns", F.lit(1), F.col("head").cast("int"))).alias("column")).distinct(), "heads")
+    heads = scratch.written(rows.select("row", F.explode(F.slice("columns", F.lit(1), F.col("head").cast("int"))).alias("column")).distinct(), "heads", waves=2)
     named = heads.groupBy("column").agg(F.min("row").alias("group"), F.count("*").alias("n")).where("n > 1").drop("n")
-    member = scratch.written(heads.join(named, "column").select("row", "group").distinct(), "members-0")
+    member = scratch.written(heads.join(named, "column").select("row", "group").distinct(), "members-0", waves=2)
     for step in (1, 2):
         smallest = member.groupBy("row").agg(F.min("group").alias("next")).withColumnRenamed("row", "group")
         member = member.join(smallest, "group").select("row", F.col("next").alias("group")).distinct()
-        member = scratch.written(member, f"members-{step}")
+        member = scratch.written(member, f"members-{step}", waves=2)
 
-    tiles = member.groupBy("group").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    weighed = member.join(rows.select("row", F.size("columns").alias("entries")), "row").groupBy("group")
+    tiles = weighed.agg(F.ceil(F.greatest(F.count("*") / TILE, F.sum("entries") / ENTRIES)).cast("int").alias("tiles"), F.count("*").alias("n"))
+    tiles = tiles.where("n > 1").drop("n")
     tiled = member.join(tiles, "group").withColumn("tile", F.pmod(F.xxhash64("row"), F.col("tiles")).cast("int"))
     tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     tiled = tiled.select("row", "group", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
     pairs = tiled.join(rows.drop("head"), "row").groupBy("group", "i", "j")
     links = pairs.applyInArrow(lambda t: tile_links(t, percent), "a long, b long")
-    roots = connected(scratch.written(links, "links"), scratch)
+    roots = connected(scratch.written(links, "links", waves=2), scratch)
 
     classes = info.where("class is not null").groupBy("class").agg(F.min("doc").alias("least"))
     classes = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = scratch.written(classes.select("class", "root").join(least, "root").select("class", "component_id"), "classes")
+    classes = scratch.written(classes.select("class", "root").join(least, "root").select("class", "component_id"), "classes", waves=2)
     done = info.join(classes, "class", "left")
     own = F.when(F.col("class").isNull(), F.col("doc")).otherwise(F.col("component_id"))
     return done.select("doc", F.col("n").alias("n_shingles"), own.alias("component_id"))

@@ -60,9 +60,9 @@ def near_copies(seed=1):
     return rows
 
 
-@pytest.mark.parametrize("sizes", [(2_000_000, 512, 12), (300, 3, 2)])
+@pytest.mark.parametrize("sizes", [(4_000_000, 512, 12, 400_000), (300, 3, 2, 400_000), (2000, 512, 4, 200)])
 def test_jaccard_join(spark, monkeypatch, sizes):
-    for name, value in zip(("BLOCK", "TILE", "FEW"), sizes):
+    for name, value in zip(("BLOCK", "TILE", "FEW", "ENTRIES"), sizes):
         monkeypatch.setattr(ngramjoin, name, value)
     rows = near_copies()
     df = spark.createDataFrame([(d, t, 0, 0) for d, t in rows], "doc_id long, text string, n long, class long")
