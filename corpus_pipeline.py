@@ -28,7 +28,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Learn from the labelled ones of these documents; keep those that score well."""
     scratch = Scratch(spark, "pipeline-quality")
     measured = quality.with_statistics(docs)
-    stats = scratch.written(measured.select("doc_id", *quality.STATISTICS), "statistics")
+    stats = scratch.written(measured.select("doc_id", *quality.STATISTICS), "statistics", waves=8)
     model = quality.fit(stats, table(spark, sf_dir, "labels"))
     scratch.remove()
     return measured.where(model.score() >= KEEP_SCORE).select(*docs.columns)
@@ -47,7 +47,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     joined = ngramjoin.jaccard_join(docs)
     stays = F.max(F.col("doc").eqNullSafe(F.col("component_id")))
     gone = joined.groupBy("doc").agg(stays.alias("stays")).where(~F.col("stays")).select("doc")
-    gone = scratch.written(gone, "gone")
+    gone = scratch.written(gone, "gone", waves=2)
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc"]), "left_anti").select(*docs.columns)
 
 
@@ -56,7 +56,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     scratch = Scratch(spark, "pipeline-packing")
     pieces = packing.cut(docs, public_tokenizers.path("byte_bpe_50k.json"))
     pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packing.pack(scratch.written(pieces, "pieces"))
+    return packing.pack(scratch.written(pieces, "pieces", waves=8))
 
 
 STAGES = [
