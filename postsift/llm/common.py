@@ -11,22 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 from postsift.sources.shipping import ship
-
-#: Used only where a session names no checkpoint folder, as in tests on a local master.
-LOCAL_CHECKPOINTS = "/tmp/checkpoints"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session.
-
-    Raises on a cluster that names none; a local master, where all is one machine, gets ``LOCAL_CHECKPOINTS``.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"file://{LOCAL_CHECKPOINTS}"
+from postsift.sources.tables import shared_folder
 
 
 class Scratch:
