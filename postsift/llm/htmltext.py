@@ -6,9 +6,14 @@ The container with the most points, raised to the article or main element around
 fair share of it are the article. Menus, page headers, footers, side bars, notices, adverts, forms, scripts and reader comments are
 told by element, role or name before scoring, and lists that are nearly all links by their density; all else stays.
 
+Class and id names are weighed, as wrappers have such words, too (``has-sidebar``, ``no-comments``). A named part goes only if it is no
+article or main, has no name that hints at the article, holds no article or main, and has a small share of the page's points, alone
+and with the other small parts of its name; else it stays with half its score. Reader comments and lists of other articles may hold
+or be ``article`` elements: they go all the same if the page has an article outside them, comments whatever their share.
+
 Blocks of the kept containers come in page order, white space within a block is one space, blocks are joined by one \\n.
 
-Defined results: null or empty html, or a page without text outside such parts, has an empty text. Broken markup is
+Defined results: null or empty html, or a page without text outside such parts, has an empty text; a page all in a named part has its text. Broken markup is
 closed where the next block begins. Pages are handled one by one and whole. Repeated rows are extracted each.
 """
 
@@ -42,6 +47,12 @@ BEGINNINGS = (
     "advert adsense banner breadcrumb comment consent cookie disclaimer disqus gdpr masthead menu navbar navigation newsletter notice notification"
     " pagination paywall promo recommend sidebar signup skyscraper sponsor subscri toolbar widget"
 ).split()
+#: Words that begin like one of them and are none; first words of a name that tell a state or a label of a part, not what it is.
+OTHERS = frozenset("commentary commentaries commentator commentators subscript subscripts".split())
+STATES = frozenset("no not has have with without show hide category tag type format".split())
+#: Names of reader comments, and of these and lists of other articles.
+COMMENTS = frozenset("comment disqus reply replies".split())
+LISTS = COMMENTS | frozenset("related recommend promo".split())
 GOOD = frozenset("article body content entry main post text story page".split())
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 WORD = re.compile(r"[a-z]+")
@@ -51,36 +62,56 @@ WITHIN = frozenset("script style noscript template button select textarea option
 CLOSES = {"li": "li", "dt": "dd", "dd": "dt", "tr": "tr", "td": "td", "th": "td", "option": "option"}
 #: Share of link text from which a list of at least so many links is a menu; share of the best score that a sibling needs.
 MENU_DENSITY, MENU_LINKS, SIBLING = 0.8, 3, 0.2
+#: Share of the page's points from which a named part stays; points that make an article outside comments.
+LARGE, ELSEWHERE = 0.35, 4
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "apart", "good", "score", "chars", "linked", "links")
+    __slots__ = ("tag", "parent", "children", "apart", "good", "names", "holds", "points", "score", "chars", "linked", "links")
 
-    def __init__(self, tag: str, parent: Node | None, apart: bool = False, good: bool = False):
-        self.tag, self.parent, self.apart, self.good = tag, parent, apart, good
+    def __init__(self, tag: str, parent: Node | None, apart: bool = False, good: bool = False, names: frozenset[str] = frozenset()):
+        self.tag, self.parent, self.apart, self.good, self.names = tag, parent, apart, good, names
         self.children: list[Node | str] = []
-        self.score, self.chars, self.linked, self.links = 0.0, 0, 0, 0
+        self.holds = False
+        self.points, self.score, self.chars, self.linked, self.links = 0.0, 0.0, 0, 0, 0
+
+
+def name_of(word: str) -> str | None:
+    """The entry of ``NAMES`` or ``BEGINNINGS`` that a word is."""
+    if word in NAMES:
+        return word
+    return None if word in OTHERS else next((b for b in BEGINNINGS if word.startswith(b)), None)
+
 
+def named(attrs: list[tuple[str, str | None]], within: bool) -> tuple[bool, bool, frozenset[str]]:
+    """Whether role or style tell a part that is not the article; whether class or id hint at the article; names that speak against it.
 
-def named(attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
-    """Whether role, class, id or style tell a part that is not the article; whether they hint at the article."""
-    apart = good = False
+    A hint in another name than theirs overrides the latter. ``within``: the part is inside an article, where a header belongs to it.
+    """
+    apart = good = sure = False
+    against: set[str] = set()
     for name, value in attrs:
         if name == "hidden":
             apart = True
         elif not value:
             continue
         elif name in ("class", "id"):
-            words = WORD.findall(re.sub("([a-z])([A-Z])", r"\1 \2", value).lower())
-            good |= any(w in GOOD for w in words)
-            apart |= any(w in NAMES or any(w.startswith(b) for b in BEGINNINGS) for w in words)
+            for token in value.split():
+                words = WORD.findall(re.sub("([a-z])([A-Z])", r"\1 \2", token).lower())
+                hint = any(w in GOOD for w in words)
+                found = {n for n in map(name_of, words) if n} if words and words[0] not in STATES else set()
+                if hint or within:
+                    found.discard("header")
+                against |= found
+                good |= hint
+                sure |= hint and not found
         elif name == "role":
             apart |= value.lower() in ROLES
         elif name == "aria-hidden":
             apart |= value.lower() == "true"
         elif name == "style":
             apart |= bool(HIDDEN.search(value))
-    return apart, good
+    return apart, good, frozenset() if sure else frozenset(against)
 
 
 class Tree(HTMLParser):
@@ -119,14 +150,16 @@ class Tree(HTMLParser):
                     if self.open.get(t) and not self.inside_new(t):
                         self.leave(t)
         within = bool(self.open.get("article") or self.open.get("main"))
-        apart, good = named(attrs) if attrs else (False, False)
-        if tag in ("html", "body", "main") or tag == "article" and not apart:
-            apart = False
+        apart, good, names = named(attrs, within) if attrs else (False, False, frozenset())
+        if tag in ("html", "body", "main"):
+            apart, names = False, frozenset()
+        elif tag == "article":
+            names &= LISTS
         elif tag in APART and not (tag == "header" and within):
             apart = True
         elif tag == "header":
-            apart = False
-        self.enter(Node(tag, self.at, apart, good or tag in ("article", "main")))
+            apart, names = False, frozenset()
+        self.enter(Node(tag, self.at, apart, good or tag in ("article", "main"), names))
 
     def inside_new(self, tag: str) -> bool:
         """Whether a list or table was opened since the last element of this kind."""
@@ -190,9 +223,60 @@ def blocks(root: Node) -> Iterator[tuple[str, Node, int]]:
         owner = what if not leaving else parent or root
 
 
+def points_of(text: str, linked: int) -> float:
+    return (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / max(len(text), 1))
+
+
+def drop_named(root: Node) -> None:
+    """Set apart the parts whose names speak against them and that are not the page's body."""
+    for text, owner, linked in blocks(root):
+        owner.points += points_of(text, linked)
+    doubted: list[Node] = []
+    elsewhere, good, listed = 0.0, 0, 0
+    for what, parent, leaving in in_order(root):
+        if isinstance(what, str):
+            parent.chars += len(what.strip())
+            continue
+        step = -1 if leaving else 1
+        good += step if what.good and not what.names and what.tag not in ("html", "body") else 0
+        listed += step if what.names & LISTS else 0
+        if not leaving:
+            if what.names:
+                doubted.append(what)
+            elsewhere += what.points if good and not listed else 0
+        elif parent is not None:
+            parent.points += what.points
+            parent.chars += what.chars
+            parent.holds |= what.holds or what.tag in ("article", "main") and not what.names and what.points > 0
+    if not doubted:
+        return
+
+    def share(node: Node) -> float:
+        return node.points / root.points if node.points else node.chars / max(root.chars, 1)
+
+    small = [n for n in doubted if share(n) < LARGE]
+    together: dict[str, float] = {}
+    for node in small:
+        for name in node.names:
+            above = node.parent
+            while above is not None and not (name in above.names and share(above) < LARGE):
+                above = above.parent
+            if above is None:  # else it is counted with that one
+                together[name] = together.get(name, 0.0) + share(node)
+    article = elsewhere >= ELSEWHERE
+    for node in doubted:
+        listing = bool(node.names & LISTS) and article
+        if (node.holds or node.tag == "article") and not listing:
+            continue
+        node.apart = listing and bool(node.names & COMMENTS) or share(node) < LARGE and max(together[n] for n in node.names) < LARGE
+
+
 def measure(root: Node) -> None:
     """Characters, link characters and links below each element."""
+    root.chars = 0
     for what, parent, leaving in in_order(root):
+        if isinstance(what, Node) and not leaving:
+            what.chars = 0
         if isinstance(what, Node) and leaving and parent is not None:
             if what.tag == "a":
                 what.linked, what.links = what.chars, 1
@@ -214,7 +298,7 @@ def rate(root: Node) -> dict[int, Node]:
     """Pass the points of each paragraph to its ancestors; the containers that got any, by identity."""
     rated: dict[int, Node] = {}
     for text, owner, linked in blocks(root):
-        points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / max(len(text), 1))
+        points = points_of(text, linked)
         node, step = (owner.parent or owner) if owner.tag in PARAGRAPHS else owner, 1
         while node is not None and node.tag not in ("", "html"):
             if id(node) not in rated:
@@ -223,7 +307,7 @@ def rate(root: Node) -> dict[int, Node]:
             node.score += points / step
             node, step = node.parent, step + 1
     for node in rated.values():
-        node.score *= 1 - node.linked / max(node.chars, 1)
+        node.score *= (1 - node.linked / max(node.chars, 1)) * (0.5 if node.names else 1)
     return rated
 
 
@@ -232,6 +316,7 @@ def main_text(html: str) -> str:
     tree.feed(html)
     tree.close()
     root = tree.root
+    drop_named(root)
     measure(root)
     drop_menus(root)
     rated = rate(root)

@@ -34,6 +34,27 @@ def test_main_text(page):
     assert main_text(page) == PAGES[page]
 
 
+WRAPPERS = {
+    f'<article class="post category-social">{ARTICLE}</article>': "Title\nOne, two & three.\nFour, five.\nSix",
+    f'<div class="content has-sidebar">{ARTICLE}</div><div class="sidebar"><p>a, b</p></div>': "Title\nOne, two & three.\nFour, five.\nSix",
+    f'<div id="page" class="no-comments">{ARTICLE}</div>': "Title\nOne, two & three.\nFour, five.\nSix",
+    f'<div class="layout-sidebar"><article>{ARTICLE}</article></div>': "Title\nOne, two & three.\nFour, five.\nSix",
+    f'<article class="social">{ARTICLE}</article>': "Title\nOne, two & three.\nFour, five.\nSix",
+    f'<div class="page-widget">{ARTICLE}</div>': "Title\nOne, two & three.\nFour, five.\nSix",
+    '<article><div class="entry-header"><h1>T</h1></div><p class="commentary">One, two.</p><p>H<sub class="subscript">2</sub>O</p></article>': "T\nOne, two.\nH2O",
+    "<body>" + "".join(f'<div class="widget"><p>Part {i}, of many.</p></div>' for i in range(9)) + "</body>": "\n".join(f"Part {i}, of many." for i in range(9)),
+    # What the names are for still goes, comments also where they outweigh the article or are articles themselves.
+    f'<article>{ARTICLE}</article><div id="comments">' + '<article class="comment-body"><p>so, so, so, nice</p></article>' * 20 + "</div>": "Title\nOne, two & three.\nFour, five.\nSix",
+    f'<div class="post-content">{ARTICLE}</div><div class="social share">Share</div><div class="post-comments">' + "<p>so, so, nice</p>" * 20 + "</div>": "Title\nOne, two & three.\nFour, five.\nSix",
+}
+
+
+@pytest.mark.parametrize("page", list(WRAPPERS), ids=lambda p: p[:40])
+def test_names_of_wrappers(page):
+    """A word of a class or id alone does not drop the page's text."""
+    assert main_text(page) == WRAPPERS[page]
+
+
 def test_given_pages(spark, sf):
     """The pages of the test tables have one article each, of a heading and paragraphs."""
     done = extract(spark.read.parquet(f"{sf}/pages.parquet")).collect()
