@@ -2,8 +2,10 @@
 
 A page becomes a tree. Each paragraph gives points for being one, for its commas and its length to its parent, half of them
 to the next ancestor, a third to the one after that, and so on. A container's points are discounted by the share of its text that stands in links.
-The container with the most points, raised to the article or main element around it if there is one, and those siblings that score a
-fair share of it are the article. Menus, page headers, footers, side bars, notices, adverts, forms, scripts and reader comments are
+If the container with the most points lies in an article or main element, all outermost such elements of the page are the article,
+and what stands beside its own with a fair share of its score. Else the article is the lowest container around it that holds all
+text outside menus, with short sections, headings and loose text; branches beside the best container that hold only links are left
+out, headings stay. Menus, page headers, footers, side bars, notices, adverts, forms, scripts and reader comments are
 told by element, role or name before scoring, and lists that are nearly all links by their density; all else stays.
 
 Class and id names are weighed, as wrappers have such words, too (``has-sidebar``, ``no-comments``). A named part goes only if it is no
@@ -34,6 +36,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong"
     " sub sup time tt u var wbr".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre td th blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption".split())
 #: Elements that never belong to the article; a header does inside one.
 APART = frozenset(
@@ -60,20 +63,23 @@ WORD = re.compile(r"[a-z]+")
 WITHIN = frozenset("script style noscript template button select textarea option iframe object svg canvas audio video map".split())
 #: Elements that end a paragraph still open, and what a new one of a kind closes.
 CLOSES = {"li": "li", "dt": "dd", "dd": "dt", "tr": "tr", "td": "td", "th": "td", "option": "option"}
-#: Share of link text from which a list of at least so many links is a menu; share of the best score that a sibling needs.
+#: Share of link text from which a list of at least so many links is a menu; share of its score that a part beside an article element needs.
 MENU_DENSITY, MENU_LINKS, SIBLING = 0.8, 3, 0.2
 #: Share of the page's points from which a named part stays; points that make an article outside comments.
 LARGE, ELSEWHERE = 0.35, 4
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "apart", "good", "names", "holds", "points", "score", "chars", "linked", "links")
+    __slots__ = ("tag", "parent", "children", "apart", "good", "names", "holds", "points", "score", "prose", "chars", "linked", "links")
 
     def __init__(self, tag: str, parent: Node | None, apart: bool = False, good: bool = False, names: frozenset[str] = frozenset()):
         self.tag, self.parent, self.apart, self.good, self.names = tag, parent, apart, good, names
         self.children: list[Node | str] = []
         self.holds = False
-        self.points, self.score, self.chars, self.linked, self.links = 0.0, 0.0, 0, 0, 0
+        self.points, self.score, self.prose, self.chars, self.linked, self.links = 0.0, 0.0, 0, 0, 0, 0
+
+
+END = Node("hr", None)
 
 
 def name_of(word: str) -> str | None:
@@ -184,7 +190,7 @@ class Tree(HTMLParser):
 
 
 def in_order(root: Node) -> Iterator[tuple[Node | str, Node | None, bool]]:
-    """(text, its element, False), (element, its parent, False) on entering and (.., True) on leaving; parts that are apart are left out."""
+    """(text, its element, False), (element, its parent, False) on entering and (.., True) on leaving; of blocks that are apart only an end is left."""
     stack: list[tuple[Node, int]] = [(root, 0)]
     while stack:
         node, i = stack.pop()
@@ -198,6 +204,8 @@ def in_order(root: Node) -> Iterator[tuple[Node | str, Node | None, bool]]:
         elif not child.apart:
             yield child, node, False
             stack.append((child, 0))
+        elif child.tag not in INLINE and child.tag not in WITHIN:
+            yield END, node, True
 
 
 def blocks(root: Node) -> Iterator[tuple[str, Node, int]]:
@@ -323,26 +331,45 @@ def main_text(html: str) -> str:
     if not rated:
         return "\n".join(text for text, _, _ in blocks(root))
     best = max(rated.values(), key=lambda n: n.score)
-    node = best
+    top, node = None, best
     while node is not None:
         if node.tag in ("article", "main"):
-            best = node
-            break
+            top = node
         node = node.parent
-    kept = [best]
-    if best.parent is not None and best.tag != "body":
-        fair = SIBLING * best.score
-        kept = [
-            n
-            for n in best.parent.children
-            if n is best or isinstance(n, Node) and not n.apart and (n.score >= fair > 0 if id(n) in rated else is_prose(n, best))
-        ]
+    kept = beside(top, root, rated) if top else [around(best, root)]
     return "\n".join(text for n in kept for text, _, _ in blocks(n))
 
 
-def is_prose(node: Node, best: Node) -> bool:
-    """A paragraph or heading beside a container that is no semantic article."""
-    return best.tag not in ("article", "main") and node.tag in PARAGRAPHS and node.chars > 0 and node.linked < 0.25 * node.chars
+def beside(top: Node, root: Node, rated: dict[int, Node]) -> list[Node]:
+    """The outermost article and main elements, and the siblings of this one that score a fair share of it, in page order."""
+    fair = SIBLING * top.score
+    siblings = {id(n) for n in top.parent.children if isinstance(n, Node) and id(n) in rated and n.score >= fair > 0}
+    out, depth = [], 0
+    for what, _, leaving in in_order(root):
+        if isinstance(what, Node) and (what.tag in ("article", "main") or id(what) in siblings):
+            depth -= leaving
+            if not leaving and not depth and (what is top or what.linked < MENU_DENSITY * what.chars):
+                out.append(what)
+            depth += not leaving
+    return out
+
+
+def around(best: Node, root: Node) -> Node:
+    """The lowest container around the best one that holds every block that is not all links, without branches of links alone."""
+    for text, owner, linked in blocks(root):
+        owner.prose += linked < MENU_DENSITY * len(text) or owner.tag in HEADINGS
+    for what, parent, leaving in in_order(root):
+        if isinstance(what, Node) and leaving and parent is not None:
+            parent.prose += what.prose
+    if not root.prose:
+        return root
+    node = best
+    while node.parent is not None and node.prose < root.prose:
+        path, node = node, node.parent
+        for child in node.children:
+            if isinstance(child, Node) and child is not path and child.tag not in INLINE and not child.prose:
+                child.children = []  # the element still ends the text before it
+    return node
 
 
 def extract(df: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

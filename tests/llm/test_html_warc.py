@@ -55,6 +55,26 @@ def test_names_of_wrappers(page):
     assert main_text(page) == WRAPPERS[page]
 
 
+LONG = "".join(f"<p>Paragraph {i}, " + "with words, " * 30 + "and an end.</p>" for i in range(10))
+LONG_TEXT = "\n".join(f"Paragraph {i}, " + "with words, " * 30 + "and an end." for i in range(10))
+UNEQUAL = {
+    f"<body><div><h1>Title</h1><div class=content>loose <b>text</b><div class=lead><p>Short lead.</p></div><div class=text>{LONG}</div></div></div></body>": f"Title\nloose text\nShort lead.\n{LONG_TEXT}",
+    f"before<div>{LONG}</div><div><div><p>Far.</p></div></div>after": f"before\n{LONG_TEXT}\nFar.\nafter",
+    f"<div><p><a href=1>Home</a></p></div><h2><a href=2>Title</a></h2><div>{LONG}</div><div><p>Source: <a href=3>b</a> and more.</p><p><a href=4>c</a></p></div>": f"Title\n{LONG_TEXT}\nSource: b and more.\nc",
+    f"<main><h1>Title</h1><article>{LONG}</article><article><p>Short.</p></article></main><div><p>Elsewhere.</p></div>": f"Title\n{LONG_TEXT}\nShort.",
+    f"<div><article>{LONG}</article></div><div><article><p>Short.</p></article><article><a href=1>link</a></article></div>": f"{LONG_TEXT}\nShort.",
+    f"<div>loose<nav>n</nav>text<div><a href=1>b</a></div>here<hr>there<div>{LONG}</div></div>": f"loose\ntext\nhere\nthere\n{LONG_TEXT}",
+    "<div><p><a href=1>a</a></p></div><div><p><a href=2>b</a></p></div>": "a\nb",
+    f"<ul><li><a href=1>a</a><li><a href=2>b</a><li><a href=3>c</a></ul><div>{LONG}</div><footer>f</footer>": LONG_TEXT,
+}
+
+
+@pytest.mark.parametrize("page", list(UNEQUAL), ids=lambda p: p[:40])
+def test_unequal_containers(page):
+    """Short sections, leads, titles and loose text stay, however long the rest is."""
+    assert main_text(page) == UNEQUAL[page]
+
+
 def test_given_pages(spark, sf):
     """The pages of the test tables have one article each, of a heading and paragraphs."""
     done = extract(spark.read.parquet(f"{sf}/pages.parquet")).collect()
