@@ -3,8 +3,9 @@
 ``cut`` encodes texts and cuts only those longer than a sequence. ``pack`` deals all pieces evenly into groups of about ``GROUP``
 pieces; each is packed by best fit in order of falling length and then improved: a piece moves, one is exchanged for one,
 or two for one, between two sequences with room, always so that the sum of squared fills grows, which takes tokens from the
-emptiest sequence to fuller ones until it is empty. The search ends when a group has as few sequences as its tokens
-allow, or when ``PATIENCE`` emptiest sequences in a row could not be emptied. A group leaves less than one sequence unfilled
+emptiest sequence to fuller ones until it is empty. Two pieces of a victim are tried in all pairs, against the sorted
+lengths of all others. The search ends when a group has as few sequences as its tokens allow, or when a whole pass over all sequences
+with room finds no exchange, which comes as squared fills only grow. A group leaves less than one sequence unfilled
 beyond what it alone needs, out of thousands, so packing groups apart costs next to nothing.
 
 Only lengths and keys are shuffled, in equal parts whatever the keys; no task holds more than one group.
@@ -28,8 +29,8 @@ from postsift.llm import pretokens as pt
 from postsift.llm.bpe import SLICE, lengths, vocabulary
 from postsift.sources.shipping import ship
 
-#: Pieces packed together, and sequences that may resist in a row before the search ends.
-GROUP, PATIENCE = 32_768, 32
+#: Pieces packed together; exchanges looked up at a time.
+GROUP, WIDE = 32_768, 1 << 20
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -57,75 +58,101 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 class Search:
-    """Sequences that are not full, as arrays of their pieces."""
+    """Sequences that are not full, with their pieces in one sorted array by length and by the room beside them."""
 
     def __init__(self, sequences: list[list[int]], sizes: np.ndarray, capacity: int):
-        self.capacity = capacity
-        self.pieces = np.array([i for s in sequences for i in s], np.int64)
-        self.size = sizes[self.pieces]
-        self.at = np.repeat(np.arange(len(sequences)), [len(s) for s in sequences])
-        self.fill = np.bincount(self.at, self.size, len(sequences)).astype(np.int64)
+        self.capacity, self.sizes, self.held = capacity, sizes, [list(s) for s in sequences]
+        self.fill = np.array([int(sizes[s].sum()) for s in self.held], np.int64)
+        self.at = {i: k for k, s in enumerate(self.held) for i in s}
+        self.lengths = np.unique(sizes[list(self.at)])
+        self.pieces = np.sort(np.concatenate([self.pieces_of(k) for k in range(len(self.held))]))
+        self.rooms = np.sort((capacity - self.fill) * len(self.held) + np.arange(len(self.held)))
+
+    def pieces_of(self, place: int) -> np.ndarray:
+        """Length, room and number of the pieces of a sequence, each as one sortable integer."""
+        i = np.array(self.held[place], np.int64)
+        return np.sort((self.sizes[i] * (self.capacity + 1) + self.capacity - self.fill[place]) * len(self.sizes) + i)
+
+    def take_out(self, place: int) -> None:
+        self.pieces = np.delete(self.pieces, np.searchsorted(self.pieces, self.pieces_of(place)))
+        room = (self.capacity - self.fill[place]) * len(self.held) + place
+        self.rooms = np.delete(self.rooms, np.searchsorted(self.rooms, room))
+
+    def put_in(self, place: int) -> None:
+        mine = self.pieces_of(place)
+        self.pieces = np.insert(self.pieces, np.searchsorted(self.pieces, mine), mine)
+        room = (self.capacity - self.fill[place]) * len(self.held) + place
+        self.rooms = np.insert(self.rooms, np.searchsorted(self.rooms, room), room)
 
     def exchange(self, victim: int) -> bool:
-        """Take tokens from the victim by the one exchange that raises the sum of squared fills most."""
-        own = np.flatnonzero(self.at == victim)
-        others = np.flatnonzero(self.at != victim)
-        room = self.capacity - self.fill
-        room[victim] = -1
-        room[self.fill == 0] = -1
+        """Take tokens from the victim, which is taken out, by the one exchange that raises the sum of squared fills most."""
+        if not len(self.rooms):
+            return False
+        own, places, n = self.held[victim], len(self.held), len(self.sizes)
+        size = self.sizes[own]
+        lack = self.capacity - int(self.fill[victim])
         best, chosen = 0, None
-        pairs = [(i, j) for k, i in enumerate(own) for j in own[k + 1 :]] if len(own) <= 12 else list(zip(own, own[1:]))
-        for give in [(i,) for i in own] + pairs:
-            given = int(self.size[list(give)].sum())
-            fits = np.flatnonzero(room >= given) if len(give) == 1 else []
-            if len(fits):
-                to = fits[np.argmax(self.fill[fits])]
-                gain = 2 * given * int(self.fill[to] - self.fill[victim] + given)
-                if gain > best:
-                    best, chosen = gain, (give, int(to), ())
-            net = given - self.size[others]
-            to = self.at[others]
-            gain = np.where((net > 0) & (net <= room[to]), 2 * net * (self.fill[to] - self.fill[victim] + net), 0)
+        found = np.searchsorted(self.rooms, size * places)  # of the sequences with room for it, the fullest
+        fits = np.flatnonzero(found < len(self.rooms))
+        if len(fits):
+            gain = 2 * size[fits] * (lack - self.rooms[found[fits]] // places + size[fits])
+            k = int(gain.argmax())
+            if gain[k] > best:
+                best, chosen = int(gain[k]), ((own[fits[k]],), int(self.rooms[found[fits[k]]] % places), ())
+        first, second = np.triu_indices(len(own), 1)
+        sums, which = np.unique(np.concatenate([size, size[first] + size[second]]), return_index=True)
+        widest = int(self.rooms[-1]) // places
+        low, high = np.searchsorted(self.lengths, sums - widest), np.searchsorted(self.lengths, sums)
+        for a, b in pt.slices((high - low).tolist(), WIDE):  # every sum of one or two own pieces against all lengths that may return
+            count = (high - low)[a:b]
+            given = np.repeat(np.arange(a, b), count)
+            back = self.lengths[np.arange(len(given)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low[a:b], count)]
+            net = sums[given] - back
+            at = np.searchsorted(self.pieces, (back * (self.capacity + 1) + net) * n)
+            key = self.pieces[np.minimum(at, len(self.pieces) - 1)] // n
+            fits = (at < len(self.pieces)) & (key // (self.capacity + 1) == back)
+            gain = np.where(fits, 2 * net * (lack - key % (self.capacity + 1) + net), 0)
             if len(gain) and gain.max() > best:
                 k = int(gain.argmax())
-                best, chosen = int(gain[k]), (give, int(to[k]), (others[k],))
+                best, take = int(gain[k]), int(self.pieces[at[k]] % n)
+                pair = int(which[given[k]]) - len(own)
+                give = (own[pair + len(own)],) if pair < 0 else (own[first[pair]], own[second[pair]])
+                chosen = (give, self.at[take], (take,))
         if chosen is None:
             return False
         give, to, take = chosen
-        for i in give:
-            self.at[i] = to
-        for i in take:
-            self.at[i] = victim
-        net = int(self.size[list(give)].sum()) - int(self.size[list(take)].sum())
+        self.take_out(to)
+        for moved, source, target in ((give, victim, to), (take, to, victim)):
+            for i in moved:
+                self.held[source].remove(i)
+                self.held[target].append(i)
+                self.at[i] = target
+        net = int(self.sizes[list(give)].sum()) - int(self.sizes[list(take)].sum())
         self.fill[to] += net
         self.fill[victim] -= net
+        self.put_in(to)
         return True
 
     def run(self, spare: int) -> None:
-        """Empty up to ``spare`` sequences."""
-        failed: set[int] = set()
-        row = 0
-        while spare > 0 and row < PATIENCE:
-            order = np.argsort(self.fill, kind="stable")
-            victim = next((int(v) for v in order if self.fill[v] > 0 and int(v) not in failed), None)
-            if victim is None:
-                return
+        """Empty up to ``spare`` sequences; ends before only if no sequence has an exchange left."""
+        exchanged = True
+        while spare > 0 and exchanged:
             exchanged = False
-            while self.fill[victim] and self.exchange(victim):
-                exchanged = True
-            if exchanged:
-                failed.clear()  # what others lacked may fit now
-            if self.fill[victim]:
-                failed.add(victim)
-                row += 1
-            else:
+            for victim in np.argsort(self.fill, kind="stable").tolist():
+                if not 0 < self.fill[victim] < self.capacity:
+                    continue
+                self.take_out(victim)
+                while self.fill[victim] and self.exchange(victim):
+                    exchanged = True
+                if self.fill[victim]:
+                    self.put_in(victim)
+                    continue
                 spare -= 1
-                row = 0
+                if not spare:
+                    return
 
     def sequences(self) -> list[list[int]]:
-        order = np.argsort(self.at, kind="stable")
-        parts = np.split(self.pieces[order], np.flatnonzero(np.diff(self.at[order])) + 1)
-        return [p.tolist() for p in parts if len(p)]
+        return [s for s in self.held if s]
 
 
 def packed(sizes: np.ndarray, capacity: int) -> list[list[int]]:

@@ -97,6 +97,22 @@ def test_search_empties_a_sequence():
     assert sorted(sorted(sizes[s].tolist()) for s in search.sequences()) == [[3, 3, 4], [3, 3, 4]]
 
 
+def test_search_goes_on_until_no_exchange_is_left():
+    """Sequences that resist do not end the search while others have exchanges."""
+    r = np.random.default_rng(5)
+    sizes = np.minimum(2048, r.lognormal(np.log(490), 0.6, 3500).astype(int) + 1)
+    assert len(packing.best_fit(sizes.tolist(), 2048)) > -(-int(sizes.sum()) // 2048) == len(packing.packed(sizes, 2048))
+    sizes = r.integers(350, 561, 700)
+    found = packing.packed(sizes, 2048)
+    fill = [int(sizes[s].sum()) for s in found]
+    for v, own in enumerate(found):
+        gives = [sizes[i] for i in own] + [sizes[i] + sizes[j] for k, i in enumerate(own) for j in own[k + 1 :]]
+        for to, others in enumerate(found):
+            nets = np.subtract.outer(gives, sizes[others]).ravel() if to != v else np.zeros(0, int)
+            nets = np.append(nets, sizes[own] if to != v else [])
+            assert not ((nets > 0) & (nets <= 2048 - fill[to]) & (fill[to] - fill[v] + nets > 0)).any()
+
+
 def test_bad_lengths():
     for bad in ([0], [2049]):
         with pytest.raises(ValueError, match="between 1 and 2048"):
