@@ -68,3 +68,17 @@ link as (select a.i as a, b.i as b from few a join few b on a.g = b.g and a.i <>
 reach(i, j) as (select i, i from s union select l.b, r.j from reach r join link l on l.a = r.i)
 select s.doc_id, len(s.s)::bigint as n_shingles, m.component_id
 from s join (select r.i, min(s.doc_id) as component_id from reach r join s on s.i = r.j group by r.i) m on m.i = s.i"""
+
+TERMS_SQL = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\x{80}-\x{10FFFF}]+')"""
+
+LLM_SQL["op13_lexical_search"] = f"""
+with d as (select row_number() over () as i, doc_id, len(w)::hugeint as n, w from (select doc_id, {TERMS_SQL} as w from documents) where len(w) > 0),
+c as (select count(*) as docs, sum(n) as terms from d),
+q as (select row_number() over () as j, item_id, {TERMS_SQL} as w from benchmark),
+asked as (select j, item_id, term, count(*) as times from (select j, item_id, unnest(w) as term from q) group by all),
+held as (select i, doc_id, n, term, count(*) as tf from (select i, doc_id, n, unnest(w) as term from d) where term in (select term from asked) group by all),
+weight as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w from held, c group by term, docs),
+impact as (select i, doc_id, term, ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))::bigint as x from held, c),
+s as (select j, item_id, i, doc_id, sum(times * w * x)::bigint as score from asked join weight using (term) join impact using (term) group by all),
+r as (select item_id, doc_id, score, row_number() over (partition by j order by score desc, doc_id nulls first)::int as rank from s where score > 0)
+select item_id, rank, doc_id, score from r where rank <= 10"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import bpe, htmltext, linededup, nearvec, ngramjoin, packing, quality, tokencounts, topk, warc
+from postsift.llm import bpe, htmltext, lexsearch, linededup, nearvec, ngramjoin, packing, quality, tokencounts, topk, warc
 from postsift.llm.common import Scratch, by_key, table
 
 #: Documents below this quality score are rejected.
@@ -135,3 +135,10 @@ def op9_packing(spark, sf):
 def op10_ngram_join(spark, sf):
     """Components of documents whose sets of five-word shingles are similar."""
     return ngramjoin.jaccard_join(table(spark, sf, "documents")).withColumnRenamed("doc", "doc_id")
+
+
+@query
+def op13_lexical_search(spark, sf):
+    """The ten documents that match each benchmark item best."""
+    found = lexsearch.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.withColumnsRenamed({"item": "item_id", "doc": "doc_id"})
