@@ -82,3 +82,21 @@ impact as (select i, doc_id, term, ((1000000000 * tf) // (1000 * tf + 8 * (25 +
 s as (select j, item_id, i, doc_id, sum(times * w * x)::bigint as score from asked join weight using (term) join impact using (term) group by all),
 r as (select item_id, doc_id, score, row_number() over (partition by j order by score desc, doc_id nulls first)::int as rank from s where score > 0)
 select item_id, rank, doc_id, score from r where rank <= 10"""
+
+# Windows are compared as hexadecimal text; long texts are cut into blocks first, so that no substring is far from its text's start.
+LLM_SQL["op12_suffix_dedup"] = """
+with d as (select row_number() over () as i, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+b as (select i, k, substr(h, 4096 * k + 1, 4096 + 798) as h from (select i, h, unnest(range((length(h) + 4095) // 4096)) as k from d)),
+w as (select i, 2048 * k + j as p, md5_number(substr(h, 2 * j + 1, 800)) as g
+  from (select i, k, h, unnest(range(least(2048, length(h) // 2 - 399))) as j from b where length(h) >= 800)),
+often as (select g from w group by g having count(*) > 1),
+hit as (select i, p, max(p) over (partition by i order by p rows between unbounded preceding and 1 preceding) as before from w where g in (select g from often)),
+part as (select i, p, sum((before is null or p > before + 400)::int) over (partition by i order by p) as run from hit),
+gone as (select i, min(p) as lo, max(p) + 400 as hi from part group by i, run),
+keep as (select i, coalesce(lag(hi) over (partition by i order by lo), 0) as a, lo as z from gone
+  union all select d.i, max(hi), any_value(length(h) // 2) from d join gone on gone.i = d.i group by d.i),
+kept as (select keep.i, string_agg(substr(h, 2 * a + 1, 2 * (z - a)), '' order by a) as h from keep join d on d.i = keep.i group by keep.i),
+n as (select i, sum(hi - lo)::bigint as n_removed, count(*) as n_spans from gone group by i)
+select doc_id, (length(d.h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(unhex(coalesce(kept.h, d.h))) as kept_sha256
+from d left join n on n.i = d.i left join kept on kept.i = d.i"""

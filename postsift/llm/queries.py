@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import bpe, htmltext, lexsearch, linededup, nearvec, ngramjoin, packing, quality, tokencounts, topk, warc
+from postsift.llm import bpe, htmltext, lexsearch, linededup, nearvec, ngramjoin, packing, quality, suffixdedup, tokencounts, topk, warc
 from postsift.llm.common import Scratch, by_key, table
 
 #: Documents below this quality score are rejected.
@@ -137,6 +137,14 @@ def op10_ngram_join(spark, sf):
     return ngramjoin.jaccard_join(table(spark, sf, "documents")).withColumnRenamed("doc", "doc_id")
 
 
+@query
+def op12_suffix_dedup(spark, sf):
+    """Remove what strings of 400 bytes that start twice cover."""
+    done = suffixdedup.remove_repeats(table(spark, sf, "documents"))
+    spans, digest = F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    return done.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", spans, digest)
+
+
 @query
 def op13_lexical_search(spark, sf):
     """The ten documents that match each benchmark item best."""

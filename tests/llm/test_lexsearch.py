@@ -51,14 +51,12 @@ def tables(seed=4):
     return docs, items
 
 
-@pytest.mark.parametrize("sizes", [{}, {"GROUP": 60, "ITEMS": 3, "COLUMNS": 2, "DOCS": 7, "SLICE": 500}, {"EXACT": 5_000_000, "ENTRIES": 9}])
-def test_search(spark, monkeypatch, sizes):
-    for name, value in sizes.items():
-        monkeypatch.setattr(lexsearch, name, value)
+@pytest.mark.parametrize("sizes", [{}, {"group": 60, "items": 3, "columns": 2, "docs": 7, "slice": 500}, {"exact": 5_000_000, "entries": 9}])
+def test_search(spark, sizes):
     docs, items = tables()
     left = spark.createDataFrame([(d, t, 0, 1) for d, t in docs], "doc_id long, text string, score long, rank int").repartition(5)
     right = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, doc_id long")
-    got = lexsearch.search(left, right)
+    got = lexsearch.search(left, right, z=lexsearch.Sizes(**sizes))
     assert got.columns == ["item", "rank", "doc", "score"]
     assert sorted((tuple(r) for r in got.collect()), key=str) == plain(docs, items)
 
@@ -79,7 +77,7 @@ def test_tiles_sum_exactly():
     """No float tile could reach 2^53; the tiles cover all columns once."""
     rng = np.random.default_rng(2)
     weights = rng.integers(0, 1 << 33, (5, 40))
-    tiles = lexsearch.exact_tiles(weights, 0, 40)
+    tiles = lexsearch.exact_tiles(weights, 0, 40, 1 << 53)
     assert [b for b, _, _ in tiles] == [0, *[e for _, e, _ in tiles[:-1]]] and tiles[-1][1] == 40
     for begin, end, part in tiles:
         assert (part == weights[:, begin:end]).all()
