@@ -86,9 +86,9 @@ select item_id, rank, doc_id, score from r where rank <= 10"""
 # Windows are compared as hexadecimal text; long texts are cut into blocks first, so that no substring is far from its text's start.
 LLM_SQL["op12_suffix_dedup"] = """
 with d as (select row_number() over () as i, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
-b as (select i, k, substr(h, 4096 * k + 1, 4096 + 798) as h from (select i, h, unnest(range((length(h) + 4095) // 4096)) as k from d)),
-w as (select i, 2048 * k + j as p, md5_number(substr(h, 2 * j + 1, 800)) as g
-  from (select i, k, h, unnest(range(least(2048, length(h) // 2 - 399))) as j from b where length(h) >= 800)),
+b as (select i, k, substr(h, 512 * k + 1, 512 + 798) as h from (select i, h, unnest(range((length(h) + 511) // 512)) as k from d)),
+w as (select i, 256 * k + j as p, md5_number(substr(h, 2 * j + 1, 800)) as g
+  from (select i, k, h, unnest(range(least(256, length(h) // 2 - 399))) as j from b where length(h) >= 800)),
 often as (select g from w group by g having count(*) > 1),
 hit as (select i, p, max(p) over (partition by i order by p rows between unbounded preceding and 1 preceding) as before from w where g in (select g from often)),
 part as (select i, p, sum((before is null or p > before + 400)::int) over (partition by i order by p) as run from hit),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import bpe, htmltext, lexsearch, linededup, nearvec, ngramjoin, packing, quality, suffixdedup, tokencounts, topk, warc
+from postsift.llm import bpe, convrepair, htmltext, lexsearch, linededup, nearvec, ngramjoin, packing, quality, suffixdedup, tokencounts, topk, warc
 from postsift.llm.common import Scratch, by_key, table
 
 #: Documents below this quality score are rejected.
@@ -137,6 +137,23 @@ def op10_ngram_join(spark, sf):
     return ngramjoin.jaccard_join(table(spark, sf, "documents")).withColumnRenamed("doc", "doc_id")
 
 
+@query
+def op11_conversation_repair(spark, sf):
+    """Damage every conversation, find its faults and repair it."""
+    whole = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    space = F.lit(" ")
+    conv, turn = (F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn"))
+    damage = whole.withColumn("damage", F.crc32(F.encode(F.concat(conv, F.lit(":"), turn), "UTF-8")) % 20).where("damage <> 0")
+    role, text = (F.coalesce(F.col(c).cast("string"), space) for c in ("role", "text"))
+    text = F.when(F.col("damage") == 1, "").when(F.col("damage") == 2, F.translate(text, ".!?", "")).otherwise(text)
+    rows = damage.select("conv_id", "turn", F.when(F.col("damage") == 4, "user").otherwise(role).alias("role"), text.alias("text"), "damage")
+    rows = rows.union(rows.where("damage = 3")).drop("damage")  # a copy has its row's turn, and so its place
+    done = convrepair.repair(rows, listed=whole.select("conv_id"))
+    digests = done.digests().withColumnRenamed("conv", "c")
+    found = done.conversations.join(digests, F.col("conv").eqNullSafe(F.col("c"))).drop("c")
+    return found.withColumnRenamed("conv", "conv_id")
+
+
 @query
 def op12_suffix_dedup(spark, sf):
     """Remove what strings of 400 bytes that start twice cover."""
