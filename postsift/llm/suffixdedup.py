@@ -357,12 +357,17 @@ def second_refined(cell: int, z: Sizes):
     return run
 
 
-def packed(docs: DataFrame, schema: str) -> DataFrame:
-    """The first columns of ``docs`` as they are, and the last, the text, compressed."""
+def packed(docs: DataFrame, schema: str, remembered: int = 0) -> DataFrame:
+    """The first columns of ``docs`` as they are, and the last, the text, compressed. With ``remembered`` classes, the first column, a task
+    gives each class once, as long as it is remembered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack, seen = zstandard.ZstdCompressor(level=1), set()
         for b in batches:
-            pack = zstandard.ZstdCompressor(level=1)
+            if remembered:
+                seen = seen if len(seen) < remembered else set()
+                new = [n not in seen and not seen.add(n) for n in b.column(0).to_pylist()]
+                b = b.filter(pa.array(new, pa.bool_()))
             texts = [pack.compress(t) for t in b.column(b.num_columns - 1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(texts, pa.binary())], names=b.schema.names)
 
@@ -421,7 +426,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", windo
 
     first = refined(first_rows(long_.select("class", "text"), window, z), first_refined(z), "first")
     asked = first.where(F.col("said") != REPEATED).groupBy("class").agg(F.collect_set(F.struct("lo", "n", "said")).alias("spans"))
-    asked = packed(long_.select("class", "text"), "class long, packed binary").join(asked, "class").select("class", "packed", "spans")
+    asked = packed(long_.select("class", "text"), "class long, packed binary", z.remembered).join(asked, "class").select("class", "packed", "spans")
     second = refined(second_rows(asked, window, z), second_refined(z.cell_of(window), z), "second")
 
     # Suffixes of buckets that were too large to be held, counted by their bucket of full depth.
