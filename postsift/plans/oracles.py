@@ -255,9 +255,10 @@ DETECTED = f"""
     from padded where trim(t) <> ''),
   tri as (select doc_id, lang, c || lead(c, 1) over w || lead(c, 2) over w as g from chars window w as (partition by doc_id order by i)),
   per_doc as (select doc_id, lang, g, count(*) as n from tri where g is not null group by all),
-  per_lang as (select lang, g, sum(n) as n from per_doc group by all),
+  learned as (select * from per_doc where {split_of("doc_id")} = 'discovery'),
+  per_lang as (select lang, g, sum(n) as n from learned group by all),
   size as (select count(distinct g) as v from per_lang),
-  langs as (select lang, count(distinct doc_id) as docs from per_doc group by lang),
+  langs as (select lang, count(distinct doc_id) as docs from learned group by lang),
   total as (select lang, sum(n) as n from per_lang group by lang),
   prior as (select lang, ln(docs + 1) - ln((select sum(docs) from langs) + (select count(*) from langs)) as p from langs),
   weight as (select l.lang, g.g, ln(coalesce(p.n, 0) + 1) - ln(t.n + (select v from size)) as w
@@ -266,7 +267,7 @@ DETECTED = f"""
   score as (select d.doc_id, w.lang, sum(d.n * w.w) + any_value(prior.p) as s from per_doc d join weight w on w.g = d.g
     join prior on prior.lang = w.lang group by d.doc_id, w.lang),
   best as (select doc_id, lang as guess from (select *, row_number() over (partition by doc_id order by round(s, 6) desc, lang) as r from score) where r = 1),
-  detected as (select d.doc_id, d.lang, coalesce(b.guess, 'unknown') as detected_language from documents d left join best b using (doc_id))"""
+  detected as (select d.doc_id, d.lang, {split_of("d.doc_id")} as split, coalesce(b.guess, 'unknown') as detected_language from documents d left join best b using (doc_id))"""
 
 
 NEED_STOPWORDS = ("customer_keywords", "stopword_filter", "cluster_keywords", "cluster_report")
@@ -356,17 +357,14 @@ def oracles() -> dict[str, str]:
       s4 as (select conv_id, turn, lang, {collapse(strip_punctuation("t"))} as t from s3)
       select conv_id, turn, {collapse(each_word("t", lemma("w")))} as text_preprocessed from s4 left join lml using (lang)"""
     o["vocabulary"] = f"with {VOCABULARY} select lang, token, n from vocab"
-    tries = " union all ".join(
-        f"select lang, token, {r} as rank, left(token, length(token) - {len(a)}) || {q(b)} as word from open "
-        f"where suffix(token, {q(a)}) and length(token) >= {3 + len(a) - len(b)}"
-        for r, (a, b) in enumerate(ENGLISH_ENDINGS)
-    )
+    endings = values([(r, a, b) for r, (a, b) in enumerate(ENGLISH_ENDINGS)], "rank, old, new")
     o["lemma_learn"] = f"""with {VOCABULARY}, lexicon as (select * from {values(lx.lemmas().rows(), "lang, form, lemma")}),
-      open as (select v.lang, v.token from vocab v where v.lang = 'en'
-        and not exists (select 1 from lexicon l where l.lang = v.lang and l.form = v.token)
-        and not exists (select 1 from known k where k.lang = v.lang and k.word = v.token)),
-      tries as ({tries}),
-      good as (select t.*, row_number() over (partition by t.token order by rank) as r from tries t join known k on k.lang = t.lang and k.word = t.word)
+      open as (select v.lang, v.token from (select * from vocab where lang = 'en') v
+        anti join lexicon l on l.lang = v.lang and l.form = v.token anti join known k on k.lang = v.lang and k.word = v.token),
+      tails as (select lang, token, right(token, k) as old from open, unnest([1, 2, 3, 4]) as u(k) where length(token) > k),
+      tries as (select lang, token, rank, left(token, length(token) - length(old)) || new as word from tails join {endings} using (old)
+        where length(token) >= 3 + length(old) - length(new)),
+      good as (select t.*, row_number() over (partition by t.token order by rank) as r from tries t join known k using (lang, word))
       select v.lang, v.token, l.lemma as value from vocab v join lexicon l on l.lang = v.lang and l.form = v.token
       union all select lang, token, word from good where r = 1"""
     o["spell_near"] = f"with {NEAR} select lang, word, correction, 1 as distance from best1"
@@ -376,7 +374,7 @@ def oracles() -> dict[str, str]:
       w as (select doc_id, lang, unnest(string_split(text, ' ')) as word, generate_subscripts(string_split(text, ' '), 1) as i from docs)
       select doc_id, string_agg(coalesce(b.correction, w.word), ' ' order by i) as text from w left join best b using (lang, word) group by doc_id"""
     o["language_detect"] = f"with {DETECTED} select doc_id, detected_language from detected"
-    o["language_confusion"] = f"with {DETECTED} select lang, detected_language, count(*) as n from detected group by all"
+    o["language_confusion"] = f"with {DETECTED} select split, lang, detected_language, count(*) as n from detected group by all"
 
     # Features and clusters
     o["tfidf_terms"] = f"""with t as (select distinct doc_id, unnest(regexp_extract_all(lower(text), {q(tx.TOKEN)})) as term from documents)

@@ -373,8 +373,10 @@ def spell_apply(spark, sf):
 
 
 def detected(spark, sf) -> DataFrame:
+    """All documents, with a language model learned from those of the discovery split."""
     docs = tables.spread(table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
-    model = language.fit_language_model(docs, "text", "lang")
+    docs = ingest.assign_split(docs, "doc_id")
+    model = language.fit_language_table(docs.where("split = 'discovery'"), "text", "lang")
     return language.detect_language(docs, model, "text")
 
 
@@ -385,7 +387,8 @@ def language_detect(spark, sf):
 
 @query
 def language_confusion(spark, sf):
-    return language.confusion(detected(spark, sf), "lang", "detected_language")
+    """By split: two of the three were not seen in training."""
+    return language.confusion(detected(spark, sf), "lang", "detected_language", "split")
 
 
 # Features and clusters

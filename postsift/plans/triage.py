@@ -39,7 +39,7 @@ def prepared(raw: DataFrame, s: Settings = Settings(), exact_split: bool = False
 
 def preprocessed(
     messages: DataFrame,
-    language_model: PipelineModel | None = None,
+    language_model: PipelineModel | language.LanguageTable | None = None,
     s: Settings = Settings(),
     dictionary: DataFrame | None = None,
     **lexica: lx.Lexicon,
@@ -134,12 +134,12 @@ class Triage:
 
     discovery: Discovery
     classifier: PipelineModel
-    language_model: PipelineModel | None = None
+    language_model: PipelineModel | language.LanguageTable | None = None
     categories: dict[int, str] | None = None
 
     def score(self, messages: DataFrame, **lexica: lx.Lexicon) -> DataFrame:
         """New messages -> ``predicted_category`` and ``confidence``. Row-local unless spelling correction
-        is on: no shuffle, so it also runs on a stream."""
+        is on or the language model is a table: no shuffle, so it also runs on a stream."""
         texts = preprocessed(messages, self.language_model, self.discovery.settings, **lexica)
         return self.score_texts(texts)
 
@@ -151,11 +151,14 @@ class Triage:
         d = self.discovery
         parts = {"pca": d.pca, "kmeans": d.kmeans, "classifier": self.classifier}
         parts |= {"encoder": d.encoder} if d.encoder is not None else {}
-        parts |= {"language": self.language_model} if self.language_model is not None else {}
+        by_table = isinstance(self.language_model, language.LanguageTable)
+        parts |= {"language": self.language_model} if self.language_model is not None and not by_table else {}
+        if by_table:
+            self.language_model.save(f"{path}/language_table")
         for name, model in parts.items():
             model.write().overwrite().save(f"{path}/{name}")
         spark = SparkSession.active()
-        rows = {"parts": ([(n,) for n in sorted(parts)], "part string"), "settings": ([(settings_json(d.settings),)], "settings string")}
+        rows = {"parts": ([(n,) for n in sorted([*parts, *["language_table"] * by_table])], "part string"), "settings": ([(settings_json(d.settings),)], "settings string")}
         rows["categories"] = (sorted((self.categories or {}).items()), CATEGORY_MAP)
         for name, (table, schema) in rows.items():
             spark.createDataFrame(table, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
@@ -171,10 +174,11 @@ class Triage:
         k = len(found.kmeans.clusterCenters())
         if wrong := [c for c in categories if not 0 <= c < k]:
             raise ValueError(f"names for clusters {wrong}, but the model has {k}")
-        return cls(found, pipe("classifier"), pipe("language"), categories or None)
+        languages = language.LanguageTable.load(spark, f"{path}/language_table") if "language_table" in have else pipe("language")
+        return cls(found, pipe("classifier"), languages, categories or None)
 
 
-def train(labelled: DataFrame, found: Discovery, language_model: PipelineModel | None = None) -> Triage:
+def train(labelled: DataFrame, found: Discovery, language_model: PipelineModel | language.LanguageTable | None = None) -> Triage:
     """Fit the classifier on the discovery rows of a pseudo-labelled table."""
     rows = labelled.where(F.col("split") == DISCOVERY)
     model = classify.fit_classifier(rows, "category", "x", found.settings.classifier)
