@@ -9,8 +9,12 @@ from postsift.functions import text as tx
 from postsift.operators import tokenmap
 from postsift.sources.tables import cut_lineage
 
-# Unknown words of one form that one task compares with the known words of that form.
+# Unknown words of one form that one task compares with the known words of that form, and known words for segments.
 WORDS_PER_SALT = 1024
+# A word is cut into one part more than there may be edits, so that one part is left as it is.
+PARTS = 3
+# Letters are dealt into so many bits.
+MASK_BITS = 61
 
 
 def _drop_one(w: Column) -> Column:
@@ -22,21 +26,6 @@ def _drop_one(w: Column) -> Column:
     return F.array_distinct(F.concat(F.array(w), shorter))
 
 
-def _drop_two(w: Column) -> Column:
-    """The word itself and every word with one or two characters less."""
-    n = F.length(w)
-    both = F.transform(
-        F.sequence(F.lit(1), n - 1),
-        lambda i: F.transform(
-            F.sequence(i + 1, n),
-            lambda j: F.concat(
-                F.substring(w, 1, i - 1), F.substring(w, i + 1, j - i - 1), F.substring(w, j + 1, n)
-            ),
-        ),
-    )
-    return F.when(n >= 2, F.array_distinct(F.concat(_drop_one(w), F.flatten(both)))).otherwise(_drop_one(w))
-
-
 def _swapped_neighbours(a: Column, b: Column) -> Column:
     return (F.length(a) == F.length(b)) & F.exists(
         F.sequence(F.lit(1), F.length(a) - 1),
@@ -93,6 +82,81 @@ def _best(unknown: DataFrame, known: DataFrame, keys, close: Column, distance: i
     )
 
 
+def _letters(w: Column) -> Column:
+    """A bit for each letter of the word. An edit changes two bits at most."""
+    bits = F.transform(F.split(w, ""), lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % MASK_BITS))
+    return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+
+
+def _part(n: Column, i: int) -> tuple[Column, Column]:
+    """Begin (from 1) and length of part ``i`` of a word of ``n`` letters; parts differ by one letter at most, the last are the longer ones."""
+    short = F.floor(n / PARTS).cast("int")
+    longer = n - short * PARTS
+    length = short + F.when(F.lit(i) >= PARTS - longer, 1).otherwise(0)
+    begin = 1 + short * i + F.greatest(F.lit(0), longer - (PARTS - i))
+    return begin.cast("int"), length.cast("int")
+
+
+def _own_parts(w: Column) -> Column:
+    """The parts of a known word: its length, the part's number and letters."""
+    n = F.length(w)
+    return F.array(*[F.struct(n.alias("size"), F.lit(i).alias("part"), F.substring(w, *_part(n, i)).alias("letters")) for i in range(PARTS)])
+
+
+def _met_parts(w: Column, distance: int) -> Column:
+    """All parts that a known word within the distance can share with ``w``, for each length that it can have.
+
+    With ``d`` letters more in ``w`` than in the known word, part ``i`` begins in ``w`` at most ``i`` places from its own place, as otherwise
+    more than ``i`` edits lie before it and another part is the one left as it is, and likewise at most
+    ``distance - i`` places from its place counted from the end.
+    """
+    out = []
+    for d in range(-distance, distance + 1):
+        n = F.length(w) - d
+        for i in range(PARTS):
+            begin, length = _part(n, i)
+            for move in range(max(-i, d - (distance - i)), min(i, d + (distance - i)) + 1):
+                at = begin + move
+                fits = (n >= PARTS) & (at >= 1) & (at + length - 1 <= F.length(w))
+                out.append(F.when(fits, F.struct(n.alias("size"), F.lit(i).alias("part"), F.substring(w, at, length).alias("letters"))))
+    return F.array_distinct(F.filter(F.array(*out), lambda p: p.isNotNull()))
+
+
+def _best_by_parts(unknown: DataFrame, known: DataFrame, distance: int = PARTS - 1) -> DataFrame:
+    """Closest known word within the distance per unknown one, as `_best`.
+
+    A known word is cut into ``PARTS`` parts. After ``distance`` edits one of them is still there, near its place, so pairs meet on a part, its number
+    and the known word's length: three rows for a known word, at most 19 for an unknown one. Pairs whose letters
+    differ too much go before their distance is measured. Where many words share a part, both sides are cut into blocks. A known word
+    with fewer letters than parts, which a longer word can only be close to with one of its letters in common, meets it on that letter.
+    """
+    left = tx.explode_rows(unknown.withColumn("mask", _letters(F.col("word"))), "lang", "word", "mask", p=_met_parts(F.col("word"), distance))
+    left = cut_lineage(left.select("lang", "word", "mask", "p.*"))
+    long_ = known.where(F.length("word") >= PARTS).withColumn("known_mask", _letters(F.col("word")))
+    right = tx.explode_rows(long_, "lang", F.col("word").alias("correction"), "n", "known_mask", p=_own_parts(F.col("word")))
+    right = cut_lineage(right.select("lang", "correction", "n", "known_mask", "p.*"))
+    key = ["lang", "size", "part", "letters"]
+    blocks = [side.groupBy(*key).agg(F.ceil(F.count("*") / WORDS_PER_SALT).cast("int").alias(name)) for side, name in ((left, "u"), (right, "k"))]
+    many = cut_lineage(blocks[0].join(blocks[1], key).where("u > 1 or k > 1"))
+
+    def dealt(side: DataFrame, word: str, own: str, other: str) -> DataFrame:
+        """Each row in its own block, once for every block of the other side."""
+        side = side.join(many, key, "left")
+        mine = F.pmod(F.xxhash64(word), F.coalesce(own, F.lit(1))).cast("int")
+        return side.withColumn(f"b{own}", mine).withColumn(f"b{other}", F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))).drop("u", "k")
+
+    met = dealt(left, "word", "u", "k").join(dealt(right, "correction", "k", "u"), [*key, "bu", "bk"])
+    alike = F.bit_count(F.col("mask").bitwiseXOR(F.col("known_mask"))) <= 2 * distance
+    pairs = met.where(alike).where(F.levenshtein("word", "correction", distance) >= 0).select("lang", "word", "correction", "n")
+    each = F.array_distinct(F.split("word", ""))
+    short = tx.explode_rows(known.where(F.length("word") < PARTS), "lang", F.col("word").alias("correction"), "n", letter=each)
+    small = tx.explode_rows(unknown.where(F.length("word") < PARTS + distance), "lang", "word", letter=each).join(short, ["lang", "letter"])
+    small = small.where(F.levenshtein("word", "correction", distance) >= 0)
+    best = F.min(F.struct((-F.col("n")).alias("rank"), F.col("correction"))).alias("b")
+    found = pairs.unionByName(small.select("lang", "word", "correction", "n")).groupBy("lang", "word").agg(best)
+    return found.select("lang", "word", F.col("b.correction").alias("correction"), F.lit(distance).alias("distance"))
+
+
 def _within_reach(unknown: DataFrame, known: DataFrame, distance: int) -> DataFrame:
     """Without words that are longer than every known word of the language by more than the distance: they
     have no correction, and a very long one has very many forms."""
@@ -104,7 +168,7 @@ def corrections(vocab: DataFrame, known: DataFrame, max_distance: int = 2) -> Da
     """``(lang, word, correction, distance)`` for unknown words that have a known word close by.
 
     Distance one (insert, delete, replace, swap) is tried first; only words without a hit go on to
-    distance two (Levenshtein).
+    distance two (Levenshtein), where they are found by parts.
     """
     unknown = (
         vocab.where(checkable(F.col("token")))
@@ -120,8 +184,7 @@ def corrections(vocab: DataFrame, known: DataFrame, max_distance: int = 2) -> Da
     if max_distance < 2:
         return first
     rest = unknown.join(first.select("lang", "word"), ["lang", "word"], "left_anti")
-    second = _best(rest, known, _drop_two, F.levenshtein(a, b, 2) >= 0, 2)
-    return first.unionByName(second)
+    return first.unionByName(_best_by_parts(rest, known))
 
 
 def as_token_map(vocab: DataFrame, fixes: DataFrame) -> DataFrame:

@@ -358,15 +358,36 @@ def oracles() -> dict[str, str]:
       select conv_id, turn, {collapse(each_word("t", lemma("w")))} as text_preprocessed from s4 left join lml using (lang)"""
     o["vocabulary"] = f"with {VOCABULARY} select lang, token, n from vocab"
     endings = values([(r, a, b) for r, (a, b) in enumerate(ENGLISH_ENDINGS)], "rank, old, new")
-    o["lemma_learn"] = f"""with {VOCABULARY}, lexicon as (select * from {values(lx.lemmas().rows(), "lang, form, lemma")}),
-      open as (select v.lang, v.token from (select * from vocab where lang = 'en') v
-        anti join lexicon l on l.lang = v.lang and l.form = v.token anti join known k on k.lang = v.lang and k.word = v.token),
-      tails as (select lang, token, right(token, k) as old from open, unnest([1, 2, 3, 4]) as u(k) where length(token) > k),
-      tries as (select lang, token, rank, left(token, length(token) - length(old)) || new as word from tails join {endings} using (old)
-        where length(token) >= 3 + length(old) - length(new)),
-      good as (select t.*, row_number() over (partition by t.token order by rank) as r from tries t join known k using (lang, word))
-      select v.lang, v.token, l.lemma as value from vocab v join lexicon l on l.lang = v.lang and l.form = v.token
-      union all select lang, token, word from good where r = 1"""
+
+    def by_lexicon_and_ending(known: str) -> str:
+        return f"""lexicon as (select * from {values(lx.lemmas().rows(), "lang, form, lemma")}),
+          open as (select v.lang, v.token from (select * from vocab where lang = 'en') v
+            anti join lexicon l on l.lang = v.lang and l.form = v.token anti join {known} k on k.lang = v.lang and k.word = v.token),
+          tails as (select lang, token, right(token, k) as old from open, unnest([1, 2, 3, 4]) as u(k) where length(token) > k),
+          tries as (select lang, token, rank, left(token, length(token) - length(old)) || new as word from tails join {endings} using (old)
+            where length(token) >= 3 + length(old) - length(new)),
+          good as (select t.*, row_number() over (partition by t.token order by rank) as r from tries t join {known} k using (lang, word)),
+          english as (select v.lang, v.token, l.lemma as value from vocab v join lexicon l on l.lang = v.lang and l.form = v.token
+            union all select lang, token, word from good where r = 1)"""
+
+    o["lemma_learn"] = f"with {VOCABULARY}, {by_lexicon_and_ending('known')} from english"
+    learned = f"""{VOCABULARY}, twice as (select lang, token as word, n from vocab where n >= 2 and regexp_matches(token, '^\\p{{L}}{{2,}}$')),
+      cut as (select lang, word, n, left(word, length(word) - k) as stem, right(word, k) as ending from twice, unnest([0, 1, 2, 3, 4]) as u(k) where length(word) - k >= 3),
+      often as (select lang, ending, count(*) as stems, sum(n) as uses from cut group by all having count(*) >= 10),
+      few as (select c.* from cut c join often using (lang, ending)),
+      pairs as (select a.lang, a.ending as old, b.ending as new, count(*) as stems from few a join few b using (lang, stem)
+        where a.ending <> b.ending and left(a.ending, 1) <> left(b.ending, 1) group by all having count(*) >= 10),
+      rules as (select p.lang, old, new, p.stems, p.stems / a.stems as share from pairs p join often a on a.lang = p.lang and a.ending = old
+        join often b on b.lang = p.lang and b.ending = new where p.stems / a.stems >= 0.5
+        and (-b.stems, -b.uses, length(new), new) < (-a.stems, -a.uses, length(old), old))"""
+    o["lemma_paradigms"] = f"with {learned} select lang, old, new, stems, round(share, 6) as share from rules"
+    o["lemma_by_paradigm"] = f"""with {learned}, {by_lexicon_and_ending("twice")},
+      free as (select v.lang, v.token from (select * from vocab where lang <> 'en') v anti join lexicon l on l.lang = v.lang and l.form = v.token),
+      tried as (select f.lang, token, left(token, length(token) - k) || new as lemma, share, stems, old from free f, unnest([0, 1, 2, 3, 4]) as u(k)
+        join rules r on r.lang = f.lang and r.old = right(token, k) where length(token) - k >= 3),
+      best as (select t.*, row_number() over (partition by t.lang, token order by share desc, stems desc, length(old) desc, lemma) as r
+        from tried t join twice k on k.lang = t.lang and k.word = t.lemma)
+      select lang, token, value from english union all select lang, token, lemma from best where r = 1"""
     o["spell_near"] = f"with {NEAR} select lang, word, correction, 1 as distance from best1"
     o["spell_correct"] = f"""with {FAR} select lang, word, correction, 1 as distance from best1
       union all select lang, word, correction, 2 from best2"""

@@ -27,6 +27,7 @@ from postsift.operators import (
     lemmas,
     monitor,
     normalise,
+    paradigms,
     prepare,
     reports,
     spelling,
@@ -348,6 +349,23 @@ def lemma_learn(spark, sf):
     return lemmas.learn_lemmas(vocab, lexicon, spelling.known_words(vocab, 5))
 
 
+@query
+def lemma_paradigms(spark, sf):
+    """Rules learned from the documents: endings that stand in for each other on many stems, per language."""
+    vocab = tables.cut_lineage(tokenmap.vocabulary(clean_documents(spark, sf), "text", "lang"))
+    rules = paradigms.paradigm_rules(spelling.known_words(vocab, 2))
+    return rules.withColumn("share", F.round("share", 6))
+
+
+@query
+def lemma_by_paradigm(spark, sf):
+    """Lemma of every distinct word that has one: by lexicon, by English ending, or by the rules learned for its language."""
+    vocab = tables.cut_lineage(tokenmap.vocabulary(clean_documents(spark, sf), "text", "lang"))
+    lexicon = spark.createDataFrame(lx.lemmas().rows(), "lang string, form string, lemma string")
+    known = tables.cut_lineage(spelling.known_words(vocab, 2))
+    return paradigms.learn_lemmas(vocab, lexicon, known, tables.cut_lineage(paradigms.paradigm_rules(known)))
+
+
 @query
 def spell_near(spark, sf):
     """Corrections at distance one."""

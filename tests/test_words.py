@@ -1,11 +1,12 @@
 """Spelling, lemmas, token maps and language identification against brute force."""
 
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from postsift.operators import ingest, language, lemmas, spelling, tokenmap
+from postsift.operators import ingest, language, lemmas, paradigms, spelling, tokenmap
 from postsift.plans import triage
 from postsift.settings import Settings, TextSettings
 from postsift.sources import tables
@@ -152,3 +153,92 @@ def test_spelling_survives_junk_and_common_forms(spark, monkeypatch):
     known = spelling.known_words(vocab)
     got = {r.word: (r.correction, r.distance) for r in spelling.corrections(vocab, known).collect()}
     assert got == {"housee": ("house", 1), "huose": ("house", 1), "hxrsx": ("horse", 2)} | {f"ho{a}": ("hot", 1) for a in "bcdfghjklm"}
+
+
+def test_corrections_by_parts_match_brute_force(spark):
+    """Random words of few letters, so that very many pairs are close; short and long known words; hot parts in blocks."""
+    rng = random.Random(11)
+    word = lambda a, b: "".join(rng.choice("abcé") for _ in range(rng.randint(a, b)))
+    known = {("l" + str(i % 2), word(1, 9)): rng.randint(1, 5) for i in range(300)}
+    unknown = sorted({("l" + str(i % 2), word(3, 11)) for i in range(300)} - known.keys())
+    want = {}
+    for lang, w in unknown:
+        close = [(-n, k) for (g, k), n in known.items() if g == lang and distance(w, k) <= 2]
+        if close:
+            want[lang, w] = min(close)[1]
+    left = spark.createDataFrame(unknown, "lang string, word string")
+    right = spark.createDataFrame([(g, k, n) for (g, k), n in known.items()], "lang string, word string, n long")
+    for salt in (1024, 4):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(spelling, "WORDS_PER_SALT", salt)
+            got = {(r.lang, r.word): (r.correction, r.distance) for r in spelling._best_by_parts(left, right).collect()}
+        assert got == {k: (v, 2) for k, v in want.items()}
+
+
+def test_parts_of_a_pair_in_reach_meet(spark):
+    """Every word within two edits shares a part with the known word."""
+    rng = random.Random(3)
+    pairs = []
+    for _ in range(2000):
+        k = "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 12)))
+        w = k
+        for _ in range(2):
+            i, c = rng.randint(0, len(w)), rng.choice("abcdefgh")
+            w = rng.choice([w[:i] + c + w[i:], w[:i] + w[i + 1 :], w[:i] + c + w[i + 1 :]])
+        pairs.append((w, k))
+    df = spark.createDataFrame(pairs, "w string, k string")
+    met, own = spelling._met_parts(F.col("w"), 2), spelling._own_parts(F.col("k"))
+    assert df.where(~F.arrays_overlap(met, own)).count() == 0
+    assert df.select(F.max(F.size(met))).first()[0] <= 19
+
+
+# Golden rows: forms and their lemmas, and words on the same endings that must stay.
+FORMS = {
+    "es": ("libro gato perro carro vaso plato zapato pueblo mundo queso brazo cuerpo", "s", {"primos": "primo"}, ["primo", "crisis"]),
+    "pt": ("livro carro pato prato sapato mundo braço corpo campo banco banho sonho", "s", {"primos": "primo"}, ["primo", "lápis"]),
+    "fr": ("table porte chaise route plage image page place glace lampe carte tasse", "s", {"pommes": "pomme"}, ["pomme", "souris"]),
+    "it": ("libr gatt ragazz tavol pont banc camp cappell fratell amic nemic mond", ("o", "i"), {"vasi": "vaso"}, ["vaso", "oggi"]),
+    "de": ("blume straße schule lampe katze tasche küche brücke woche sonne kirche seite", "n", {"rosen": "rose"}, ["rose", "garten"]),
+}
+
+
+def golden_words():
+    """Words with counts: every base, three of four with their form, and bases alone, as in a corpus."""
+    out = []
+    for lang, (stems, ending, forms, others) in FORMS.items():
+        base, form = ("", ending) if isinstance(ending, str) else ending
+        for i, stem in enumerate(stems.split()):
+            out.append((lang, stem + base, 9))
+            if i != 3:
+                out.append((lang, stem + form, 4))
+        out += [(lang, f, 2) for f in forms] + [(lang, w, 5) for w in others]
+    return out
+
+
+def test_paradigms_of_five_languages(spark):
+    words = spark.createDataFrame(golden_words(), "lang string, word string, n long")
+    s = paradigms.ParadigmSettings(min_stems=8, min_share=0.7)
+    rules = paradigms.paradigm_rules(words, s)
+    kept = {(r.lang, r.old, r.new) for r in rules.collect()}
+    for lang, (_, ending, _, _) in FORMS.items():
+        base, form = ("", ending) if isinstance(ending, str) else ending
+        assert (lang, form, base) in kept and (lang, base, form) not in kept
+    vocab = words.select("lang", F.initcap("word").alias("token"), "n").union(spark.createDataFrame([("xx", "libros", 1), ("en", "orders", 1)], "lang string, token string, n long"))
+    lexicon = spark.createDataFrame([("es", "gatos", "GATO")], "lang string, form string, lemma string")
+    known = words.union(spark.createDataFrame([("en", "order", 5)], words.schema))
+    got = {(r.lang, r.token): r.value for r in paradigms.learn_lemmas(vocab, lexicon, known, rules, s).collect()}
+    assert got.pop(("en", "orders")) == "order" and got.pop(("es", "Gatos")) == "GATO"
+    for lang, (_, _, forms, others) in FORMS.items():
+        assert all(got[lang, f.title()] == base for f, base in forms.items())
+        assert not any((lang, w.title()) in got for w in others)
+    assert not any(g == "xx" for g, _ in got)
+    assert paradigms.paradigm_rules(words.where("false"), s).isEmpty()
+
+
+def test_paradigms_in_texts(spark):
+    words = spark.createDataFrame(golden_words(), "lang string, word string, n long")
+    rules = paradigms.paradigm_rules(words, paradigms.ParadigmSettings(min_stems=8, min_share=0.7))
+    docs = spark.createDataFrame([(1, "dos primos y una crisis", "es"), (2, "zwei rosen im garten", "de"), (3, None, "it")], "id long, text string, lang string")
+    empty = spark.createDataFrame([], "lang string, form string, lemma string")
+    out = paradigms.lemmatise(docs, empty, words, rules, "id", "text", "lang", "out")
+    assert {r.id: r.out for r in out.collect()} == {1: "dos primo y una crisis", 2: "zwei rose im garten", 3: None}
