@@ -13,7 +13,7 @@ from postsift.sources.tables import cut_lineage
 WORDS_PER_SALT = 1024
 # A word is cut into one part more than there may be edits, so that one part is left as it is.
 PARTS = 3
-# Letters are dealt into so many bits.
+# Letters, and pairs of them, are dealt into so many bits.
 MASK_BITS = 61
 
 
@@ -26,6 +26,21 @@ def _drop_one(w: Column) -> Column:
     return F.array_distinct(F.concat(F.array(w), shorter))
 
 
+def _drop_two(w: Column) -> Column:
+    """The word itself and every word with one or two characters less."""
+    n = F.length(w)
+    both = F.transform(
+        F.sequence(F.lit(1), n - 1),
+        lambda i: F.transform(
+            F.sequence(i + 1, n),
+            lambda j: F.concat(
+                F.substring(w, 1, i - 1), F.substring(w, i + 1, j - i - 1), F.substring(w, j + 1, n)
+            ),
+        ),
+    )
+    return F.when(n >= 2, F.array_distinct(F.concat(_drop_one(w), F.flatten(both)))).otherwise(_drop_one(w))
+
+
 def _swapped_neighbours(a: Column, b: Column) -> Column:
     return (F.length(a) == F.length(b)) & F.exists(
         F.sequence(F.lit(1), F.length(a) - 1),
@@ -82,10 +97,23 @@ def _best(unknown: DataFrame, known: DataFrame, keys, close: Column, distance: i
     )
 
 
-def _letters(w: Column) -> Column:
-    """A bit for each letter of the word. An edit changes two bits at most."""
-    bits = F.transform(F.split(w, ""), lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % MASK_BITS))
-    return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+def _marks(w: Column) -> Column:
+    """``struct(one, two)``: a bit for each letter of the word, and for each pair of neighbours with its two ends. An edit changes at most two
+    letters and four pairs, and so no more bits than that."""
+    padded = F.concat(F.array(F.lit(0)), F.transform(F.split(w, ""), F.ascii), F.array(F.lit(0)))
+    follow = F.zip_with(padded, F.slice(padded, F.lit(2), F.size(padded)), lambda a, b: F.coalesce(97 * a + b, F.lit(0)))
+
+    def bits(values: Column) -> Column:
+        one = F.transform(values, lambda v: F.call_function("shiftleft", F.lit(1).cast("long"), v % MASK_BITS))
+        return F.aggregate(one, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+
+    return F.struct(bits(padded).alias("one"), bits(follow).alias("two"))
+
+
+def _alike(a: str, b: str, distance: int) -> Column:
+    """Words whose marks differ by no more than that many edits change."""
+    near = lambda c, most: F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) <= most * distance
+    return near("one", 2) & near("two", 4)
 
 
 def _part(n: Column, i: int) -> tuple[Column, Column]:
@@ -119,7 +147,7 @@ def _met_parts(w: Column, distance: int) -> Column:
                 at = begin + move
                 fits = (n >= PARTS) & (at >= 1) & (at + length - 1 <= F.length(w))
                 out.append(F.when(fits, F.struct(n.alias("size"), F.lit(i).alias("part"), F.substring(w, at, length).alias("letters"))))
-    return F.array_distinct(F.filter(F.array(*out), lambda p: p.isNotNull()))
+    return F.filter(F.array(*out), lambda p: p.isNotNull())
 
 
 def _best_by_parts(unknown: DataFrame, known: DataFrame, distance: int = PARTS - 1) -> DataFrame:
@@ -127,14 +155,14 @@ def _best_by_parts(unknown: DataFrame, known: DataFrame, distance: int = PARTS -
 
     A known word is cut into ``PARTS`` parts. After ``distance`` edits one of them is still there, near its place, so pairs meet on a part, its number
     and the known word's length: three rows for a known word, at most 19 for an unknown one. Pairs whose letters
-    differ too much go before their distance is measured. Where many words share a part, both sides are cut into blocks. A known word
+    and pairs of letters differ too much go before their distance is measured. Where many words share a part, both sides are cut into blocks. A known word
     with fewer letters than parts, which a longer word can only be close to with one of its letters in common, meets it on that letter.
     """
-    left = tx.explode_rows(unknown.withColumn("mask", _letters(F.col("word"))), "lang", "word", "mask", p=_met_parts(F.col("word"), distance))
-    left = cut_lineage(left.select("lang", "word", "mask", "p.*"))
-    long_ = known.where(F.length("word") >= PARTS).withColumn("known_mask", _letters(F.col("word")))
-    right = tx.explode_rows(long_, "lang", F.col("word").alias("correction"), "n", "known_mask", p=_own_parts(F.col("word")))
-    right = cut_lineage(right.select("lang", "correction", "n", "known_mask", "p.*"))
+    left = tx.explode_rows(unknown.withColumn("marks", _marks(F.col("word"))), "lang", "word", "marks", p=_met_parts(F.col("word"), distance))
+    left = cut_lineage(left.select("lang", "word", "marks", "p.*"))
+    long_ = known.where(F.length("word") >= PARTS).withColumn("known_marks", _marks(F.col("word")))
+    right = tx.explode_rows(long_, "lang", F.col("word").alias("correction"), "n", "known_marks", p=_own_parts(F.col("word")))
+    right = cut_lineage(right.select("lang", "correction", "n", "known_marks", "p.*"))
     key = ["lang", "size", "part", "letters"]
     blocks = [side.groupBy(*key).agg(F.ceil(F.count("*") / WORDS_PER_SALT).cast("int").alias(name)) for side, name in ((left, "u"), (right, "k"))]
     many = cut_lineage(blocks[0].join(blocks[1], key).where("u > 1 or k > 1"))
@@ -146,8 +174,7 @@ def _best_by_parts(unknown: DataFrame, known: DataFrame, distance: int = PARTS -
         return side.withColumn(f"b{own}", mine).withColumn(f"b{other}", F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))).drop("u", "k")
 
     met = dealt(left, "word", "u", "k").join(dealt(right, "correction", "k", "u"), [*key, "bu", "bk"])
-    alike = F.bit_count(F.col("mask").bitwiseXOR(F.col("known_mask"))) <= 2 * distance
-    pairs = met.where(alike).where(F.levenshtein("word", "correction", distance) >= 0).select("lang", "word", "correction", "n")
+    pairs = met.where(_alike("marks", "known_marks", distance)).where(F.levenshtein("word", "correction", distance) >= 0).select("lang", "word", "correction", "n")
     each = F.array_distinct(F.split("word", ""))
     short = tx.explode_rows(known.where(F.length("word") < PARTS), "lang", F.col("word").alias("correction"), "n", letter=each)
     small = tx.explode_rows(unknown.where(F.length("word") < PARTS + distance), "lang", "word", letter=each).join(short, ["lang", "letter"])
@@ -164,11 +191,12 @@ def _within_reach(unknown: DataFrame, known: DataFrame, distance: int) -> DataFr
     return unknown.join(longest, "lang").where(F.length("word") <= F.col("longest") + distance).drop("longest")
 
 
-def corrections(vocab: DataFrame, known: DataFrame, max_distance: int = 2) -> DataFrame:
+def corrections(vocab: DataFrame, known: DataFrame, max_distance: int = 2, by_parts: bool = False) -> DataFrame:
     """``(lang, word, correction, distance)`` for unknown words that have a known word close by.
 
     Distance one (insert, delete, replace, swap) is tried first; only words without a hit go on to
-    distance two (Levenshtein), where they are found by parts.
+    distance two (Levenshtein). ``by_parts`` finds these by parts instead of shortened forms, with the same result: it shuffles a quarter of the
+    rows, but compares many more pairs where words are made of the same parts.
     """
     unknown = (
         vocab.where(checkable(F.col("token")))
@@ -184,7 +212,9 @@ def corrections(vocab: DataFrame, known: DataFrame, max_distance: int = 2) -> Da
     if max_distance < 2:
         return first
     rest = unknown.join(first.select("lang", "word"), ["lang", "word"], "left_anti")
-    return first.unionByName(_best_by_parts(rest, known))
+    if by_parts:
+        return first.unionByName(_best_by_parts(rest, known))
+    return first.unionByName(_best(rest, known, _drop_two, F.levenshtein(a, b, 2) >= 0, 2))
 
 
 def as_token_map(vocab: DataFrame, fixes: DataFrame) -> DataFrame:

@@ -291,6 +291,7 @@ def oracles() -> dict[str, str]:
     o["csv_round_trip"] = """select conv_id * 1000 + turn as tweet_id, role as author_id, role = 'user' as inbound, text,
       'Tue Oct 31 22:10:47 +0000 2017' as created_at, case when turn > 0 then conv_id * 1000 + turn - 1 end as in_response_to_tweet_id,
       (conv_id * 1000 + turn + 1)::varchar as response_tweet_id from conversations"""
+    o["csv_one_file"] = o["csv_round_trip"]
     o["prepared_messages"] = f"""select conv_id * 1000 + turn as tweet_id, {split_of("(conv_id * 1000 + turn)")} as split, text,
       epoch(try_strptime('Tue Oct 31 22:10:47 +0000 2017', '%a %b %d %H:%M:%S %z %Y'))::bigint as created_at,
       case when turn > 0 then conv_id * 1000 + turn - 1 end as in_response_to_tweet_id, length(text)::int as tweet_length
@@ -391,6 +392,7 @@ def oracles() -> dict[str, str]:
     o["spell_near"] = f"with {NEAR} select lang, word, correction, 1 as distance from best1"
     o["spell_correct"] = f"""with {FAR} select lang, word, correction, 1 as distance from best1
       union all select lang, word, correction, 2 from best2"""
+    o["spell_by_parts"] = o["spell_correct"]
     o["spell_apply"] = f"""with {FAR}, best as (from best1 union all from best2),
       w as (select doc_id, lang, unnest(string_split(text, ' ')) as word, generate_subscripts(string_split(text, ' '), 1) as i from docs)
       select doc_id, string_agg(coalesce(b.correction, w.word), ' ' order by i) as text from w left join best b using (lang, word) group by doc_id"""

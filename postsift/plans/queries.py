@@ -36,7 +36,7 @@ from postsift.operators import (
 )
 from postsift.plans import triage
 from postsift.settings import LANGUAGES, ClassifierSettings, FeatureSettings, Settings, TextSettings
-from postsift.sources import shipping, tables
+from postsift.sources import quoted, shipping, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -147,6 +147,14 @@ def csv_round_trip(spark, sf):
     return tables.read_messages_csv(spark, path)
 
 
+@query
+def csv_one_file(spark, sf):
+    """The same from a single file, which many tasks read once it is larger than a block."""
+    path = scratch(spark)
+    tables.write_csv(messages(spark, sf).coalesce(1), path)
+    return quoted.read_large_csv(spark, path)
+
+
 @query
 def prepared_messages(spark, sf):
     """Customer filter, split, typed time, one row per id, length."""
@@ -380,6 +388,13 @@ def spell_correct(spark, sf):
     return spelling.corrections(vocab, spelling.known_words(vocab, 5), 2)
 
 
+@query
+def spell_by_parts(spark, sf):
+    """The same corrections, with those at distance two found by parts of words."""
+    vocab = tables.cut_lineage(tokenmap.vocabulary(clean_documents(spark, sf), "text", "lang"))
+    return spelling.corrections(vocab, spelling.known_words(vocab, 5), 2, by_parts=True)
+
+
 @query
 def spell_apply(spark, sf):
     docs = clean_documents(spark, sf)

@@ -39,18 +39,23 @@ def read_messages_csv(
     """Raw message CSV with a header row and quoted line breaks; columns are taken by the names in the header.
 
     The file may have other columns, and any order; a declared column that is absent raises. All files of
-    ``path`` must have the same header. A multi-line file cannot be split, so one task reads one file: deliver
-    large data as many files, or pass ``multiline=False`` when no text holds a line break. ``drop_na_tokens``
+    ``path`` must have the same header. A multi-line file is read by one task: for large files use `quoted.read_large_csv`,
+    or pass ``multiline=False`` when no text holds a line break. ``drop_na_tokens``
     treats texts such as ``NA`` as missing. ``keep_corrupt`` adds ``_corrupt_record``: the row as JSON if a
     value does not fit its type, or if the row has more or fewer fields than the header.
     """
     options = CSV_OPTIONS | {"multiLine": multiline, "nullValue": "", "emptyValue": ""}
     header = spark.read.options(**options).option("inferSchema", False).csv(path).columns
-    if missing := [f.name for f in schema.fields if f.name not in header]:
-        raise MissingColumns(f"read_messages_csv: missing {missing}, header has {header}")
     rough = T.StructType([*[T.StructField(c, T.StringType()) for c in header], T.StructField("_bad", T.StringType())])
     reader = spark.read.schema(rough).options(**CSV_OPTIONS).options(multiLine=multiline, nullValue=NO_VALUE, emptyValue="", enforceSchema=True)
     df = reader.option("columnNameOfCorruptRecord", "_bad").option("mode", "PERMISSIVE").csv(path)
+    return typed_messages(df, header, schema, drop_na_tokens, keep_corrupt, "read_messages_csv")
+
+
+def typed_messages(df: DataFrame, header: list[str], schema: T.StructType, drop_na_tokens: bool, keep_corrupt: bool, reader: str) -> DataFrame:
+    """The declared columns of a table of texts with a column ``_bad``, by name and with their types."""
+    if missing := [f.name for f in schema.fields if f.name not in header]:
+        raise MissingColumns(f"{reader}: missing {missing}, header has {header}")
     # Nothing between the commas is null; only a quoted empty text is empty.
     typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
     wrong = [F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull() for f in schema.fields]
