@@ -6,11 +6,12 @@ If the container with the most points lies in an article or main element, all ou
 and what stands beside its own with a fair share of its score. Else the article is the lowest container around it that holds all
 text outside menus, with short sections, headings and loose text; branches beside the best container that hold only links are left
 out, headings stay. Menus, page headers, footers, side bars, notices, adverts, forms, scripts and reader comments are
-told by element, role or name before scoring, and lists that are nearly all links by their density; all else stays.
+told by element, role or name before scoring, and lists outside articles that are nearly all links by their density; all else stays.
 
 Class and id names are weighed, as wrappers have such words, too (``has-sidebar``, ``no-comments``). A named part goes only if it is no
 article or main, has no name that hints at the article, holds no article or main, and has a small share of the page's points, alone
-and with the other small parts of its name; else it stays with half its score. Reader comments and lists of other articles may hold
+and with the other small parts of its name; else it stays with half its score. Forms are weighed in the same way, as whole pages stand in one:
+a form that holds an article or main or a large share of the points is a wrapper, others go; their controls always go. Reader comments and lists of other articles may hold
 or be ``article`` elements: they go all the same if the page has an article outside them, comments whatever their share.
 
 Blocks of the kept containers come in page order, white space within a block is one space, blocks are joined by one \\n.
@@ -40,7 +41,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre td th blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption".split())
 #: Elements that never belong to the article; a header does inside one.
 APART = frozenset(
-    "head title script style noscript template nav footer aside form button select textarea option iframe object svg canvas dialog menu"
+    "head title script style noscript template nav footer aside button select textarea option iframe object svg canvas dialog menu"
     " audio video map header".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
@@ -53,12 +54,13 @@ BEGINNINGS = (
 #: Words that begin like one of them and are none; first words of a name that tell a state or a label of a part, not what it is.
 OTHERS = frozenset("commentary commentaries commentator commentators subscript subscripts".split())
 STATES = frozenset("no not has have with without show hide category tag type format".split())
-#: Names of reader comments, and of these and lists of other articles.
-COMMENTS = frozenset("comment disqus reply replies".split())
+#: Names of reader comments, and of these and lists of other articles. The element ``form`` counts as such a name.
+COMMENTS = frozenset("comment disqus reply replies form".split())
 LISTS = COMMENTS | frozenset("related recommend promo".split())
 GOOD = frozenset("article body content entry main post text story page".split())
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 WORD = re.compile(r"[a-z]+")
+COMMENT_END = re.compile("--!?>")
 #: Elements that may stand within a sentence and leave an open paragraph open.
 WITHIN = frozenset("script style noscript template button select textarea option iframe object svg canvas audio video map".split())
 #: Elements that end a paragraph still open, and what a new one of a kind closes.
@@ -121,13 +123,40 @@ def named(attrs: list[tuple[str, str | None]], within: bool) -> tuple[bool, bool
 
 
 class Tree(HTMLParser):
-    """The elements and texts of a page, with unclosed elements closed."""
+    """The elements and texts of a page, with unclosed elements closed. A comment or tag that is never closed hides the rest of the page, as in browsers."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("", None)
         self.open: dict[str, int] = {}
 
+    def feed(self, data):
+        """All of a page at once: where its last closing marks are tells in no time whether one is still to come."""
+        self.size, self.last = len(data), {mark: data.rfind(mark) for mark in (">", "]]>")}
+        super().feed(data)
+
+    def comes(self, mark: str, i: int) -> bool:
+        return i + self.size - len(self.rawdata) <= self.last[mark]
+
+    def parse_comment(self, i, report=1):
+        end = COMMENT_END.search(self.rawdata, i + 2)
+        return end.end() if end else len(self.rawdata)
+
+    def parse_html_declaration(self, i):
+        if self.rawdata.startswith("<!--", i):
+            return self.parse_comment(i)
+        mark = "]]>" if self.rawdata.startswith("<![CDATA[", i) and self.comes("]]>", i) else ">"
+        return self.rawdata.find(mark, i + 2) + len(mark) if self.comes(mark, i) else len(self.rawdata)
+
+    def parse_starttag(self, i):
+        return super().parse_starttag(i) if self.comes(">", i) else len(self.rawdata)
+
+    def parse_endtag(self, i):
+        return super().parse_endtag(i) if self.comes(">", i) else len(self.rawdata)
+
+    def parse_pi(self, i):
+        return super().parse_pi(i) if self.comes(">", i) else len(self.rawdata)
+
     def enter(self, node: Node) -> None:
         self.at.children.append(node)
         self.at = node
@@ -165,6 +194,8 @@ class Tree(HTMLParser):
             apart = True
         elif tag == "header":
             apart, names = False, frozenset()
+        elif tag == "form":
+            names |= {"form"}
         self.enter(Node(tag, self.at, apart, good or tag in ("article", "main"), names))
 
     def inside_new(self, tag: str) -> bool:
@@ -235,10 +266,31 @@ def points_of(text: str, linked: int) -> float:
     return (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / max(len(text), 1))
 
 
+def clear_wrappers(root: Node) -> None:
+    """A form that holds an article or main, or a large share of the page's points, is a wrapper and no form to be filled in."""
+    inside: dict[int, float] = {}
+    holds: set[int] = set()
+    for what, parent, leaving in in_order(root):
+        if isinstance(what, Node) and leaving and parent is not None:
+            total = inside.pop(id(what), 0.0) + what.points
+            inside[id(parent)] = inside.get(id(parent), 0.0) + total
+            if id(what) in holds or what.tag in ("article", "main") and total > 0:
+                holds.add(id(parent))
+            what.score = total
+    root.score = inside.get(id(root), 0.0) + root.points
+    for what, _, leaving in in_order(root):
+        if isinstance(what, Node) and leaving:
+            if what.tag == "form" and (id(what) in holds or what.score >= LARGE * root.score):
+                what.names -= {"form"}
+            what.score = 0.0
+    root.score = 0.0
+
+
 def drop_named(root: Node) -> None:
     """Set apart the parts whose names speak against them and that are not the page's body."""
     for text, owner, linked in blocks(root):
         owner.points += points_of(text, linked)
+    clear_wrappers(root)
     doubted: list[Node] = []
     elsewhere, good, listed = 0.0, 0, 0
     for what, parent, leaving in in_order(root):
@@ -296,8 +348,12 @@ def measure(root: Node) -> None:
 
 
 def drop_menus(root: Node) -> None:
+    """Lists that are nearly all links, but those within an article, as of its sources."""
+    within = 0
     for what, _, leaving in in_order(root):
-        if isinstance(what, Node) and leaving and what.tag in ("ul", "ol", "dl", "div", "section", "table"):
+        if isinstance(what, Node) and what.tag == "article":
+            within += -1 if leaving else 1
+        if isinstance(what, Node) and leaving and not within and what.tag in ("ul", "ol", "dl", "div", "section", "table"):
             if what.links >= MENU_LINKS and what.linked >= MENU_DENSITY * what.chars:
                 what.apart = True
 

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,34 @@ def test_unequal_containers(page):
     assert main_text(page) == UNEQUAL[page]
 
 
+CITED = "".join(f"<li><a href={i}>Work {i}</a></li>" for i in range(5))
+FORMS = {
+    f"<body><form id=x><div>{LONG}</div><button>Go</button><select><option>a<option>b</select></form></body>": LONG_TEXT,
+    f"<body><form id=x><nav>n</nav><article>{ARTICLE}</article><div class=sidebar><p>a, b</p></div></form></body>": "Title\nOne, two & three.\nFour, five.\nSix",
+    f"<form><main>{ARTICLE}<textarea>t</textarea></main><p>Search</p></form>": "Title\nOne, two & three.\nFour, five.\nSix",
+    f"<article>{LONG}<form><p>Your address, please, for our letter</p><input name=a></form></article>": LONG_TEXT,
+    f"<div class=content>{LONG}</div><form class=big>" + "<p>A field, to fill in, now</p>" * 20 + "</form>": LONG_TEXT,
+    f"<form><div class=entry>{LONG}</div><div id=comments>" + '<p>so, nice</p>' * 3 + "</div></form>": LONG_TEXT,
+    f"<article>{LONG}<h2>Cited</h2><ol>{CITED}</ol><p>End.</p></article><ul>{CITED}</ul>": LONG_TEXT + "\nCited\n" + "\n".join(f"Work {i}" for i in range(5)) + "\nEnd.",
+    "<p>shown</p><!-- never closed <p>hidden</p>": "shown",
+    "<p>a<![CDATA[ x > y ]]>b</p><![CDATA[ z <!doctype html><p>c": "ab\nc",
+    "<p>shown</p><a href='never closed": "shown",
+    "<p>a<!-- x --!>b</p><script>'<!--'</script><p>c</p>": "ab\nc",
+}
+
+
+@pytest.mark.parametrize("page", list(FORMS), ids=lambda p: p[:40])
+def test_forms_and_lists_in_articles(page):
+    assert main_text(page) == FORMS[page]
+
+
+@pytest.mark.parametrize("part", ["<!--", "<![CDATA[", "<?", "<!", "</", "<a ", "<", "&", "<!-- x -->", "<form>", "<p><!--"])
+def test_broken_markup_in_linear_time(part):
+    start = time.time()
+    main_text("<p>text</p>" + part * (400_000 // len(part)))
+    assert time.time() - start < 10
+
+
 def test_given_pages(spark, sf):
     """The pages of the test tables have one article each, of a heading and paragraphs."""
     done = extract(spark.read.parquet(f"{sf}/pages.parquet")).collect()
