@@ -100,3 +100,57 @@ n as (select i, sum(hi - lo)::bigint as n_removed, count(*) as n_spans from gone
 select doc_id, (length(d.h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
   sha256(unhex(coalesce(kept.h, d.h))) as kept_sha256
 from d left join n on n.i = d.i left join kept on kept.i = d.i"""
+
+
+def edit_moves() -> str:
+    """What can happen up to and with one turn, as VALUES: the last initial before and after, turns inserted first, the edit, its cost."""
+    after, names = {"": "us", "s": "u", "u": "a", "a": "u"}, {"u": "user", "a": "assistant"}
+    rows = []
+    for state in after:
+        inserted, at = "", state
+        for n in range(3):
+            lines = "[" + ", ".join(f"'{names[x]}:'" for x in inserted) + "]::varchar[]"
+            rows.append(f"('{state}', '{at}', {lines}, '{'I' * n}', '', '', {2 * n})")
+            rows.append(f"('{state}', '{at}', {lines}, '{'I' * n}D', '', '', {2 * n + 3})")
+            for y in after[at]:
+                rows.append(f"('{state}', '{y}', {lines}, '{'I' * n}K', '{y}', '', {2 * n})")
+                if y in names:
+                    rows.append(f"('{state}', '{y}', {lines}, '{'I' * n}R', '{y}', '{names[y]}', {2 * n + 2})")
+            at = next(x for x in after[at] if x in names)
+            inserted += at
+    return f"(values {', '.join(rows)}) as v(s, s2, ins, step, initial, name, cost)"
+
+
+# An automaton over (turn, last initial) instead of targets and bands. CRC-32 is its bitwise definition, table and all.
+LLM_SQL["op11_conversation_repair"] = f"""
+with recursive bits as (select list(list_reduce([i::bigint, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: case when c & 1 = 1 then xor(3988292384::bigint, c >> 1) else c >> 1 end) order by i) as t from range(256) as r(i)),
+k as (select *, list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda c: unicode(c)::bigint) as codes from conversations),
+h as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+  xor(list_reduce(list_prepend(4294967295::bigint, codes), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295::bigint) % 20 as kind from k, bits),
+w as (select ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) as white),
+d as (select conv_id, turn, case when kind = 4 then 'user' else role end as role, case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
+  from h, unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end))),
+o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i, rtrim(text, white) as body from d, w),
+f as (select *, left(role, 1) as initial, case when body = '' then 'blank' when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+  when right(body, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+  left(lag(role) over (partition by conv_id order by i), 1) || left(role, 1) as two, lag(i) over (partition by conv_id order by i) as before from o),
+m as (select * from {edit_moves()}),
+dp as (
+  select conv_id, 0::bigint as i, '' as s, {{'c': 0::bigint, 'a': '', 't': []::varchar[]}} as b from f where i = 1
+  union all
+  select p.conv_id, f.i, m.s2, min({{'c': p.b.c + m.cost + case when fault = 'truncated' and m.step not like '%D' then 1 else 0 end, 'a': p.b.a || m.step,
+    't': p.b.t || m.ins || case right(m.step, 1) when 'D' then []::varchar[] when 'K' then [f.role || ':' || f.text] else [m.name || ':' || f.text] end}})
+  from dp p join f on f.conv_id is not distinct from p.conv_id and f.i = p.i + 1 join m on m.s = p.s
+  where m.step like '%D' or fault not in ('blank', 'duplicate') and (m.step like '%K' and m.initial = f.initial or m.step like '%R' and m.initial <> f.initial)
+  group by p.conv_id, f.i, m.s2),
+n as (select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+  count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+  count(*) filter (before is not null and two not in ('su', 'ua', 'au')) as illegal from f group by conv_id),
+best as (select p.conv_id, min({{'c': p.b.c + m.cost, 'a': p.b.a || m.step, 't': p.b.t || m.ins}}) as b
+  from dp p join n on n.conv_id is not distinct from p.conv_id and n.n = p.i join m on m.s = p.s
+  where m.initial = '' and m.step not like '%D' and m.s2 in ('', 'a') group by p.conv_id)
+select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+  coalesce(illegal, 0)::bigint as illegal, coalesce(best.b.c, 0)::bigint as cost, coalesce(best.b.a, '') as audit,
+  sha256(coalesce(array_to_string(best.b.t, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join n on n.conv_id is not distinct from c.conv_id left join best on best.conv_id is not distinct from c.conv_id"""
