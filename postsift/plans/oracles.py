@@ -314,6 +314,7 @@ def oracles() -> dict[str, str]:
       from (select {split_of("doc_id")} as split from documents) group by split"""
     o["dedup_first_message"] = """select conv_id, turn, role, text from
       (select *, row_number() over (partition by conv_id order by turn, text) as r from conversations) where r = 1"""
+    o["dedup_over_stream"] = o["dedup_first_message"]
     o["dedup_report"] = """select count(*)::bigint as rows_before, count(distinct conv_id)::bigint as rows_after,
       (count(*) - count(distinct conv_id))::bigint as rows_dropped from conversations"""
     o["dedup_exact_text"] = """select doc_id, lang, source, md5(text) as digest from

@@ -37,6 +37,7 @@ from postsift.operators import (
 from postsift.plans import triage
 from postsift.settings import LANGUAGES, ClassifierSettings, FeatureSettings, Settings, TextSettings
 from postsift.sources import quoted, shipping, tables
+from postsift.streaming import first, incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -244,6 +245,22 @@ def dedup_first_message(spark, sf):
     return prepare.first_per_key(conv, "conv_id", [F.col("turn"), F.col("text")])
 
 
+@query
+def dedup_over_stream(spark, sf):
+    """First message of each conversation, from files whose turns are mixed, over two runs of a stream with one checkpoint."""
+    path = scratch(spark)
+    start = F.lit("2026-01-01 00:00:00").cast("timestamp")
+    conv = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    conv = conv.withColumn("created_at", start + F.make_dt_interval(mins=F.col("turn").cast("int")))
+    conv.repartition(4, "turn").write.parquet(f"{path}/in")
+    for more in (None, conv.limit(1).withColumns({"conv_id": F.lit(-1).cast("long"), "created_at": start + F.make_dt_interval(days=F.lit(30))})):
+        if more is not None:  # a later message ends the sessions before it
+            more.write.mode("append").parquet(f"{path}/in")
+        arriving = incremental.new_messages(spark, f"{path}/in", conv.schema, files_per_batch=1)
+        first.write_first_messages(arriving, f"{path}/out", f"{path}/state", key="conv_id").awaitTermination()
+    return spark.read.schema(conv.schema).parquet(f"{path}/out").drop("created_at")
+
+
 @query
 def dedup_report(spark, sf):
     return prepare.dedup_report(table(spark, sf, "conversations"), "conv_id")
