@@ -460,7 +460,7 @@ def hashing_encode(spark, sf):
 @query
 def word2vec_encode(spark, sf):
     docs = clean_documents(spark, sf)
-    encoder = features.fit_word2vec_encoder(docs, "text", FeatureSettings(hashing_dims=64))
+    encoder = features.fit_word2vec_encoder(docs, "text", FeatureSettings())
     return features.encode(docs, encoder, "text").select("doc_id", "embedding")
 
 
@@ -821,5 +821,5 @@ def recluster_recent(spark, sf):
     typed = ingest.customer_messages(raw).withColumn("created_at", prepare.parse_created_at(F.col("created_at")))
     docs = tables.spread(table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
     texts = tables.cut_lineage(triage.preprocessed(typed, language.fit_language_model(docs), s))
-    _, report = triage.recluster(texts, "2017-10-01", s, k=4)
+    _, report = triage.recluster(texts, "2017-10-01", s)
     return report.select("cluster_id", "n_rows", "keywords", "category_slot")
