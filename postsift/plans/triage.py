@@ -185,7 +185,9 @@ def train(labelled: DataFrame, found: Discovery, language_model: PipelineModel |
     names = None
     if "cluster_id" in rows.columns:
         limit = found.settings.clusters.max_clusters
-        pairs = rows.select("cluster_id", "category").distinct().where("category is not null").limit(limit).collect()
+        pairs = rows.select("cluster_id", "category").distinct().where("category is not null").limit(limit + 1).collect()
+        if len(pairs) > limit:
+            raise ValueError(f"train: more than {limit} clusters with names")
         names = {r.cluster_id: r.category for r in pairs}
     return Triage(found, model, language_model, names)
 
