@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 from postsift.sources.shipping import ship
-from postsift.sources.tables import shared_folder
+from postsift.sources.tables import run_folder
 
 
 class Scratch:
-    """Tables of one job, written to a folder of its own below the shared one.
+    """Tables of one job, written to a folder of its own below the application's, which `tables.remove_intermediates` deletes.
 
     A written table cuts the lineage: an executor that is lost later costs the tasks it ran, not the stages before.
     """
@@ -23,7 +23,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         ship(spark)
         self.spark = spark
-        self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        self.folder = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
     def written(self, df: DataFrame, name: str, waves: int = 0) -> DataFrame:
         """Write and read back. ``waves``: for rows without texts, in no more files than so many waves of tasks over all

@@ -6,11 +6,13 @@
    digest whose bit no other one wants is placed, the rest go on to the next level) and arrays in that order: a 32-bit
    fingerprint, the count, and the keeper's id for those that recur often enough.
 3. Documents send digests, not lines, to the shards and probe the arrays. A shard with many probes, as of a line that a
-   third of all documents hold, is replicated and its probes are dealt over the replicas.
-4. Only (document, digest) pairs to be dropped come back; each text is filtered once.
+   third of all documents hold, is replicated and its probes, counted row by row, are dealt over the replicas by row.
+4. Only the digests that a row drops come back, under the name of that row (a hash of id and text); each text is filtered once.
 
-Nothing is broadcast and no group is larger than a shard or ``PROBES`` probes on average. The digests and counts are
-written to the shared folder, so a lost executor costs its running tasks.
+No group is larger than a shard or ``PROBES`` probes on average, also if one id, or one id with one text, holds a third of the rows: rows
+of one id have names of their own, and a name of very many rows is salted. The names that are salted have more than a ``NAMES``-th part of all
+rows each, so that no more than ``NAMES`` are broadcast. The digests and counts are written to the shared folder, so a lost executor
+costs its running tasks.
 
 Defined results: null or empty text is one empty line. Rows with the same id are one document, and each returns its own
 row; a null id is an id of its own, smaller than all others. An empty table gives an empty table. Lines equal to each other
@@ -36,6 +38,8 @@ EDGES = b" \t\n\x0b\x0c\r"
 SHARD, PROBES = 32_768, 65_536
 #: Bits per digest of a level, and levels before what is left is listed.
 SPREAD, LEVELS = 2.0, 24
+#: Rows of one name that one task joins; names that may be salted.
+ALIKE, NAMES = 4096, 100_000
 #: Keeper of a line that only documents with a null id hold.
 NO_ID = -(1 << 63)
 
@@ -139,18 +143,38 @@ def probe(index: dict, digests: list[bytes], docs: np.ndarray, min_docs: int) ->
 
 
 def line_digests(docs: DataFrame, min_chars: int) -> DataFrame:
-    """doc, digest: the distinct long lines of each row."""
+    """doc, name, salt, digest: the distinct long lines of each row, and one entry without a digest for the row itself.
+
+    ``salt`` numbers the rows of a task, so that rows that are alike can be told apart.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = 0
         for b in batches:
-            ids, found = [], []
-            for doc, text in zip(b["doc"].to_pylist(), b["text"].cast(pa.binary()).to_pylist()):
+            found, counts = [], []
+            for text in b["text"].cast(pa.binary()).to_pylist():
                 own = {digest(line, min_chars) for line in (text or b"").split(b"\n")} - {None}
-                ids += [doc] * len(own)
-                found += own
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.binary())], names=["doc", "digest"])
+                found += [None, *own]
+                counts.append(1 + len(own))
+            of = pa.array(np.repeat(np.arange(b.num_rows), counts))
+            salt = pa.array(((row + np.arange(b.num_rows)) % (1 << 30)).astype(np.int32))
+            row += b.num_rows
+            columns = [b["doc"].take(of), b["name"].take(of), salt.take(of), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "name", "salt", "digest"])
+
+    return docs.select("doc", "name", "text").mapInArrow(run, "doc long, name long, salt int, digest binary")
+
 
-    return docs.select("doc", "text").mapInArrow(run, "doc long, digest binary")
+def dealt_probes(probes: DataFrame, copies: DataFrame) -> DataFrame:
+    """Probes with the copy of their shard that they go to, by row."""
+    of = F.coalesce(F.col("copies"), F.lit(1))
+    return probes.join(copies, "shard", "left").withColumn("copy", F.pmod(F.xxhash64("doc", "name", "salt"), of).cast("int"))
+
+
+def dealt_rows(docs: DataFrame, hot: DataFrame) -> DataFrame:
+    """Rows with a part of their name; one part but for the names in ``hot``."""
+    part = F.pmod(F.monotonically_increasing_id(), F.coalesce(F.col("parts"), F.lit(1))).cast("int")
+    return docs.join(hot, ["doc", "name"], "left").withColumn("part", part).drop("parts")
 
 
 def drop_lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -184,36 +208,47 @@ def line_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", min_chars
     new = ("kept_text", "n_lines", "n_dropped")
     rest = [c for c in df.columns if c not in new]
     scratch = Scratch(df.sparkSession, "lines")
-    id_, body = F.col(f"`{key}`").cast("long"), F.col(f"`{text}`").cast("string")
+    id_, body = F.col(f"`{key}`").cast("long"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     docs = df.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.coalesce(id_, F.lit(NO_ID)).alias("doc"), body.alias("text"))
+    docs = docs.withColumn("name", F.xxhash64("text"))
 
-    lines = scratch.written(line_digests(docs, min_chars), "digests", waves=8)
-    counted = lines.distinct().groupBy("digest").agg(F.count("*").alias("n_docs"), F.max("doc").alias("keeper"))
+    written = scratch.written(line_digests(docs, min_chars), "digests", waves=8)
+    lines = written.where("digest is not null")
+    held = lines.groupBy("doc", "digest").agg(F.count("*").alias("n_rows"))
+    counted = held.groupBy("digest").agg(F.count("*").alias("n_docs"), F.max("doc").alias("keeper"), F.sum("n_rows").alias("n_rows"))
     counted = scratch.written(counted, "counted", waves=2)
     shards = max(1, math.ceil(counted.count() / SHARD))
     shard = F.pmod(F.xxhash64("digest"), F.lit(shards)).alias("shard")
-    counted = counted.select("digest", "n_docs", "keeper", shard)
+    counted = counted.select("digest", "n_docs", "keeper", "n_rows", shard)
 
     def index_of(rows: pa.Table) -> pa.Table:
         return pa.Table.from_pylist([build_shard(rows, min_docs)], INDEX_ARROW)
 
-    index = counted.groupBy("shard").applyInArrow(index_of, INDEX)
-    copies = counted.groupBy("shard").agg(F.ceil(F.sum("n_docs") / PROBES).alias("copies")).where("copies > 1")
+    index = counted.drop("n_rows").groupBy("shard").applyInArrow(index_of, INDEX)
+    copies = counted.groupBy("shard").agg(F.ceil(F.sum("n_rows") / PROBES).alias("copies")).where("copies > 1")
     index = index.join(copies, "shard", "left").withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("copies"), F.lit(1)).cast("int") - 1)))
-    probes = lines.select("doc", "digest", shard).join(copies, "shard", "left")
-    probes = probes.withColumn("copy", F.pmod(F.xxhash64("doc"), F.coalesce(F.col("copies"), F.lit(1))).cast("int"))
+    probes = dealt_probes(lines.select("doc", "name", "salt", "digest", shard), copies)
 
     def probed(asked: pa.Table, of: pa.Table) -> pa.Table:
         if not asked.num_rows:
-            return asked.select(["doc", "digest"])
+            return asked.select(["doc", "name", "digest"])
         found = probe(of.to_pylist()[0], asked["digest"].to_pylist(), asked["doc"].to_numpy(), min_docs)
-        return asked.select(["doc", "digest"]).filter(pa.array(found))
-
-    pairs = probes.select("shard", "copy", "doc", "digest").groupBy("shard", "copy")
-    drops = pairs.cogroup(index.drop("copies").groupBy("shard", "copy")).applyInArrow(probed, "doc long, digest binary")
-    drops = drops.groupBy("doc").agg(F.collect_set("digest").alias("drops"))
-    done = drop_lines(docs.join(drops, "doc", "left"), min_chars)
-    return done.select("row.*", *new)
+        return asked.select(["doc", "name", "digest"]).filter(pa.array(found))
+
+    pairs = probes.select("shard", "copy", "doc", "name", "digest").groupBy("shard", "copy")
+    drops = pairs.cogroup(index.drop("copies").groupBy("shard", "copy")).applyInArrow(probed, "doc long, name long, digest binary")
+    # The lines of one text at most, and one set of them per partition, however many rows have it.
+    drops = drops.groupBy("doc", "name").agg(F.collect_set("digest").alias("drops"))
+
+    rows = written.where("digest is null")
+    alike = max(ALIKE, rows.count() // NAMES)
+    hot = rows.groupBy("doc", "name").agg(F.count("*").alias("n")).where(F.col("n") > alike)
+    hot = F.broadcast(scratch.written(hot.select("doc", "name", F.ceil(F.col("n") / ALIKE).cast("int").alias("parts")), "alike", waves=1))
+    parts = F.coalesce(F.col("parts"), F.lit(1))
+    docs = dealt_rows(docs, hot)
+    drops = drops.join(hot, ["doc", "name"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    joined = docs.join(drops.drop("parts"), ["doc", "name", "part"], "left")
+    return drop_lines(joined, min_chars).select("row.*", *new)
 
 
 INDEX_ARROW = pa.schema(
