@@ -5,16 +5,15 @@ from __future__ import annotations
 LLM_SQL: dict[str, str] = {}
 
 LLM_SQL["op1_line_dedup"] = """
-with split as (
-  select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as i
-  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents)),
+with docs as (select row_number() over () as r, doc_id, coalesce(doc_id, -9223372036854775808) as own, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+split as (select r, doc_id, own, unnest(lines) as line, generate_subscripts(lines, 1) as i from docs),
 keyed as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from split),
-often as (select key, max(doc_id) as keeper from keyed where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
-marked as (select k.doc_id, k.i, k.line, o.key is not null and k.doc_id <> o.keeper as gone from keyed k left join often o using (key))
-select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+often as (select key, max(own) as keeper from keyed where length(key) >= 40 group by key having count(distinct own) >= 5),
+marked as (select k.r, k.doc_id, k.i, k.line, o.key is not null and k.own <> o.keeper as gone from keyed k left join often o using (key))
+select any_value(doc_id) as doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
-from marked group by doc_id"""
+from marked group by r"""
 
 
 def base32(sha1: str) -> str:
@@ -34,18 +33,19 @@ from f"""
 
 
 LLM_SQL["op6_top_k"] = """
-with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e from embeddings
+with v as (select row_number() over () as i, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e from embeddings
   where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-s as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint as score
+s as (select q.i, q.vec_id as query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint as score
   from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)),
-r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+r as (select *, row_number() over (partition by i order by score desc, vec_id)::int as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 10"""
 
 
 LLM_SQL["op4_near_vectors"] = """
-with recursive v as (select row_number() over () as i, vec_id, label, list_transform(embedding, lambda x: x::double) as e from embeddings),
-ok as (select * from v where vec_id is not null and label is not null and len(e) > 0 and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
-  and len(list_filter(e, lambda x: x <> 0)) > 0),
+with recursive v as (select row_number() over () as i, vec_id, label, list_transform(embedding, lambda x: x::double) as raw from embeddings),
+ok as (select i, vec_id, label, list_transform(raw, lambda x: coalesce(x, 0)) as e from v
+  where vec_id is not null and label is not null and len(raw) > 0 and len(list_filter(raw, lambda x: x is null or not isfinite(x))) = 0
+  and len(list_filter(raw, lambda x: x <> 0)) > 0),
 link as (select a.i as a, b.i as b from ok a join ok b on a.label = b.label and a.i <> b.i and len(a.e) = len(b.e)
   and list_cosine_similarity(a.e, b.e) >= 0.98),
 reach(i, j) as (select i, i from ok union select l.b, r.j from reach r join link l on l.a = r.i),

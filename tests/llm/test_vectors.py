@@ -13,10 +13,10 @@ def frame(spark, rows, extra="id long, dims long, filter long"):
 
 
 def plain_top(rows, asks, k, scale=1024):
-    good = {}
+    good = []
     for i, v, _ in rows:
         if i is not None and v and all(x is not None and np.isfinite(x) for x in v):
-            good[i, tuple(int(np.floor(scale * float(np.float32(x)))) for x in v)] = None
+            good.append((i, tuple(int(np.floor(scale * float(np.float32(x)))) for x in v)))
     out = []
     for i, q in good:
         if asks(i):
@@ -29,11 +29,12 @@ def plain_top(rows, asks, k, scale=1024):
 def test_top_k(spark, monkeypatch, blocks):
     monkeypatch.setattr(topk, "ROWS", blocks[0])
     monkeypatch.setattr(topk, "QUERIES", blocks[1])
+    monkeypatch.setattr(topk, "START", 2)
     rng = np.random.default_rng(5)
     rows = [(i, rng.integers(-3, 4, 6) / 7, 0) for i in range(60)]
     rows = [(i, v.tolist(), 0) for i, v, _ in rows]
     rows += [(100, None, 0), (110, [0.1, None], 0), (120, [float("nan")] * 6, 0), (130, [float("inf")] * 6, 0), (None, [0.5] * 6, 0), (140, [], 0)]
-    rows += [(10, rows[10][1], 0), (150, [1.0, 2.0], 0), (151, [0.5, 0.5], 0), (160, [1.0], 0)]
+    rows += [(10, rows[10][1], 0), (10, rows[11][1], 0), *[(33, rows[33][1], 0)] * 3, *[(44, (-np.array(rows[44][1])).tolist(), 0)] * 6, (150, [1.0, 2.0], 0), (151, [0.5, 0.5], 0), (160, [1.0], 0)]
     got = topk.top_k(frame(spark, rows), F.col("vec_id") % 10 == 0, k=4)
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
     assert sorted(tuple(r) for r in got.collect()) == plain_top(rows, lambda i: i % 10 == 0, 4)
@@ -44,14 +45,31 @@ def test_top_k_ends_early_and_large_numbers():
     rows = np.floor(rng.standard_normal((3000, 5)) * 50)
     rows[7] *= 100
     ids = np.arange(3000)
-    for (places, scores), q in zip(topk.best(rows, ids, rows[:20], ids[:20], 10), range(20)):
+    depths = []
+    for (places, scores, depth), q in zip(topk.best(rows, topk.sorted_lists(rows), ids, rows[:20], ids[:20], 10), range(20)):
         want = sorted((-int(rows[j] @ rows[q]), j) for j in range(3000) if j != q)[:10]
         assert [(-s, j) for s, j in zip(scores.tolist(), places.tolist())] == want
+        depths.append(depth)
+    assert min(depths) < 1500
     big = (rows * 2**18).astype(np.int64)
-    places, scores = topk.plain_best(big, ids, big[0], 0, 3)
+    places, scores, _ = topk.plain_best(big, ids, big[0], 0, 3)
     assert scores.tolist() == sorted((int(x) for x in big[1:] @ big[0]), reverse=True)[:3]
 
 
+def test_few_entries_are_read_of_clustered_vectors():
+    """Two of 16 topics each: a list has little to add after an eighth of it."""
+    rng = np.random.default_rng(2)
+    rows = np.zeros((4096, 16))
+    for _ in range(2):
+        rows[np.arange(4096), rng.integers(0, 16, 4096)] = rng.integers(1, 1000, 4096)
+    ids = np.arange(4096)
+    found = topk.best(rows, topk.sorted_lists(rows), ids, rows[:50], ids[:50], 5)
+    assert np.mean([depth for _, _, depth in found]) < 0.5 * 4096
+    for (places, scores, _), q in zip(found, range(50)):
+        want = sorted((-int(rows[j] @ rows[q]), j) for j in range(4096) if j != q)[:5]
+        assert [(-s, j) for s, j in zip(scores.tolist(), places.tolist())] == want
+
+
 def test_top_k_empty(spark):
     assert topk.top_k(frame(spark, []), F.col("vec_id") == 0).count() == 0
     assert topk.top_k(frame(spark, [(1, [1.0], 0)]), F.col("vec_id") == 1).count() == 0
