@@ -27,10 +27,8 @@ ORACLE_SQL = None
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn from the labelled ones of these documents; keep those that score well."""
     scratch = Scratch(spark, "pipeline-quality")
-    measured = quality.with_statistics(docs)
-    stats = scratch.written(measured.select("doc_id", *quality.STATISTICS), "statistics", waves=8)
-    model = quality.fit(stats, table(spark, sf_dir, "labels"))
-    scratch.remove()
+    measured = scratch.written(quality.with_statistics(docs), "measured")  # with the texts: measured once, and no join back to them
+    model = quality.fit(measured.select("doc_id", *quality.STATISTICS), table(spark, sf_dir, "labels"))
     return measured.where(model.score() >= KEEP_SCORE).select(*docs.columns)
 
 
