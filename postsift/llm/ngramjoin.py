@@ -2,7 +2,8 @@
 
 Texts with the same set of shingles are one class; their links need no comparison. Classes are rows of the matrix, shingles columns.
 
-1. Columns are dealt into blocks by hash. A block sees which rows each of its columns has and drops columns with a single row:
+1. Columns are dealt into blocks by hash; those that very many rows have ("hot": found by frequent-items counts of each task, added up) are
+   known to be shared, need no counting, and are dealt into blocks by row. A block sees which rows each of its columns has and drops columns with a single row:
    they add to a row's size, never to an overlap. What is left of each row comes back with how many rows the column has.
 2. A row whose remaining columns are fewer than the share of its size that any partner would have to match has no partner, and goes.
    In common corpora that is all but the near copies.
@@ -16,7 +17,9 @@ Texts with the same set of shingles are one class; their links need no compariso
 
 The result is exact up to collisions: shingles are 64-bit hashes, columns 32 bits within a block of about ``BLOCK`` entries, classes 64
 bits of a 128-bit hash of the set. Copies are dropped before anything is shuffled by block, per partition and then per block. All
-intermediate tables are written to the shared folder; nothing is broadcast by this module and no group exceeds a block or two tiles.
+intermediate tables are written to the shared folder. No group exceeds a block, the entries of one column that is not hot, or two tiles. What reaches
+the driver are the hot columns: those with over a ``HOT_COLUMNS``-th of all entries each, so never more than ``HOT_COLUMNS``. Which columns are taken for hot
+changes how entries are grouped and how tightly rows are pruned, never the result.
 
 Defined results: null or empty text, or one without words, has no shingles and links with nothing. A text of fewer words than
 a shingle has its whole sequence as its only shingle. Rows that repeat an id are texts of their own and share the id. A null id never
@@ -46,6 +49,10 @@ SLICE, BLOCK, TILE, DENSE, FEW = 500_000, 4_000_000, 512, 4096, 12
 ENTRIES = 400_000
 #: Classes whose copies a task remembers, so as to send each only once.
 REMEMBERED = 200_000
+#: Rows from which a column may be hot; columns that may be hot; columns that a task counts, and sends.
+HOT, HOT_COLUMNS, COUNTED = 250_000, 500_000, 8192
+#: Order of hot columns: after all others.
+LAST = 255
 
 
 def class_of(own: np.ndarray) -> int:
@@ -62,16 +69,54 @@ def slices_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[p
             yield b, shingles.sets([t or b"" for t in b.column(at).cast(pa.binary()).to_pylist()], width)
 
 
+class Frequent:
+    """The columns that most of the sets seen have, with counts that are too small by no more than a ``COUNTED``-th of all
+    counted, and by the entries that were alone in their slice."""
+
+    def __init__(self):
+        self.columns, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, sets: list[np.ndarray]) -> None:
+        columns, counts = np.unique(np.concatenate(sets), return_counts=True)
+        often = counts > 1
+        columns = np.concatenate((self.columns, columns[often]))
+        self.columns, inverse = np.unique(columns, return_inverse=True)
+        self.counts = np.bincount(inverse, np.concatenate((self.counts, counts[often])), len(self.columns)).astype(np.int64)
+        if len(self.columns) > COUNTED:  # what the first column that does not fit has, all lose
+            left = self.counts - np.partition(self.counts, -COUNTED - 1)[-COUNTED - 1]
+            self.columns, self.counts = self.columns[left > 0], left[left > 0]
+
+
 def measured(docs: DataFrame, width: int) -> DataFrame:
-    """doc, n, class: the size and name of each text's set; class null for empty sets."""
+    """doc, n, class, hot: the size and name of each text's set; class null for empty sets.
+
+    Rows with ``hot`` are no documents but columns that many sets of a task have: n of them, copies left out.
+    """
+    schema = "doc long, n long, class long, hot long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent, often = set(), Frequent()
         for b, found in slices_of(batches, width):
             names = [class_of(s) if len(s) else None for s in found]
+            own = unsent(found, names, sent)
+            if own:
+                often.add(list(own.values()))
             sizes = pa.array([len(s) for s in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), sizes, pa.array(names, pa.int64())], names=["doc", "n", "class"])
+            columns = [b.column(0), sizes, pa.array(names, pa.int64()), pa.nulls(len(names), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "n", "class", "hot"])
+        none = pa.nulls(len(often.counts), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, pa.array(often.counts), none, pa.array(often.columns.view(np.int64))], names=["doc", "n", "class", "hot"])
+
+    return docs.mapInArrow(run, schema)
+
 
-    return docs.mapInArrow(run, "doc long, n long, class long")
+def unsent(found: list[np.ndarray], names: list[int | None], sent: set[int]) -> dict[int, np.ndarray]:
+    """The sets that are not empty and that the task has not had before, as far as it remembers."""
+    if len(sent) > REMEMBERED:
+        sent.clear()
+    own = {name: s for s, name in zip(found, names) if name is not None and name not in sent}
+    sent.update(own)
+    return own
 
 
 def block_of(h: np.ndarray, blocks: int) -> np.ndarray:
@@ -79,32 +124,36 @@ def block_of(h: np.ndarray, blocks: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
 
 
-def incidence(docs: DataFrame, width: int, blocks: int) -> DataFrame:
-    """block, rows, counts, columns: for each block some rows with their columns, packed as arrays."""
+def incidence(docs: DataFrame, width: int, blocks: int, hot: np.ndarray, parts: int) -> DataFrame:
+    """block, rows, counts, columns: for each block some rows with their columns, packed as arrays.
+
+    The columns in ``hot`` (sorted) go to blocks from ``blocks`` on, one of ``parts`` by row, under their places in ``hot``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for _, found in slices_of(batches, width):
-            if len(sent) > REMEMBERED:
-                sent.clear()
-            own = {name: s for s in found if len(s) and (name := class_of(s)) not in sent}
-            sent.update(own)
+            own = unsent(found, [class_of(s) if len(s) else None for s in found], sent)
             if not own:
                 continue
             rows = np.fromiter(own, np.int64, len(own))
             sizes = np.fromiter(map(len, own.values()), np.int64, len(own))
             entries = np.concatenate(list(own.values()))
-            # By block, then by row: hashes of a row are sorted, so its blocks are in order.
-            block, row = block_of(entries, blocks), np.repeat(np.arange(len(rows)), sizes)
+            block, row, low = block_of(entries, blocks), np.repeat(np.arange(len(rows)), sizes), entries.astype(np.uint32)
+            if len(hot):
+                place = np.minimum(np.searchsorted(hot, entries), len(hot) - 1)
+                is_hot = hot[place] == entries
+                block = np.where(is_hot, (blocks + bucket_of(rows, parts))[row], block)
+                low = np.where(is_hot, place, low).astype(np.uint32)
+            # By block, then by row.
             order = np.argsort(block, kind="stable")
-            block, row, low = block[order], row[order], entries[order].astype(np.uint32)
-            borders = np.searchsorted(block, np.arange(blocks + 1))
+            block, row, low = block[order], row[order], np.ascontiguousarray(low[order])
+            present, borders = np.unique(block, return_index=True)
             out: list[tuple] = []
-            low = np.ascontiguousarray(low)
-            for k in np.flatnonzero(np.diff(borders)).tolist():
-                part = slice(borders[k], borders[k + 1])
+            for k, begin, end in zip(present.tolist(), borders.tolist(), [*borders[1:].tolist(), len(block)]):
+                part = slice(begin, end)
                 first = np.flatnonzero(np.diff(row[part], prepend=-1))
-                which, counts = row[part][first], np.diff(first, append=borders[k + 1] - borders[k])
+                which, counts = row[part][first], np.diff(first, append=end - begin)
                 out.append((k, rows[which].tobytes(), small(counts), low[part].tobytes()))
             columns = [pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*out))]
             yield pa.RecordBatch.from_arrays(columns, names=["block", "rows", "counts", "columns"])
@@ -138,9 +187,11 @@ def spread_out(counts: np.ndarray, chosen: np.ndarray) -> np.ndarray:
 def shared_columns(table: pa.Table, buckets: int) -> pa.Table:
     """Of one block, the entries in columns that several rows have, packed by bucket of rows.
 
-    ``ranks``: a byte that grows with the number of rows of the column, to order columns by.
+    ``ranks``: a byte that grows with the number of rows of the column, to order columns by. A block from ``buckets`` on is a part of the hot
+    columns, of which all entries stay; they share one name.
     """
     block = table["block"][0].as_py()
+    is_hot, block = block >= buckets, min(block, buckets)
     rows, counts, columns = joined(table, "rows", np.int64), joined_counts(table), joined(table, "columns", np.uint32)
     rows, once = np.unique(rows, return_index=True)
     columns, counts = columns[spread_out(counts, once)], counts[once]  # each copy once
@@ -151,19 +202,22 @@ def shared_columns(table: pa.Table, buckets: int) -> pa.Table:
     first = np.flatnonzero(begins)
     has = np.diff(first, append=len(order))
     times = np.repeat(has.astype(np.int32), has)
-    kept = order[times > 1]
-    times = times[times > 1]
+    shared = times > (0 if is_hot else 1)
+    kept, times = order[shared], times[shared]
     back = np.argsort(kept, kind="stable")  # by row again
     kept, times = kept[back], times[back]
     columns, owner = columns[kept], owner[kept]
-    ranks = np.minimum(255, 8 * np.log2(np.maximum(times, 1))).astype(np.uint8)
+    ranks = np.minimum(LAST, 8 * np.log2(np.maximum(times, 1))).astype(np.uint8)
+    if is_hot:
+        ranks[:] = LAST  # parts know their own rows only, and the order of columns must be one for all rows
     counts = np.bincount(owner, minlength=len(rows))
     bucket = np.where(counts > 0, bucket_of(rows, buckets), -1)
     out: dict[str, list] = {c: [] for c in ("bucket", "block", "rows", "counts", "columns", "ranks")}
     by_bucket = np.argsort(bucket, kind="stable")
-    borders = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
-    for k in np.flatnonzero(np.diff(borders)).tolist():
-        chosen = by_bucket[borders[k] : borders[k + 1]]
+    present, borders = np.unique(bucket[by_bucket], return_index=True)
+    for k, chosen in zip(present.tolist(), np.split(by_bucket, borders[1:])):
+        if k < 0:
+            continue
         entries = spread_out(counts, chosen)
         out["bucket"].append(k)
         out["block"].append(block)
@@ -291,11 +345,15 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text", width:
     """
     scratch = Scratch(df.sparkSession, "ngrams")
     docs = df.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
-    info = scratch.written(measured(docs, width), "documents", waves=8)
+    both = scratch.written(measured(docs, width), "documents", waves=8)
+    info = both.where("hot is null").drop("hot")
     entries = info.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, math.ceil(entries / BLOCK))
+    often = both.where("hot is not null").groupBy("hot").agg(F.sum("n").alias("n")).where(F.col("n") > max(HOT, entries // HOT_COLUMNS))
+    hot, times = [np.array(x.to_numpy(), np.int64) for x in often.toArrow().select(["hot", "n"]).columns]
+    hot = np.sort(hot.view(np.uint64))
 
-    parts = incidence(docs.select("text"), width, blocks).groupBy("block")
+    parts = incidence(docs.select("text"), width, blocks, hot, max(1, math.ceil(int(times.sum()) / BLOCK))).groupBy("block")
     shared = parts.applyInArrow(lambda t: shared_columns(t, blocks), SHARED)
     # Sizes follow the rows to their buckets, once each; a bucket is a hash of the row's name, as in `shared_columns`.
     sizes = info.where("class is not null").groupBy("class").agg(F.first("n").alias("n"))

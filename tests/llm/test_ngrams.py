@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from postsift.llm import ngramjoin, shingles
 from postsift.llm.common import Scratch
@@ -60,9 +61,9 @@ def near_copies(seed=1):
     return rows
 
 
-@pytest.mark.parametrize("sizes", [(4_000_000, 512, 12, 400_000), (300, 3, 2, 400_000), (2000, 512, 4, 200)])
+@pytest.mark.parametrize("sizes", [(4_000_000, 512, 12, 400_000, 250_000), (300, 3, 2, 400_000, 20), (2000, 512, 4, 200, 1), (300, 512, 4, 200, 5)])
 def test_jaccard_join(spark, monkeypatch, sizes):
-    for name, value in zip(("BLOCK", "TILE", "FEW", "ENTRIES"), sizes):
+    for name, value in zip(("BLOCK", "TILE", "FEW", "ENTRIES", "HOT"), sizes):
         monkeypatch.setattr(ngramjoin, name, value)
     rows = near_copies()
     df = spark.createDataFrame([(d, t, 0, 0) for d, t in rows], "doc_id long, text string, n long, class long")
@@ -107,3 +108,34 @@ def test_components(spark):
     links = spark.createDataFrame(pairs, "a long, b long")
     assert dict(tuple(r) for r in connected(links, Scratch(spark, "test-components")).collect()) == want
     assert connected(links.limit(0), Scratch(spark, "test-components")).count() == 0
+
+
+def test_a_shingle_of_a_third_of_the_texts_is_dealt_to_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngramjoin, "BLOCK", 2000)
+    monkeypatch.setattr(ngramjoin, "HOT", 30)
+    seen, plain_incidence = [], ngramjoin.incidence
+
+    def watched(docs, width, blocks, hot, parts):
+        out = plain_incidence(docs, width, blocks, hot, parts)
+        sizes = out.groupBy("block").agg((F.sum(F.length("columns")) / 4).alias("n")).collect()
+        seen.append((len(hot), parts, max(r.n for r in sizes)))
+        return out
+
+    monkeypatch.setattr(ngramjoin, "incidence", watched)
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, " ".join(f"w{i} v{j}" for j in range(8)) + (" " + passage if i % 3 == 0 else "")) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in ngramjoin.jaccard_join(df).collect()), key=str)
+    assert got == plain(rows)
+    ((hot, parts, largest),) = seen
+    assert hot >= 36 and parts > 2 and largest < 4500  # 36 columns of 200 rows each would make 7200
+
+
+def test_frequent_columns_are_found_in_little_memory(monkeypatch):
+    monkeypatch.setattr(ngramjoin, "COUNTED", 50)
+    rng = np.random.default_rng(0)
+    often = ngramjoin.Frequent()
+    for _ in range(100):
+        often.add([np.unique(np.concatenate((rng.integers(100, 2000, 20), np.arange(10)))).astype(np.uint64) for _ in range(30)])
+        assert len(often.columns) <= 50
+    assert set(range(10)) <= set(often.columns.tolist()) and often.counts[:10].min() > 1500
