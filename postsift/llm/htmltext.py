@@ -5,7 +5,8 @@ to the next ancestor, a third to the one after that, and so on. A container's po
 If the container with the most points lies in an article or main element, all outermost such elements of the page are the article,
 and what stands beside its own with a fair share of its score. Else the article is the lowest container around it that holds all
 text outside menus, with short sections, headings and loose text; branches beside the best container that hold only links are left
-out, headings stay. Menus, page headers, footers, side bars, notices, adverts, forms, scripts and reader comments are
+out, headings stay. Where that container stands in a column (a cell of a row, or a part named so) that holds half of the page's text blocks, the other columns
+of its row stay only with a fair share of its score; columns of headings before it stay. Menus, page headers, footers, side bars, notices, adverts, forms, scripts and reader comments are
 told by element, role or name before scoring, and lists outside articles that are nearly all links by their density; all else stays.
 
 Class and id names are weighed, as wrappers have such words, too (``has-sidebar``, ``no-comments``). A named part goes only if it is no
@@ -48,7 +49,7 @@ ROLES = frozenset("navigation banner contentinfo complementary search form alert
 #: Words of class and id names, whole, and beginnings of such words.
 NAMES = frozenset("ad ads adv nav rss toc related share sharing social tags pager footer header sidebar modal popup reply replies login".split())
 BEGINNINGS = (
-    "advert adsense banner breadcrumb comment consent cookie disclaimer disqus gdpr masthead menu navbar navigation newsletter notice notification"
+    "advert adsense banner breadcrumb comment consent cookie copyright disclaimer disqus gdpr masthead menu navbar navigation newsletter notice notification"
     " pagination paywall promo recommend sidebar signup skyscraper sponsor subscri toolbar widget"
 ).split()
 #: Words that begin like one of them and are none; first words of a name that tell a state or a label of a part, not what it is.
@@ -57,6 +58,8 @@ STATES = frozenset("no not has have with without show hide category tag type for
 #: Names of reader comments, and of these and lists of other articles. The element ``form`` counts as such a name.
 COMMENTS = frozenset("comment disqus reply replies form".split())
 LISTS = COMMENTS | frozenset("related recommend promo".split())
+#: Names of parts that stand side by side.
+COLUMNS = frozenset("col column cell span".split())
 GOOD = frozenset("article body content entry main post text story page".split())
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 WORD = re.compile(r"[a-z]+")
@@ -72,12 +75,12 @@ LARGE, ELSEWHERE = 0.35, 4
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "apart", "good", "names", "holds", "points", "score", "prose", "chars", "linked", "links")
+    __slots__ = ("tag", "parent", "children", "apart", "good", "names", "column", "holds", "points", "score", "prose", "chars", "linked", "links")
 
     def __init__(self, tag: str, parent: Node | None, apart: bool = False, good: bool = False, names: frozenset[str] = frozenset()):
         self.tag, self.parent, self.apart, self.good, self.names = tag, parent, apart, good, names
         self.children: list[Node | str] = []
-        self.holds = False
+        self.column = self.holds = False
         self.points, self.score, self.prose, self.chars, self.linked, self.links = 0.0, 0.0, 0, 0, 0, 0
 
 
@@ -122,6 +125,10 @@ def named(attrs: list[tuple[str, str | None]], within: bool) -> tuple[bool, bool
     return apart, good, frozenset() if sure else frozenset(against)
 
 
+def is_column(attrs: list[tuple[str, str | None]]) -> bool:
+    return any(name == "class" and not COLUMNS.isdisjoint(WORD.findall((value or "").lower())) for name, value in attrs)
+
+
 class Tree(HTMLParser):
     """The elements and texts of a page, with unclosed elements closed. A comment or tag that is never closed hides the rest of the page, as in browsers."""
 
@@ -197,6 +204,7 @@ class Tree(HTMLParser):
         elif tag == "form":
             names |= {"form"}
         self.enter(Node(tag, self.at, apart, good or tag in ("article", "main"), names))
+        self.at.column = tag in ("td", "th") or is_column(attrs)
 
     def inside_new(self, tag: str) -> bool:
         """Whether a list or table was opened since the last element of this kind."""
@@ -410,13 +418,42 @@ def beside(top: Node, root: Node, rated: dict[int, Node]) -> list[Node]:
     return out
 
 
-def around(best: Node, root: Node) -> Node:
-    """The lowest container around the best one that holds every block that is not all links, without branches of links alone."""
+def count_prose(root: Node) -> None:
+    """Blocks below each element that are headings or not all links."""
+    for what, _, leaving in in_order(root):
+        if isinstance(what, Node) and not leaving:
+            what.prose = 0
+    root.prose = 0
     for text, owner, linked in blocks(root):
         owner.prose += linked < MENU_DENSITY * len(text) or owner.tag in HEADINGS
     for what, parent, leaving in in_order(root):
         if isinstance(what, Node) and leaving and parent is not None:
             parent.prose += what.prose
+
+
+def drop_columns(best: Node, root: Node) -> bool:
+    """Set apart the columns beside the one with the best container that score too little; whether there are any."""
+    found = False
+    path = best
+    while path.parent is not None:
+        parent = path.parent
+        if path.column and 2 * path.prose >= root.prose:
+            before = True
+            for child in parent.children:
+                if child is path:
+                    before = False
+                elif isinstance(child, Node) and child.column and not child.apart and child.score < SIBLING * path.score:
+                    if not before or not all(owner.tag in HEADINGS for _, owner, _ in blocks(child)):
+                        child.apart = found = True
+        path = parent
+    return found
+
+
+def around(best: Node, root: Node) -> Node:
+    """The lowest container around the best one that holds every block that is not all links, without branches of links alone and columns of low score."""
+    count_prose(root)
+    if drop_columns(best, root):
+        count_prose(root)
     if not root.prose:
         return root
     node = best

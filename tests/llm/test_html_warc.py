@@ -3,13 +3,14 @@
 import base64
 import hashlib
 import html
+import random
 import re
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from postsift.llm import warc
+from postsift.llm import htmltext, warc
 from postsift.llm.common import Scratch
 from postsift.llm.htmltext import extract, main_text
 
@@ -76,6 +77,41 @@ def test_unequal_containers(page):
     assert main_text(page) == UNEQUAL[page]
 
 
+SIDE = "<h3>Popular</h3><p>Most read story today</p>"
+COLUMNS = {
+    f"<div class=row><div class=col-8>{LONG}</div><div class=col-4>{SIDE}</div></div><div id=copyright>(c) 2024 Foo. All rights reserved.</div>": LONG_TEXT,
+    f"<div class=row><div class='column left'>{SIDE}</div><div class='column wide'><div>{LONG}</div></div></div>": LONG_TEXT,
+    f"<div class=row><div class=col-12><h1>Title</h1></div><div class=col-8>{LONG}</div><div class=col-4>{SIDE}</div></div>": f"Title\n{LONG_TEXT}",
+    f"<table><tr><td colspan=2><h1>Title</h1></td></tr><tr><td>Call 0800 1, free</td><td><div>{LONG}</div></td></tr></table>": f"Title\n{LONG_TEXT}",
+    f"<div class=row><div class=col-6>{LONG}</div><div class=col-6>{LONG}</div></div>": f"{LONG_TEXT}\n{LONG_TEXT}",
+    f"<div>{LONG}<table><tr><td>a</td><td>b, c</td></tr></table></div>": f"{LONG_TEXT}\na\nb, c",
+    "<table>" + f"<tr><td><p>{'long, ' * 20}</p></td><td><p>b</p></td></tr>" * 4 + "</table>": "\n".join([("long, " * 20).strip(), "b"] * 4),
+    "<p class=column>a</p>": "a",
+}
+
+
+@pytest.mark.parametrize("page", list(COLUMNS), ids=lambda p: p[:40])
+def test_columns(page):
+    """Columns beside the article go by their score; tables of data stay."""
+    assert main_text(page) == COLUMNS[page]
+
+
+def test_scores_decide(monkeypatch):
+    """Other scores give another text."""
+    page = next(iter(COLUMNS))
+    rate = htmltext.rate
+
+    def changed(root):
+        rated = rate(root)
+        for node in rated.values():
+            node.score = chance.random()
+        return rated
+
+    monkeypatch.setattr(htmltext, "rate", changed)
+    chance = random.Random(7)
+    assert sum(main_text(page) != LONG_TEXT for _ in range(30)) > 5
+
+
 CITED = "".join(f"<li><a href={i}>Work {i}</a></li>" for i in range(5))
 FORMS = {
     f"<body><form id=x><div>{LONG}</div><button>Go</button><select><option>a<option>b</select></form></body>": LONG_TEXT,
