@@ -208,11 +208,12 @@ def cut(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capac
         schema = schema.add(column, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(path)
         for whole in batches:
             for begin, end in pt.slices(lengths(whole.column(1)).tolist(), SLICE):
                 b = whole.slice(begin, end - begin)
                 owner, piece, start, size, ids = [], [], [], [], []
-                for row, found in enumerate(vocabulary(path).encode([t or "" for t in b.column(1).to_pylist()])):
+                for row, found in enumerate(words.encode([t or "" for t in b.column(1).to_pylist()])):
                     tokens = np.append(found, end_id).astype("<u4")
                     cuts = [0, *range(len(tokens) % capacity or capacity, len(tokens) + 1, capacity)]
                     for k, (at, until) in enumerate(zip(cuts, cuts[1:])):
@@ -224,5 +225,6 @@ def cut(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capac
                 keys = b.column(0).take(pa.array(owner, pa.int64()))
                 columns = [keys, pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        words.forget()  # the worker may serve other stages next
 
     return df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, schema)
