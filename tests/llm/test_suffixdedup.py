@@ -1,6 +1,7 @@
 """Removal of repeated byte strings against a count of all windows."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -96,3 +97,29 @@ def test_least_ahead():
     for width in (1, 2, 7, 200):
         assert suffixdedup.least_ahead(v, width).tolist() == [min(v[i : i + width]) for i in range(200 - width + 1)]
     assert len(suffixdedup.least_ahead(v, 201)) == 0
+
+
+def test_memory_of_a_slice():
+    """What a slice takes does not follow from its size: levels that nothing asks for go, and parts are worked through in steps."""
+    rng = np.random.default_rng(5)
+    parts = [rng.integers(97, 123, 2000, dtype=np.uint8).tobytes() for _ in range(500)]
+    tracemalloc.start()
+    got = suffixdedup.runs(parts, 400, 32, suffixdedup.Sizes().step)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6  # 1 MB of text
+    whole = suffixdedup.runs(parts, 400, 32, 1 << 30)
+    assert all((got[c] == whole[c]).all() for c in whole)
+
+
+def test_steps_of_a_crowded_table():
+    """Steps are bounded where rows need not meet, and hold whole buckets where they must."""
+    bucket = np.repeat(np.arange(6), [3, 1, 9, 2, 2, 1])
+    assert suffixdedup.steps_of(bucket, 4, False) == [(0, 4), (4, 13), (13, 17), (17, 18)]
+    assert suffixdedup.steps_of(np.zeros(10), 4, True) == [(0, 4), (4, 8), (8, 10)]
+
+
+def test_small_steps(spark):
+    rows = corpus(40, 11)
+    assert found(spark, rows, 40, open=3, slice=900, step=130) == plain(rows, 40)
+    assert found(spark, rows, 40, open=50, cell=4, step=40) == plain(rows, 40)
