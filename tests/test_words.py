@@ -242,3 +242,18 @@ def test_paradigms_in_texts(spark):
     empty = spark.createDataFrame([], "lang string, form string, lemma string")
     out = paradigms.lemmatise(docs, empty, words, rules, "id", "text", "lang", "out")
     assert {r.id: r.out for r in out.collect()} == {1: "dos primo y una crisis", 2: "zwei rose im garten", 3: None}
+
+
+def test_many_changes_are_not_broadcast(spark):
+    """A small file can hold many words: its size must not make Spark send them, and their salts, to every task by way of the driver."""
+    rows = [(1, "w3 w7 other", "en"), (2, "w149999", "en"), (2, "w5", "de"), (3, None, "en")]
+    df = spark.createDataFrame(rows, "id long, text string, lang string")
+    word = F.concat(F.lit("w"), F.col("id").cast("string")).alias("token")
+    changes = spark.range(150_000).select(F.lit("en").alias("lang"), word, F.lit("x").alias("value"))
+    few = changes.where("token in ('w3', 'w149999')")
+    for mapping, sent, want in ((changes, False, "x x other"), (few, True, "x w7 other")):
+        out = tokenmap.apply_token_map(df, mapping, "id", "text", "lang", "out")
+        joins = out._jdf.queryExecution().sparkPlan().toString()
+        assert ("BroadcastHashJoin [lang" in joins) == sent and ("SortMergeJoin [lang" in joins) != sent
+        got = sorted(((r.id, r.lang, r.out) for r in out.collect()))
+        assert got == [(1, "en", want), (2, "de", "w5"), (2, "en", "x"), (3, "en", None)]
