@@ -39,7 +39,7 @@ def fit_kmeans(
         predictionCol="cluster_id",
         k=k,
         seed=s.seed,
-        maxIter=max_iter or s.max_iter,
+        maxIter=s.max_iter if max_iter is None else max_iter,
     ).fit(vectors)
 
 

@@ -441,3 +441,20 @@ def test_a_table_that_is_too_large_for_one_value_raises(spark):
         with pytest.raises(Exception, match="more than 50 rows"):
             spark.range(1).select(packed).collect()
     assert len(spark.range(1).select(vx.as_one_value(big, "a", max_rows=200)).first()[0]) == 200
+
+
+def test_sweep_shares_its_passes(spark, monkeypatch):
+    """All k step together from MLlib's first centres, and end where MLlib's own fit of each k ends."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(400, 4)) + rng.choice([-3, 0, 3], size=(400, 1))
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>").repartition(3).localCheckpoint()
+    fit, asked = clusters.fit_kmeans, []
+    monkeypatch.setattr(clusters, "fit_kmeans", lambda *a, **o: asked.append((a[0], o["max_iter"])) or fit(*a, **o))
+    got = {r.k: r for r in validity.sweep_k(df, "x", (2, 3, 7)).collect()}
+    assert [most for _, most in asked] == [0, 0, 0]
+    written = asked[0][0]  # first centres follow from the partitions
+    for k in got:
+        model = fit(written, "x", k)
+        labelled = clusters.assign_clusters(written, model, "x")
+        assert math.isclose(got[k].wcss, model.summary.trainingCost, rel_tol=1e-9)
+        assert math.isclose(got[k].silhouette, validity.silhouette_cosine(labelled, "cluster_id", "x"), rel_tol=1e-9)
