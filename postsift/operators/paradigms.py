@@ -11,12 +11,13 @@ needed, only a vocabulary per language; the lexicon and the English rules of `le
 4. A word takes its rule with the largest share whose result is a known word; the result is its lemma. Rules are not applied twice.
 
 All of it is joins and aggregations over distinct words; the corpus itself is read once, for the vocabulary. Counts are partial before they are shuffled, and
-the pairs of a stem are bounded by the endings that are frequent enough. The rules are a small table, and are joined as one.
+the pairs of a stem are bounded by the endings that are frequent enough. An ending has many rules, so words are not changed by each of them and then looked
+up: words and known words meet on their stems, and what met is looked up in the rules where it is. The rules are a small table, and go to every task.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,9 @@ from postsift.functions import text as tx
 from postsift.operators import lemmas, tokenmap
 from postsift.sources.tables import cut_lineage
 
+# So many rules go to every task; with more, the pairs of words that met are shuffled.
+BROADCAST_RULES = 1_000_000
+
 
 @dataclass(frozen=True)
 class ParadigmSettings:
@@ -50,9 +54,11 @@ def ending_pairs(known: DataFrame, s: ParadigmSettings = ParadigmSettings()) ->
     often = cut_lineage(often.where(F.col("stems") >= s.min_stems))
     cut = cut_lineage(cut.drop("n").join(often.select("lang", "ending"), ["lang", "ending"], "left_semi"))
     old, new = cut.withColumnRenamed("ending", "old"), cut.withColumnRenamed("ending", "new")
-    apart = (F.col("old") != F.col("new")) & (F.substring("old", 1, 1) != F.substring("new", 1, 1))
+    # Both directions of a pair have the same stems: one is counted.
+    apart = (F.col("old") < F.col("new")) & (F.substring("old", 1, 1) != F.substring("new", 1, 1))
     pairs = old.join(new, ["lang", "stem"]).where(apart).groupBy("lang", "old", "new").agg(F.count("*").alias("stems"))
-    pairs = pairs.where(F.col("stems") >= s.min_stems)
+    both = F.array(F.struct("old", "new"), F.struct(F.col("new").alias("old"), F.col("old").alias("new")))
+    pairs = pairs.where(F.col("stems") >= s.min_stems).select("lang", F.inline(both), "stems")
     for e in ("old", "new"):
         pairs = pairs.join(often.toDF("lang", e, f"{e}_stems", f"{e}_uses"), ["lang", e])
     return pairs
@@ -72,9 +78,15 @@ def lemmas_by_rule(words: DataFrame, rules: DataFrame, known: DataFrame, s: Para
 
     The best of several: the largest share, then the most stems, then the longest old ending, then the first result.
     """
-    cut = splits(words.select("lang", "word").distinct(), s, "word", "word").withColumnRenamed("ending", "old")
-    tried = cut.join(rules, ["lang", "old"]).withColumn("lemma", F.concat("stem", "new"))
-    hits = tried.join(known.select("lang", F.col("word").alias("lemma")), ["lang", "lemma"], "left_semi")
+    rules = cut_lineage(rules)
+    many, longest = rules.agg(F.count("*"), F.max(F.length("new"))).first()
+    small = lambda df: df.hint("broadcast" if many <= BROADCAST_RULES else "merge")
+    # Both sides of a rule leave the same stem; a result may have an ending that words are not cut to.
+    cut = splits(words.select("lang", "word").distinct(), s).withColumnRenamed("ending", "old")
+    bases = splits(known.select("lang", "word"), replace(s, max_ending=longest or 0)).withColumnRenamed("ending", "new")
+    cut, bases = (df.join(small(rules.select("lang", e).distinct()), ["lang", e], "left_semi") for df, e in ((cut, "old"), (bases, "new")))
+    met = cut.join(bases.hint("merge"), ["lang", "stem"])
+    hits = met.join(small(rules), ["lang", "old", "new"]).withColumns({"word": F.concat("stem", "old"), "lemma": F.concat("stem", "new")})
     rank = F.struct((-F.col("share")).alias("a"), (-F.col("stems")).alias("b"), (-F.length("old")).alias("c"), F.col("lemma").alias("lemma"))
     return hits.groupBy("lang", "word").agg(F.min(rank).alias("best")).select("lang", "word", F.col("best.lemma").alias("lemma"))
 

@@ -257,3 +257,46 @@ def test_many_changes_are_not_broadcast(spark):
         assert ("BroadcastHashJoin [lang" in joins) == sent and ("SortMergeJoin [lang" in joins) != sent
         got = sorted(((r.id, r.lang, r.out) for r in out.collect()))
         assert got == [(1, "en", want), (2, "de", "w5"), (2, "en", "x"), (3, "en", None)]
+
+
+def test_words_meet_their_results_by_stem(spark, monkeypatch):
+    """An ending has many rules: the words changed by all of them must not be shuffled. Rules may come with longer results than words are cut to."""
+    words = [("xx", s + e) for s in ("kanto", "belu", "abc", "ab") for e in ("", "s", "ling", "erlings")] + [(None, "belus"), ("xx", None), ("yy", "belus")]
+    known = [("xx", "kanto"), ("xx", "kantoerlings"), ("xx", "beluling"), ("xx", "beluling"), ("xx", "belu"), ("xx", "abcling"), ("xx", "abling"), (None, "belu")]
+    rules = [("xx", "s", "", 20, 0.7), ("xx", "s", "ling", 30, 0.7), ("xx", "s", "erlings", 10, 0.9), ("xx", "ling", "", 10, 0.6), ("xx", "", "ling", 10, 0.5), ("xx", "s", "ling", 30, 0.7)]
+    w, k = (spark.createDataFrame(rows, "lang string, word string") for rows in (words, known))
+    r = spark.createDataFrame(rules, "lang string, old string, new string, stems long, share double")
+    want = {}
+    for lang, word in {x for x in words if x[0] and x[1]}:
+        tried = [(-share, -stems, -len(old), word[: len(word) - len(old)] + new) for g, old, new, stems, share in rules if g == lang and word.endswith(old) and len(word) - len(old) >= 3]
+        if hits := [x for x in tried if (lang, x[3]) in known]:
+            want[lang, word] = min(hits)[3]
+    assert want["xx", "kantos"] == "kantoerlings" and want["xx", "belus"] == "beluling" and ("xx", "abs") not in want
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the known words were many
+    try:
+        for most in (paradigms.BROADCAST_RULES, 2):
+            monkeypatch.setattr(paradigms, "BROADCAST_RULES", most)
+            found = paradigms.lemmas_by_rule(w, r, k)
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning(lang" in plan and not [x for x in plan.splitlines() if "hashpartitioning" in x and "lemma#" in x]
+            assert ("BroadcastHashJoin [lang" in plan) == (most > 2)
+            rows = found.collect()
+            assert {(x.lang, x.word): x.lemma for x in rows} == want and len(rows) == len(want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_pairs_of_endings_in_both_directions(spark):
+    words = spark.createDataFrame(golden_words() + golden_words()[:7], "lang string, word string, n long")
+    s = paradigms.ParadigmSettings(min_stems=3)
+    got = {(r.lang, r.old, r.new): (r.stems, r.old_stems, r.new_stems) for r in paradigms.ending_pairs(words, s).collect()}
+    assert got and all(got[g, new, old] == (n, b, a) for (g, old, new), (n, a, b) in got.items())
+    cuts = {}
+    for g, w, _ in golden_words() + golden_words()[:7]:
+        for e in range(5):
+            if len(w) - e >= 3:
+                cuts.setdefault((g, w[len(w) - e :]), []).append(w[: len(w) - e])
+    often = {x: v for x, v in cuts.items() if len(v) >= 3}
+    want = {(g, a, b): sum(v.count(x) for x in u) for (g, a), u in often.items() for (h, b), v in often.items() if g == h and a[:1] != b[:1]}
+    assert {x: n for x, n in want.items() if n >= 3} == {x: n for x, (n, _, _) in got.items()}
